@@ -1,0 +1,50 @@
+"""Compare a Spark frame with the DuckDB result of the same query."""
+
+import math
+
+import duckdb
+
+# The given tables.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+    "conversations"
+).split()
+
+
+def duck(folder):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{folder}/{t}.parquet'")
+    return con
+
+
+def _key(row):
+    return tuple((v is None, str(v)) for v in row)
+
+
+def normal(rows):
+    def value(v):
+        if isinstance(v, float):
+            return None if math.isnan(v) else v
+        return v
+
+    return sorted((tuple(value(v) for v in r) for r in rows), key=_key)
+
+
+def compare(frame, con, sql):
+    """The differences as text, or an empty string."""
+    result = con.sql(sql)
+    names = sorted(frame.columns)
+    if names != sorted(result.columns):
+        return f"columns {names} against {sorted(result.columns)}"
+    pick = [result.columns.index(n) for n in names]
+    theirs = normal([tuple(r[i] for i in pick) for r in result.fetchall()])
+    ours = normal([tuple(r) for r in frame.select(*[f"`{n}`" for n in names]).collect()])
+    if len(ours) != len(theirs):
+        return f"{len(ours)} rows against {len(theirs)}"
+    wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
+    types = {n: str(t) for n, t in zip(result.columns, result.types)}
+    plain = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+             "timestamp_ntz": "TIMESTAMP"}
+    mixed = [(n, t, types[n]) for n, t in frame.dtypes if plain.get(t, t) != types[n]]
+    return "" if not wrong and not mixed else f"{len(wrong)} rows differ, first {wrong[:1]}; types {mixed}"
