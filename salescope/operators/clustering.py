@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import pandas as pd
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -13,10 +14,13 @@ from pyspark.sql import functions as F
 
 from salescope.functions import clock_parts
 from salescope.operators.components import principal_components, project
-from salescope.operators.encoding import basket_features, basket_vocabulary, with_index
 from salescope.operators.customers import basket_terms
+from salescope.operators.encoding import basket_features, basket_vocabulary, with_index
 from salescope.sources.scratch import materialise
 
+#: Rows per partition of an iterative fit, below the limit on partitions.
+ROWS_PER_PARTITION = 10_000
+
 # Cluster counts, the seed, and the feature columns of each clustering.
 SEED = 42
 ROW_COLUMNS = ("city_index", "customer_type_index", "quantity", "total_amount")
@@ -29,8 +33,12 @@ COMPONENTS = ("PC1", "PC2", "PC3")
 
 def canonical_layout(df: DataFrame, *key: str) -> DataFrame:
     """The same rows in the same partitions and order whatever the layout of the input. ``key`` must be unique, so that
-    the partitions are even. Seeded algorithms draw by partition, so they repeat only on such a layout."""
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    the partitions are even. Seeded algorithms draw by partition, so they repeat only on such a layout.
+
+    The number of partitions follows from the number of rows, up to ``spark.sql.shuffle.partitions``.
+    """
+    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    partitions = min(most, df.count() // ROWS_PER_PARTITION + 1)
     return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
@@ -134,10 +142,9 @@ def basket_space(df: DataFrame, k: int = len(COMPONENTS)) -> BasketSpace:
     features = materialise(basket_features(terms, vocabulary), "baskets")
     loadings, variance = principal_components(features, vocabulary, k)
     names = [f"PC{i + 1}" for i in range(k)]
-    table = df.sparkSession.createDataFrame(
-        [(i, *map(float, row)) for i, row in enumerate(loadings)],
-        "feature_id int, " + ", ".join(f"{n} double" for n in names),
-    )
+    table = pd.DataFrame(loadings, columns=names)
+    table.insert(0, "feature_id", table.index.astype("int32"))
+    table = df.sparkSession.createDataFrame(table)
     return BasketSpace(features, vocabulary, table, variance, project(features, loadings, names))
 
 

@@ -101,10 +101,7 @@ def _chunked_neighbours(df, key, order, following, trailing, length) -> DataFram
     rows = F.concat(F.coalesce("_tail_before", F.array().cast(local.schema["_seen"].dataType)), "_seen")
     rows = F.slice(rows, F.greatest(F.size(rows) - (length - 1), F.lit(1)), length)
     columns = [following_row[source].alias(new) for new, source in following.items()]
-    columns += [
-        F.filter(F.transform(rows, lambda r, s=source: r[s]), lambda v: v.isNotNull()).alias(new)
-        for new, source in trailing.items()
-    ]
+    columns += [F.array_compact(rows.getField(source)).alias(new) for new, source in trailing.items()]
     return joined.select(*names, *columns)
 
 
@@ -126,7 +123,7 @@ def _chunk_edges(laid, key, order, values, before) -> DataFrame:
         .where(F.col("_n") <= before)
         .groupBy(key, "_chunk")
         .agg(F.sort_array(F.collect_list(F.struct((-F.col("_n")).alias("_n"), "_values"))).alias("_tail"))
-        .withColumn("_tail", F.transform("_tail", lambda t: t["_values"]))
+        .withColumn("_tail", F.col("_tail").getField("_values"))
     )
     # Every chunk has a row, so the last ``before`` rows lie within the last ``before`` chunks.
     earlier = F.flatten(F.collect_list("_tail").over(by_chunk.rowsBetween(-before, -1)))

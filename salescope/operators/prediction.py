@@ -56,7 +56,7 @@ class RepurchaseForest:
 
 def fit_repurchase_forest(profiles: DataFrame) -> RepurchaseForest:
     """Train a random forest on the profiles in the train split and score those in the test split."""
-    features = materialise(with_index(materialise(profiles, "profiles"), "customer_type", "index_customer_type"), "scored")
+    features = with_index(materialise(profiles, "profiles"), "customer_type", "index_customer_type")
     vectors = VectorAssembler(inputCols=list(PROFILE_FEATURES), outputCol="features").transform(features)
     train, test = hash_split(vectors)
     forest = RandomForestClassifier(

@@ -70,15 +70,23 @@ _PROFILE = """customer_id, round(total_spend, 2) AS total_spend, total_quantity,
        customer_type, class_weight"""
 
 
-def _quantity_report(groups: tuple[str, ...]) -> str:
+def _mean_quantity(groups: tuple[str, ...]) -> str:
     keys = ", ".join(groups)
     per_customer = ", ".join(dict.fromkeys(("customer_id", *groups)))
-    return f"""{_TX}
-SELECT {keys}, round(avg(quantity_sum), 6) AS mean_quantity
+    return f"""SELECT {keys}, round(avg(quantity_sum), 6) AS mean_quantity
 FROM (SELECT {per_customer}, sum(quantity) AS quantity_sum FROM enriched GROUP BY {per_customer})
 GROUP BY {keys}"""
 
 
+def _all_quantity_reports() -> str:
+    columns = dict.fromkeys(c for groups in QUANTITY_REPORTS.values() for c in groups)
+    reports = []
+    for name, groups in QUANTITY_REPORTS.items():
+        picked = ", ".join(c if c in groups else f"NULL AS {c}" for c in columns)
+        reports.append(f"SELECT '{name}' AS report, {picked}, mean_quantity FROM ({_mean_quantity(groups)})")
+    return f"{_TX}\n" + "\nUNION ALL ".join(reports)
+
+
 def _top_products(measure: str, name: str) -> str:
     return f"""{_TX}
 SELECT customer_type, clean_product, {name}, CAST(n_th AS INTEGER) AS rank FROM (
@@ -116,7 +124,8 @@ ORACLE = {
 SELECT customer_id, customer_name, customer_type, round(sum(total_amount), 2) AS total_spent FROM tx
 GROUP BY customer_id, customer_name, customer_type
 ORDER BY sum(total_amount) DESC, customer_id LIMIT 20""",
-    **{name: _quantity_report(groups) for name, groups in QUANTITY_REPORTS.items()},
+    **{name: f"{_TX}\n{_mean_quantity(groups)}" for name, groups in QUANTITY_REPORTS.items()},
+    "quantity_reports": _all_quantity_reports(),
     "clean_enriched": f"""{_TX}
 SELECT DISTINCT transaction_id, "timestamp", customer_id, customer_name, city, customer_type, product_name, category,
        price, quantity, total_amount, main_category, sub_category, month, weekday

@@ -59,6 +59,10 @@ def _quantity_report(*groups: str):
     return report
 
 
+def quantity_reports(spark, folder):
+    return _rounded(spending.quantity_reports(_enriched(spark, folder)), mean_quantity=6)
+
+
 def top_spenders(spark, folder):
     return _rounded(spending.top_spenders(_enriched(spark, folder)), total_spent=2)
 
@@ -301,6 +305,7 @@ def forecast_quality(spark, folder):
 QUERIES = {
     "top_spenders": top_spenders,
     **{name: _quantity_report(*groups) for name, groups in spending.QUANTITY_REPORTS.items()},
+    "quantity_reports": quantity_reports,
     "clean_enriched": clean_enriched,
     "date_parts": date_parts_of_events,
     "clock_parts": clock_parts_of_events,

@@ -2,6 +2,11 @@ import pytest
 from pyspark.sql import SparkSession
 
 
+@pytest.fixture(scope="session")
+def sf():
+    return "/root/testdata/sf0.001"
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = tmp_path_factory.mktemp("shared")
