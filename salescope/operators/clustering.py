@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
@@ -15,12 +17,15 @@ from pyspark.sql import functions as F
 from salescope.functions import clock_parts
 from salescope.operators.components import principal_components, project
 from salescope.operators.customers import basket_terms
-from salescope.operators.encoding import basket_features, basket_vocabulary, with_index
+from salescope.operators.encoding import basket_features, basket_vocabulary, with_indexes
 from salescope.sources.scratch import materialise
 
 #: Rows per partition of an iterative fit, below the limit on partitions.
 ROWS_PER_PARTITION = 10_000
 
+#: Numbers of clusters tried at the same time.
+AT_ONCE = 4
+
 # Cluster counts, the seed, and the feature columns of each clustering.
 SEED = 42
 ROW_COLUMNS = ("city_index", "customer_type_index", "quantity", "total_amount")
@@ -84,23 +89,32 @@ def fit_clusters(df: DataFrame, columns: tuple[str, ...], k: int, key: str | Non
 
 
 def silhouettes(df: DataFrame, columns: tuple[str, ...], ks=range(3, 20), key: str | None = None) -> DataFrame:
-    """The silhouette (squared Euclidean) for each number of clusters: a fit and an evaluation per ``k`` over points
-    that are laid out and cached once."""
+    """The silhouette (squared Euclidean) for each number of clusters, over points that are laid out and cached once."""
     assembler, scaler = _scaling(df, columns)
     points = _unit_points(df, columns, key) if key else weighted_points(df, columns)
-    scaled = scaler.transform(assembler.transform(points)).select("scaled", "weight").persist()
-    evaluator = ClusteringEvaluator(featuresCol="scaled", metricName="silhouette", weightCol="weight")
+    return _silhouettes(scaler.transform(assembler.transform(points)), "scaled", ks)
+
+
+def _silhouettes(points: DataFrame, features: str, ks) -> DataFrame:
+    """A fit and an evaluation per number of clusters. They are independent, so a few run at a time."""
+    points = points.select(features, "weight").persist()
+    evaluator = ClusteringEvaluator(featuresCol=features, metricName="silhouette", weightCol="weight")
+
+    def score(k: int) -> tuple[int, float]:
+        return k, evaluator.evaluate(_kmeans(k, features).fit(points).transform(points))
+
     try:
-        rows = [(k, evaluator.evaluate(_kmeans(k, "scaled").fit(scaled).transform(scaled))) for k in ks]
+        with ThreadPool(AT_ONCE) as pool:
+            rows = pool.map(inheritable_thread_target(points.sparkSession)(score), ks)
     finally:
-        scaled.unpersist()
-    return df.sparkSession.createDataFrame(rows, "k int, silhouette double")
+        points.unpersist()
+    return points.sparkSession.createDataFrame(rows, "k int, silhouette double")
 
 
 def with_row_features(df: DataFrame) -> DataFrame:
     """Purchases with city and customer type as numbers."""
     df = df.select("transaction_id", "city", "customer_type", "quantity", "total_amount")
-    return with_index(with_index(df, "customer_type", "customer_type_index"), "city", "city_index")
+    return with_indexes(df, {"customer_type": "customer_type_index", "city": "city_index"})
 
 
 def row_clusters(df: DataFrame, k: int = ROW_CLUSTERS) -> DataFrame:
@@ -148,24 +162,20 @@ def basket_space(df: DataFrame, k: int = len(COMPONENTS)) -> BasketSpace:
     return BasketSpace(features, vocabulary, table, variance, project(features, loadings, names))
 
 
+def _customer_points(space: BasketSpace) -> DataFrame:
+    vector = array_to_vector(F.array(*space.scores.columns[1:]))
+    points = space.scores.withColumns({"point": vector, "weight": F.lit(1.0)})
+    return canonical_layout(points, "customer_id")
+
+
 def customer_clusters(space: BasketSpace, k: int = CUSTOMER_CLUSTERS) -> DataFrame:
     """Every customer with its components and its cluster by what it buys."""
-    names = space.scores.columns[1:]
-    points = space.scores.withColumns({"point": array_to_vector(F.array(*names)), "weight": F.lit(1.0)})
-    model = _kmeans(k, "point").fit(canonical_layout(points, "customer_id"))
-    return model.transform(points).select("customer_id", *names, "prediction")
+    points = _customer_points(space)
+    return _kmeans(k, "point").fit(points).transform(points).drop("point", "weight")
 
 
 def customer_silhouettes(space: BasketSpace, ks=range(3, 20)) -> DataFrame:
-    names = space.scores.columns[1:]
-    points = space.scores.withColumns({"point": array_to_vector(F.array(*names)), "weight": F.lit(1.0)})
-    points = canonical_layout(points, "customer_id").persist()
-    evaluator = ClusteringEvaluator(featuresCol="point", metricName="silhouette")
-    try:
-        rows = [(k, evaluator.evaluate(_kmeans(k, "point").fit(points).transform(points))) for k in ks]
-    finally:
-        points.unpersist()
-    return points.sparkSession.createDataFrame(rows, "k int, silhouette double")
+    return _silhouettes(_customer_points(space), "point", ks)
 
 
 def named_loadings(space: BasketSpace) -> DataFrame:

@@ -14,6 +14,9 @@ from salescope.functions import strings_of
 #: on the driver, which is out of the question for a wide vocabulary.
 DENSE_FEATURES = 512
 
+#: The most numbers in a matrix on the driver.
+DRIVER_NUMBERS = 100_000_000
+
 
 def principal_components(features: DataFrame, vocabulary: DataFrame, k: int, dense: int = DENSE_FEATURES):
     """Loadings (features by ``k``) and the share of variance each component explains.
@@ -37,13 +40,13 @@ def _matrix_components(features: DataFrame, n: int, k: int):
 
 
 def _krylov_components(
-    features: DataFrame, customers: np.ndarray, k: int, extra: int = 9, tolerance: float = 1e-7, widest: int = 240
+    features: DataFrame, customers: np.ndarray, k: int, extra: int = 17, tolerance: float = 1e-7, widest: int = 400
 ):
     """The leading eigenvectors of the covariance matrix, without ever forming it.
 
     A block Krylov iteration: each pass over the baskets multiplies the covariance matrix by a few vectors, and the best
     vectors within all products so far are kept, until the residual of each is below ``tolerance`` times the largest
-    eigenvalue. The driver holds a features-by-``widest`` matrix at most.
+    eigenvalue. The driver holds two matrices of features by at most ``widest`` columns, fewer for a very wide vocabulary.
     """
     rows = features.count()
     means = customers / rows
@@ -53,6 +56,7 @@ def _krylov_components(
         return (_gram_times(features, block) - rows * np.outer(means, means @ block)) / (rows - 1)
 
     width = k + extra
+    widest = max(3 * width, min(widest, DRIVER_NUMBERS // len(customers)))
     start = np.random.default_rng(0).standard_normal((len(customers), width))
     basis = np.linalg.qr(start)[0]
     images = covariance_times(basis)

@@ -8,7 +8,8 @@ from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from salescope.operators.ordering import with_position
+from salescope.operators.ordering import with_rank
+from salescope.sources.scratch import materialise
 
 #: A lookup table is broadcast up to this many rows; a larger one is joined by shuffle.
 BROADCAST_ROWS = 1 << 19
@@ -17,31 +18,39 @@ BROADCAST_ROWS = 1 << 19
 VOCABULARY_SIZE = 1 << 18
 
 
-def label_index(df: DataFrame, column: str) -> DataFrame:
-    """A table (label, index): labels by descending frequency, ties by the label, numbered from 0.
+def label_indexes(df: DataFrame, *columns: str) -> DataFrame:
+    """A table (column, label, index): each column's labels by descending frequency, ties by the label, from 0.
 
-    The same numbering as Spark's StringIndexer, but the labels stay a distributed table.
+    The same numbering as Spark's StringIndexer, but all columns share one scan and the labels stay a distributed table.
     """
-    counts = df.where(F.col(column).isNotNull()).groupBy(F.col(column).alias("label")).count()
-    numbered = with_position(counts, F.desc("count"), F.asc("label"), name="index")
-    return numbered.select("label", F.col("index").cast("double").alias("index"))
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("label")) for c in columns])
+    )
+    labels = df.select(pairs.alias("p")).select("p.column", "p.label").where(F.col("label").isNotNull())
+    counts = labels.groupBy("column", "label").count()
+    numbered = with_rank(counts, "column", F.desc("count"), F.asc("label"), name="index")
+    return numbered.select("column", "label", F.col("index").cast("double").alias("index"))
 
 
-def with_index(df: DataFrame, column: str, output: str, labels: DataFrame | None = None) -> DataFrame:
-    """Add the index of ``column``; a label that ``labels`` does not have is an error.
+def with_indexes(df: DataFrame, columns: dict[str, str], labels: DataFrame | None = None) -> DataFrame:
+    """Add an index column for each column of ``columns`` (column to new name).
 
-    The label table's size is checked before it is broadcast; past the bound Spark picks a shuffle join and splits hot
-    labels.
+    A label that ``labels`` does not have is an error. Each column's label count is checked before its labels are
+    broadcast; past the bound Spark picks a shuffle join and splits hot labels.
     """
-    labels = label_index(df, column) if labels is None else labels
-    # A row count of a small Parquet table, read from its footers.
-    if labels.count() <= BROADCAST_ROWS:
-        labels = F.broadcast(labels)
-    lookup = labels.select(F.col("label").alias("_label"), F.col("index").alias("_index"))
-    found = df.join(lookup, df[column] == lookup["_label"], "left")
-    unseen = F.raise_error(F.concat(F.lit(f"unseen label in {column}: "), F.col(column)))
-    index = F.when(F.col(column).isNotNull() & F.col("_index").isNull(), unseen.cast("double"))
-    return found.withColumn(output, F.coalesce(index, F.col("_index"))).drop("_label", "_index")
+    labels = materialise(label_indexes(df, *columns), "labels") if labels is None else labels
+    sizes = dict(labels.groupBy("column").count().collect())
+    for column, output in columns.items():
+        lookup = labels.where(F.col("column") == column).select(
+            F.col("label").alias("_label"), F.col("index").alias("_index")
+        )
+        if sizes.get(column, 0) <= BROADCAST_ROWS:
+            lookup = F.broadcast(lookup)
+        found = df.join(lookup, F.col(column).cast("string") == F.col("_label"), "left")
+        unseen = F.raise_error(F.concat(F.lit(f"unseen label in {column}: "), F.col(column))).cast("double")
+        missing = F.when(F.col(column).isNotNull() & F.col("_index").isNull(), unseen)
+        df = found.withColumn(output, F.coalesce("_index", missing)).drop("_label", "_index")
+    return df
 
 
 def assemble(df: DataFrame, columns: list[str], output: str) -> DataFrame:
@@ -85,13 +94,10 @@ def basket_vocabulary(terms: DataFrame, size: int = VOCABULARY_SIZE) -> DataFram
     each, as a CountVectorizer keeps.
     """
     counts = terms.groupBy("kind", "term").agg(F.count(F.lit(1)).alias("customers"))
-    ranked = with_position(counts, "kind", F.desc("customers"), F.asc("term"))
-    per_kind = {r["kind"]: r["n"] for r in ranked.groupBy("kind").agg(F.count(F.lit(1)).alias("n")).collect()}
-    categories = per_kind.get("Category", 0)
-    is_category = F.col("kind") == "Category"
-    rank = F.col("position") - F.when(is_category, 0).otherwise(categories)
-    feature = rank + F.when(is_category, 0).otherwise(min(categories, size))
-    return ranked.where(rank < size).select(feature.cast("int").alias("feature_id"), "kind", "term", "customers")
+    ranked = with_rank(counts, "kind", F.desc("customers"), F.asc("term")).where(F.col("rank") < size)
+    categories = ranked.where(F.col("kind") == "Category").count()
+    feature = F.col("rank") + F.when(F.col("kind") == "Category", 0).otherwise(categories)
+    return ranked.select(feature.cast("int").alias("feature_id"), "kind", "term", "customers")
 
 
 def basket_features(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -37,6 +37,17 @@ def with_position(df: DataFrame, *order: str | Column, name: str = "position") -
     )
 
 
+def with_rank(df: DataFrame, group: str, *order: str | Column, name: str = "rank") -> DataFrame:
+    """Add the position (from 0) of each row within its ``group``, of which there are few (one row each is broadcast).
+
+    A group may hold any share of the rows: all are positioned together and the start of each group is taken off.
+    """
+    placed = with_position(df, group, *order, name="_position")
+    starts = placed.groupBy(group).agg(F.min("_position").alias("_first"))
+    ranked = placed.join(F.broadcast(starts), group)
+    return ranked.withColumn(name, F.col("_position") - F.col("_first")).drop("_position", "_first")
+
+
 def heaviest_keys(df: DataFrame, key: str, most: int = 1000, min_rows: int = 2_000_000) -> list:
     """The keys with more than ``min_rows`` rows, at most the ``most`` heaviest of them.
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from salescope.functions import SEQUENCE_LENGTH, prediction_error, probability_of_one
 from salescope.operators.clustering import SEED, canonical_layout
 from salescope.operators.customers import sequence_columns
-from salescope.operators.encoding import MinMax, with_index
+from salescope.operators.encoding import MinMax, with_indexes
 from salescope.operators.sampling import hash_split, last_rows
 from salescope.sources.scratch import materialise
 
@@ -56,7 +56,7 @@ class RepurchaseForest:
 
 def fit_repurchase_forest(profiles: DataFrame) -> RepurchaseForest:
     """Train a random forest on the profiles in the train split and score those in the test split."""
-    features = with_index(materialise(profiles, "profiles"), "customer_type", "index_customer_type")
+    features = with_indexes(materialise(profiles, "profiles"), {"customer_type": "index_customer_type"})
     vectors = VectorAssembler(inputCols=list(PROFILE_FEATURES), outputCol="features").transform(features)
     train, test = hash_split(vectors)
     forest = RandomForestClassifier(

@@ -204,15 +204,7 @@ def hash_split(spark, folder):
 
 
 def string_index(spark, folder):
-    rows = tx(spark, folder)
-    frames = [
-        encoding.label_index(rows, c).select(F.lit(c).alias("column"), "label", "index")
-        for c in ("customer_type", "city", "category", "product_name")
-    ]
-    first, *others = frames
-    for frame in others:
-        first = first.unionByName(frame)
-    return first
+    return encoding.label_indexes(tx(spark, folder), "customer_type", "city", "category", "product_name")
 
 
 def standard_scaled(spark, folder):

@@ -1,8 +1,9 @@
 """The given star-schema and event tables, seen as transactions.
 
-No join carries a broadcast hint: Spark broadcasts a dimension only when its own size estimate is below
-``spark.sql.autoBroadcastJoinThreshold``, and past that it shuffles and splits hot keys (adaptive skew join). Customers
-meet orders before lines do, so the widest table is shuffled once on the order key.
+Both facts, lines and orders, grow with the data, so they always meet by sort-merge join, whatever the size estimate of
+orders says; a hot order is split by the adaptive skew join. No dimension carries a broadcast hint: Spark broadcasts one
+only when its own size estimate is below ``spark.sql.autoBroadcastJoinThreshold``, and past that it shuffles and splits
+hot keys. Customers meet orders before lines do, so the widest table is shuffled once on the order key.
 """
 
 from __future__ import annotations
@@ -12,12 +13,25 @@ from pyspark.sql import functions as F
 
 from salescope.schema import TRANSACTION_COLUMNS
 
+# The columns of the given tables. With them a query starts without a job that looks up the schema.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+    "l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
+
 # The market segments that count as business customers.
 BUSINESS_SEGMENTS = ("MACHINERY", "BUILDING", "AUTOMOBILE")
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
@@ -57,7 +71,7 @@ def lineitems_as_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_extendedprice").alias("total_amount"),
     )
     return (
-        lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
+        lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"])
         .join(_products(spark, folder), F.col("l_partkey") == F.col("p_partkey"))
         .select(*TRANSACTION_COLUMNS)
     )
