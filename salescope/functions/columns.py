@@ -82,11 +82,13 @@ def strings_of(array: str | Column) -> Column:
 
 
 def vector_element(vector: str | Column, position: int) -> Column:
-    return vector_to_array(_col(vector))[position]
+    """Element of a vector; null past its end."""
+    return F.get(vector_to_array(_col(vector)), F.lit(position))
 
 
 def probability_of_one(probability: str | Column) -> Column:
-    return vector_element(probability, 1)
+    """Probability of class 1; 0 from a model that has only seen class 0."""
+    return F.coalesce(vector_element(probability, 1), F.lit(0.0))
 
 
 def prediction_error(predicted: str | Column, true: str | Column) -> Column:

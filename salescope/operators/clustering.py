@@ -9,9 +9,8 @@ import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
-from pyspark.ml.feature import StandardScaler, StandardScalerModel, VectorAssembler
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from salescope.functions import clock_parts
@@ -49,31 +48,58 @@ def canonical_layout(df: DataFrame, *key: str) -> DataFrame:
 
 @dataclass(frozen=True)
 class ScaledClusters:
-    """A fitted clustering of rows by scaled numeric columns. Applying it is one map over the rows."""
+    """A fitted clustering of rows by columns divided by their deviations. Applying it is one map over the rows."""
 
-    assembler: VectorAssembler
-    scaler: StandardScalerModel
+    deviations: dict[str, float]
     model: KMeansModel
 
     def assign(self, df: DataFrame) -> DataFrame:
-        scaled = self.scaler.transform(self.assembler.transform(df))
-        return self.model.transform(scaled).drop("features", "scaled")
+        return self.model.transform(df.withColumn("scaled", scaled_vector(self.deviations))).drop("scaled")
 
 
-def _scaling(df: DataFrame, columns: tuple[str, ...]) -> tuple[VectorAssembler, StandardScalerModel]:
-    assembler = VectorAssembler(inputCols=list(columns), outputCol="features")
-    # One pass over the rows for the standard deviations.
-    return assembler, StandardScaler(inputCol="features", outputCol="scaled").fit(assembler.transform(df))
+def scaled_vector(deviations: dict[str, float]) -> Column:
+    """Each column divided by its deviation, without centring; a constant column becomes 0."""
+    return array_to_vector(F.array(*[F.col(c) / d if d else F.lit(0.0) for c, d in deviations.items()]))
 
 
-def weighted_points(df: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Equal points merged into one, with their number as the weight. The cost k-means minimises is the same."""
-    points = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
-    return canonical_layout(points, *columns)
+def _settled(deviations: Row) -> dict[str, float]:
+    # Tasks add up in any order, which moves the last digits. Without them a seeded fit always starts from the same values.
+    return {c: float(f"{d or 0.0:.12g}") for c, d in deviations.asDict().items()}
 
 
-def _unit_points(df: DataFrame, columns: tuple[str, ...], key: str) -> DataFrame:
-    return canonical_layout(df.select(key, *columns, F.lit(1.0).alias("weight")), key)
+@dataclass(frozen=True)
+class _Points:
+    """What k-means is fitted on: points in a fixed layout, their weights, and the deviation of each column."""
+
+    layout: DataFrame
+    deviations: dict[str, float]
+
+    @classmethod
+    def of_rows(cls, df: DataFrame, columns: tuple[str, ...], key: str) -> _Points:
+        """Every row, identified by ``key``, is a point."""
+        deviations = df.agg(*[F.stddev_samp(c).alias(c) for c in columns]).head()
+        points = df.select(key, *columns, F.lit(1.0).alias("weight"))
+        return cls(canonical_layout(points, key), _settled(deviations))
+
+    @classmethod
+    def merged(cls, df: DataFrame, columns: tuple[str, ...]) -> _Points:
+        """Equal rows are one point, with their number as its weight. The cost k-means minimises is the same, and after
+        this one scan nothing but the points is read."""
+        points = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
+        points = materialise(points, "points")
+        rows = F.sum("weight")
+        means = points.agg(*[(F.sum(F.col(c) * F.col("weight")) / rows).alias(c) for c in columns]).head()
+        spread = {c: F.sum(F.col("weight") * (F.col(c) - F.lit(means[c])) ** 2) for c in columns}
+        divisor = F.nullif(rows - 1, F.lit(0.0))
+        deviations = points.agg(*[F.sqrt(s / divisor).alias(c) for c, s in spread.items()]).head()
+        return cls(canonical_layout(points, *columns), _settled(deviations))
+
+    @classmethod
+    def of(cls, df: DataFrame, columns: tuple[str, ...], key: str | None) -> _Points:
+        return cls.of_rows(df, columns, key) if key else cls.merged(df, columns)
+
+    def scaled(self) -> DataFrame:
+        return self.layout.select(scaled_vector(self.deviations).alias("scaled"), "weight")
 
 
 def _kmeans(k: int, features: str) -> KMeans:
@@ -82,17 +108,13 @@ def _kmeans(k: int, features: str) -> KMeans:
 
 def fit_clusters(df: DataFrame, columns: tuple[str, ...], k: int, key: str | None = None) -> ScaledClusters:
     """Fit k-means on scaled columns: over the rows, each identified by ``key``, or over merged points without one."""
-    assembler, scaler = _scaling(df, columns)
-    points = _unit_points(df, columns, key) if key else weighted_points(df, columns)
-    model = _kmeans(k, "scaled").fit(scaler.transform(assembler.transform(points)))
-    return ScaledClusters(assembler, scaler, model)
+    points = _Points.of(df, columns, key)
+    return ScaledClusters(points.deviations, _kmeans(k, "scaled").fit(points.scaled()))
 
 
 def silhouettes(df: DataFrame, columns: tuple[str, ...], ks=range(3, 20), key: str | None = None) -> DataFrame:
     """The silhouette (squared Euclidean) for each number of clusters, over points that are laid out and cached once."""
-    assembler, scaler = _scaling(df, columns)
-    points = _unit_points(df, columns, key) if key else weighted_points(df, columns)
-    return _silhouettes(scaler.transform(assembler.transform(points)), "scaled", ks)
+    return _silhouettes(_Points.of(df, columns, key).scaled(), "scaled", ks)
 
 
 def _silhouettes(points: DataFrame, features: str, ks) -> DataFrame:

@@ -43,13 +43,13 @@ class RepurchaseForest:
         return self.scores().orderBy("customer_id").limit(rows)
 
     def quality(self) -> DataFrame:
-        """Area under the ROC curve and accuracy on the test customers."""
+        """Area under the ROC curve (null if training saw class 0 only) and accuracy on the test customers."""
         label = self.scored.withColumn("label", F.col("futur_purchase").cast("double"))
-        area = BinaryClassificationEvaluator().evaluate(label)
+        area = BinaryClassificationEvaluator().evaluate(label) if self.model.numClasses > 1 else None
         accuracy = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(label)
         return label.agg(
             F.count(F.lit(1)).alias("customers"),
-            F.lit(area).alias("area_under_roc"),
+            F.lit(area).cast("double").alias("area_under_roc"),
             F.lit(accuracy).alias("accuracy"),
         )
 
