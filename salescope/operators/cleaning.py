@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, FloatType
 
 from salescope.functions import category_part
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
-    """Rows without any null."""
-    return df.na.drop("any")
+    """Rows without any null (or NaN). The same rows as ``na.drop``, but in a form that scans can use to skip data."""
+    complete = [F.col(f.name).isNotNull() for f in df.schema]
+    complete += [~F.isnan(f.name) for f in df.schema if isinstance(f.dataType, (FloatType, DoubleType))]
+    return df.where(reduce(and_, complete))
 
 
 def drop_duplicates(df: DataFrame) -> DataFrame:

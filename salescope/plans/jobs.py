@@ -27,7 +27,7 @@ def prepare(spark: SparkSession, source: str, output: str) -> DataFrame:
     only the columns it uses.
     """
     rows = read_transactions(spark, source, keep_rejected=True)
-    write_csv(rejected_rows(rows).select(CORRUPT_COLUMN), f"{output}/rejected")
+    write_csv(rejected_rows(rows), f"{output}/rejected")
     rows = rows.drop(CORRUPT_COLUMN)
     write_csv(rows, f"{output}/raw")
     write_parquet(cleaning.enrich(cleaning.clean(rows)), f"{output}/transactions")

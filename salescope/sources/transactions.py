@@ -9,6 +9,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from salescope.functions import file_label
 from salescope.schema import CORRUPT_COLUMN, TRANSACTION_SCHEMA
 
+# How CSV results are written.
+CSV_OPTIONS = {"header": True, "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss[.SSSSSS]"}
+
 
 def read_transactions(spark: SparkSession, path: str, keep_rejected: bool = False) -> DataFrame:
     """Scan a transaction CSV with a header under the fixed schema: one pass, no inference.
@@ -24,7 +27,10 @@ def read_transactions(spark: SparkSession, path: str, keep_rejected: bool = Fals
 
 
 def rejected_rows(df: DataFrame) -> DataFrame:
-    """The rows of ``read_transactions(..., keep_rejected=True)`` that did not fit the schema."""
+    """The rows of ``read_transactions(..., keep_rejected=True)`` that did not fit the schema.
+
+    Keep all columns when writing them: the reader checks a row only in the columns a query asks for.
+    """
     return df.where(F.col(CORRUPT_COLUMN).isNotNull())
 
 
@@ -41,8 +47,8 @@ def preview(df: DataFrame, rows: int = 5) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """Replace ``path`` by a folder of CSV part files, each with a header."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    """Replace ``path`` by a folder of CSV part files, each with a header. Times keep their microseconds."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
@@ -62,7 +68,7 @@ def write_ranked_csv(df: DataFrame, path: str, order: list[Column], rows: int) -
 def write_by_category(df: DataFrame, path: str, category: str = "main_category") -> None:
     """Write one folder per category, named after it with ``_`` for spaces."""
     labelled = df.withColumn("category_label", file_label(category))
-    labelled.write.mode("overwrite").partitionBy("category_label").option("header", True).csv(path)
+    labelled.write.mode("overwrite").partitionBy("category_label").options(**CSV_OPTIONS).csv(path)
 
 
 def save_profiles(profiles: DataFrame, path: str) -> None:

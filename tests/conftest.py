@@ -17,6 +17,8 @@ def spark(tmp_path_factory):
         .config("spark.driver.memory", "6g")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.sql.maxMetadataStringLength", "10000")
+        .config("spark.sql.debug.maxToStringFields", "1000")
         .config("spark.checkpoint.dir", str(folder))
         .getOrCreate()
     )

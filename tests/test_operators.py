@@ -35,6 +35,8 @@ def test_clean_drops_nulls_and_copies(spark):
     assert cleaning.drop_incomplete(df).count() == 3
     assert cleaning.drop_duplicates(df).count() == 2 + len(broken)
     assert cleaning.clean(df.limit(0)).count() == 0
+    odd = frame(spark, row(), row(price=float("nan")), row(quantity=None))
+    assert cleaning.drop_incomplete(odd).collect() == odd.na.drop("any").collect()
 
 
 def test_category_without_a_second_part(spark):
