@@ -48,7 +48,7 @@ def with_rank(df: DataFrame, group: str, *order: str | Column, name: str = "rank
     return ranked.withColumn(name, F.col("_position") - F.col("_first")).drop("_position", "_first")
 
 
-def heaviest_keys(df: DataFrame, key: str, most: int = 1000, min_rows: int = 2_000_000) -> list:
+def heaviest_keys(df: DataFrame, key: str, most: int = 5000, min_rows: int = 2_000_000) -> list:
     """The keys with more than ``min_rows`` rows, at most the ``most`` heaviest of them.
 
     Every key left out holds at most 1 / (``most`` + 1) of the rows, or no more than ``min_rows``.

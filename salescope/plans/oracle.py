@@ -131,7 +131,7 @@ SELECT DISTINCT transaction_id, "timestamp", customer_id, customer_name, city, c
        price, quantity, total_amount, main_category, sub_category, month, weekday
 FROM (SELECT * FROM enriched UNION ALL SELECT * FROM enriched) WHERE quantity <> 13""",
     "date_parts": f"""{_EV}
-SELECT transaction_id, CAST("timestamp" AS DATE) AS date, CAST(year("timestamp") AS INTEGER) AS year,
+SELECT transaction_id, CAST(CAST("timestamp" AS DATE) AS VARCHAR) AS date, CAST(year("timestamp") AS INTEGER) AS year,
        CAST(month("timestamp") AS INTEGER) AS month, CAST(dayofweek("timestamp") + 1 AS INTEGER) AS day_of_week,
        CAST(hour("timestamp") AS INTEGER) AS hour_of_day FROM ev""",
     "clock_parts": f"""{_EV}

@@ -73,7 +73,9 @@ def clean_enriched(spark, folder):
 
 
 def date_parts_of_events(spark, folder):
-    return ev(spark, folder).select("transaction_id", *[c.alias(n) for n, c in date_parts("timestamp").items()])
+    parts = ev(spark, folder).select("transaction_id", *[c.alias(n) for n, c in date_parts("timestamp").items()])
+    # As text, which both engines hand over alike.
+    return parts.withColumn("date", F.col("date").cast("string"))
 
 
 def clock_parts_of_events(spark, folder):
