@@ -36,7 +36,7 @@ def day_name(ts: str | Column) -> Column:
 
 def parse_timestamp(text: str | Column) -> Column:
     """Text to a wall-clock timestamp; null where the text is none."""
-    return F.try_to_timestamp(_col(text)).cast("timestamp_ntz")
+    return _col(text).try_cast("timestamp_ntz")
 
 
 def date_parts(ts: str | Column) -> dict[str, Column]:

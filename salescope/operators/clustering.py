@@ -150,16 +150,24 @@ def row_silhouettes(df: DataFrame, ks=range(3, 20)) -> DataFrame:
     return silhouettes(features, ROW_COLUMNS, ks, key="transaction_id")
 
 
+def _with_clock(df: DataFrame) -> DataFrame:
+    return df.select("transaction_id", *[c.alias(n) for n, c in clock_parts("timestamp").items()])
+
+
 def time_clusters(df: DataFrame, k: int = TIME_CLUSTERS) -> DataFrame:
     """Every purchase with its cluster by hour, weekday and month.
 
     There are at most 24 * 7 * 12 different points, so the fit runs on those with their counts as weights, and only the
     counting and the assignment pass over the purchases.
     """
-    timed = df.select("transaction_id", *[c.alias(n) for n, c in clock_parts("timestamp").items()])
+    timed = _with_clock(df)
     return fit_clusters(timed, TIME_COLUMNS, k).assign(timed)
 
 
+def time_silhouettes(df: DataFrame, ks=range(3, 20)) -> DataFrame:
+    return silhouettes(_with_clock(df), TIME_COLUMNS, ks)
+
+
 @dataclass(frozen=True)
 class BasketSpace:
     """Customer baskets, their vocabulary, and the loadings of each term on each principal component."""
@@ -181,7 +189,14 @@ def basket_space(df: DataFrame, k: int = len(COMPONENTS)) -> BasketSpace:
     table = pd.DataFrame(loadings, columns=names)
     table.insert(0, "feature_id", table.index.astype("int32"))
     table = df.sparkSession.createDataFrame(table)
-    return BasketSpace(features, vocabulary, table, variance, project(features, loadings, names))
+    scores = materialise(project(features, loadings, names), "scores")
+    return BasketSpace(features, vocabulary, table, variance, scores)
+
+
+def explained_variance(space: BasketSpace) -> DataFrame:
+    """The share of the baskets' variance that each component explains."""
+    rows = [(f"PC{i + 1}", share) for i, share in enumerate(space.explained_variance)]
+    return space.features.sparkSession.createDataFrame(rows, "pc string, explained_variance double")
 
 
 def _customer_points(space: BasketSpace) -> DataFrame:

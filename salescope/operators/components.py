@@ -17,6 +17,9 @@ DENSE_FEATURES = 512
 #: The most numbers in a matrix on the driver.
 DRIVER_NUMBERS = 100_000_000
 
+#: The most partial sums (one per task and feature) that meet in a pass; the wider the vocabulary, the fewer the tasks.
+PARTIAL_SUMS = 200_000_000
+
 
 def principal_components(features: DataFrame, vocabulary: DataFrame, k: int, dense: int = DENSE_FEATURES):
     """Loadings (features by ``k``) and the share of variance each component explains.
@@ -111,7 +114,8 @@ def _gram_times(features: DataFrame, block: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays(columns, names=["feature_id", *names])
 
     schema = "feature_id int, " + ", ".join(f"{n} double" for n in names)
-    parts = features.select("features").mapInArrow(add_up, schema)
+    baskets = features.select("features").coalesce(max(1, PARTIAL_SUMS // len(block)))
+    parts = baskets.mapInArrow(add_up, schema)
     sums = parts.groupBy("feature_id").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
     result = np.zeros_like(block)
     result[sums["feature_id"].to_numpy()] = sums[names].to_numpy()

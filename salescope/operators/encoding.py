@@ -39,14 +39,11 @@ def with_indexes(df: DataFrame, columns: dict[str, str], labels: DataFrame | Non
     broadcast; past the bound Spark picks a shuffle join and splits hot labels.
     """
     labels = materialise(label_indexes(df, *columns), "labels") if labels is None else labels
-    sizes = dict(labels.groupBy("column").count().collect())
     for column, output in columns.items():
         lookup = labels.where(F.col("column") == column).select(
             F.col("label").alias("_label"), F.col("index").alias("_index")
         )
-        if sizes.get(column, 0) <= BROADCAST_ROWS:
-            lookup = F.broadcast(lookup)
-        found = df.join(lookup, F.col(column).cast("string") == F.col("_label"), "left")
+        found = df.join(_bounded(lookup), F.col(column).cast("string") == F.col("_label"), "left")
         unseen = F.raise_error(F.concat(F.lit(f"unseen label in {column}: "), F.col(column))).cast("double")
         missing = F.when(F.col(column).isNotNull() & F.col("_index").isNull(), unseen)
         df = found.withColumn(output, F.coalesce("_index", missing)).drop("_label", "_index")
@@ -100,15 +97,27 @@ def basket_vocabulary(terms: DataFrame, size: int = VOCABULARY_SIZE) -> DataFram
     return ranked.select(feature.cast("int").alias("feature_id"), "kind", "term", "customers")
 
 
+def _bounded(lookup: DataFrame) -> DataFrame:
+    """The lookup table, marked for broadcast if it has no more rows than the bound."""
+    return F.broadcast(lookup) if lookup.count() <= BROADCAST_ROWS else lookup
+
+
 def basket_features(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """One row per customer: the sorted feature ids of what it bought.
 
     Terms outside the vocabulary become null before the lists are built, so a list is never longer than the vocabulary,
     and a customer with no other terms keeps an empty one.
     """
-    lookup = vocabulary.select("kind", "term", "feature_id")
-    if lookup.count() <= BROADCAST_ROWS:
-        lookup = F.broadcast(lookup)
+    lookup = _bounded(vocabulary.select("kind", "term", "feature_id"))
     ids = terms.join(lookup, ["kind", "term"], "left").select("customer_id", "feature_id")
     return ids.groupBy("customer_id").agg(F.sort_array(F.collect_list("feature_id")).alias("features"))
 
+
+def basket_lists(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """One row per customer: the sorted categories and products of the vocabulary that it bought."""
+    known = terms.join(_bounded(vocabulary.select("kind", "term")), ["kind", "term"], "left_semi")
+
+    def of(kind: str) -> Column:
+        return F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("term"))))
+
+    return known.groupBy("customer_id").agg(of("Category").alias("categories"), of("Product").alias("products"))

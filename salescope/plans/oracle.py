@@ -197,6 +197,10 @@ SELECT transaction_id, {_SCALED} FROM sequences, ranges""",
     "customer_baskets": f"""{_TX}{_BASKETS}
 SELECT customer_id, string_agg(CAST(feature_id AS VARCHAR), ' ' ORDER BY feature_id) AS features
 FROM terms JOIN vocabulary USING (kind, term) GROUP BY customer_id""",
+    "basket_lists": f"""{_TX}{_BASKETS}
+SELECT customer_id, string_agg(term, '|' ORDER BY term) FILTER (kind = 'Category') AS categories,
+       string_agg(term, '|' ORDER BY term) FILTER (kind = 'Product') AS products
+FROM terms GROUP BY customer_id""",
     "repurchase_test_customers": f"""{_EV}
 SELECT customer_id, futur_purchase, class_weight FROM profiles WHERE NOT ({_IN_TRAIN})""",
     "forecast_inputs": f"{_EV}\nSELECT {_SEQUENCE} FROM sequences WHERE next_amount IS NULL",

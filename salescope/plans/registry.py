@@ -238,6 +238,13 @@ def customer_baskets(spark, folder):
     return baskets.select("customer_id", F.array_join("features", " ").alias("features"))
 
 
+def basket_lists(spark, folder):
+    terms = customers.basket_terms(tx(spark, folder))
+    lists = encoding.basket_lists(terms, encoding.basket_vocabulary(terms))
+    joined = {c: F.array_join(c, "|").alias(c) for c in ("categories", "products")}
+    return lists.select("customer_id", *joined.values())
+
+
 def row_clusters(spark, folder):
     return clustering.row_clusters(tx(spark, folder))
 
@@ -250,6 +257,18 @@ def silhouette_by_k(spark, folder):
     return clustering.row_silhouettes(tx(spark, folder))
 
 
+def time_silhouette_by_k(spark, folder):
+    return clustering.time_silhouettes(ev(spark, folder))
+
+
+def customer_silhouette_by_k(spark, folder):
+    return clustering.customer_silhouettes(clustering.basket_space(tx(spark, folder)))
+
+
+def pca_explained_variance(spark, folder):
+    return clustering.explained_variance(clustering.basket_space(tx(spark, folder)))
+
+
 def time_clusters(spark, folder):
     return clustering.time_clusters(ev(spark, folder))
 
@@ -334,12 +353,16 @@ QUERIES = {
     "basket_terms": basket_terms,
     "basket_vocabulary": basket_vocabulary,
     "customer_baskets": customer_baskets,
+    "basket_lists": basket_lists,
     "row_clusters": row_clusters,
     "row_cluster_sample": row_cluster_sample,
     "silhouette_by_k": silhouette_by_k,
+    "time_silhouette_by_k": time_silhouette_by_k,
+    "customer_silhouette_by_k": customer_silhouette_by_k,
     "time_clusters": time_clusters,
     "customer_clusters": customer_clusters,
     "pca_loadings": pca_loadings,
+    "pca_explained_variance": pca_explained_variance,
     "pca_extreme_features": pca_extreme_features,
     "repurchase_test_customers": repurchase_test_customers,
     "repurchase_scores": repurchase_scores,

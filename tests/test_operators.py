@@ -63,9 +63,11 @@ def test_times_do_not_depend_on_the_session_zone(spark, zone):
         times = text.select(F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
         hours = times.select(fn.hours_between("a", "b")).head()[0]
         seconds = times.select(fn.seconds_of("a")).head()[0]
+        skipped = text.select(fn.parse_timestamp(F.lit("2024-03-10 02:30:00.5"))).head()[0]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert hours == 2.0
+    assert skipped == dt.datetime(2024, 3, 10, 2, 30, 0, 500000)
     assert seconds == int(dt.datetime(2024, 3, 10, 1, 30, tzinfo=dt.timezone.utc).timestamp())
 
 

@@ -35,7 +35,7 @@ def large_tables(spark):
 
 
 # The iterative fits are left out: they run their jobs before there is a plan to look at.
-LAZY = [n for n in QUERIES if not re.search("cluster|silhouette|pca|repurchase_[sq]|forecast|saved|baskets|vocab", n)]
+LAZY = [n for n in QUERIES if not re.search("cluster|silhouette|pca|repurchase_[sq]|forecast|saved|basket_[lv]|baskets", n)]
 
 
 @pytest.mark.parametrize("name", LAZY)
