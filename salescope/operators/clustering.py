@@ -76,10 +76,11 @@ class _Points:
 
     @classmethod
     def of_rows(cls, df: DataFrame, columns: tuple[str, ...], key: str) -> _Points:
-        """Every row, identified by ``key``, is a point."""
+        """Every row, identified by ``key``, is a point. The key's hash spreads and orders the points; rows that agree in
+        it and in all columns are interchangeable."""
         deviations = df.agg(*[F.stddev_samp(c).alias(c) for c in columns]).head()
-        points = df.select(key, *columns, F.lit(1.0).alias("weight"))
-        return cls(canonical_layout(points, key), _settled(deviations))
+        points = df.select(F.xxhash64(key).alias("_key"), *columns, F.lit(1.0).alias("weight"))
+        return cls(canonical_layout(points, "_key", *columns), _settled(deviations))
 
     @classmethod
     def merged(cls, df: DataFrame, columns: tuple[str, ...]) -> _Points:

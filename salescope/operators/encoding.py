@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from salescope.operators.ordering import with_rank
 from salescope.sources.scratch import materialise
 
-#: A lookup table is broadcast up to this many rows; a larger one is joined by shuffle.
-BROADCAST_ROWS = 1 << 19
+#: A lookup table is broadcast up to this size; a larger one is joined by shuffle.
+BROADCAST_BYTES = 64 << 20
 
 #: The most categories, and the most products, a basket vocabulary holds (the default of Spark's CountVectorizer).
 VOCABULARY_SIZE = 1 << 18
@@ -35,7 +35,7 @@ def label_indexes(df: DataFrame, *columns: str) -> DataFrame:
 def with_indexes(df: DataFrame, columns: dict[str, str], labels: DataFrame | None = None) -> DataFrame:
     """Add an index column for each column of ``columns`` (column to new name).
 
-    A label that ``labels`` does not have is an error. Each column's label count is checked before its labels are
+    A label that ``labels`` does not have is an error. The size of a column's labels is checked before they are
     broadcast; past the bound Spark picks a shuffle join and splits hot labels.
     """
     labels = materialise(label_indexes(df, *columns), "labels") if labels is None else labels
@@ -98,8 +98,10 @@ def basket_vocabulary(terms: DataFrame, size: int = VOCABULARY_SIZE) -> DataFram
 
 
 def _bounded(lookup: DataFrame) -> DataFrame:
-    """The lookup table, marked for broadcast if it has no more rows than the bound."""
-    return F.broadcast(lookup) if lookup.count() <= BROADCAST_ROWS else lookup
+    """The lookup table, marked for broadcast if its contents, added up first, are within the bound."""
+    cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in lookup.columns]
+    size = lookup.agg(F.sum(sum(cells[1:], cells[0]))).head()[0] or 0
+    return F.broadcast(lookup) if size <= BROADCAST_BYTES else lookup
 
 
 def basket_features(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:

@@ -24,6 +24,7 @@ from salescope.operators import (
 from salescope.sources import (
     events_as_transactions,
     lineitems_as_transactions,
+    materialise,
     save_profiles,
     scratch_path,
     top_saved_profiles,
@@ -101,7 +102,9 @@ def segment_ratio(spark, folder):
 
 
 def median_amount(spark, folder):
-    return exploration.median(tx(spark, folder), "total_amount", "median_amount")
+    # The rounds of the median read one written column in place of the joins.
+    amounts = materialise(tx(spark, folder).select("total_amount"), "amounts")
+    return exploration.median(amounts, "total_amount", "median_amount")
 
 
 def top_products_by_count(spark, folder):
@@ -151,8 +154,7 @@ def distinct_products(spark, folder):
 
 
 def earliest_rows(spark, folder):
-    rows = exploration.with_clean_names(exploration.with_month_and_day_name(ev(spark, folder)))
-    return exploration.earliest_rows(rows)
+    return exploration.with_clean_names(exploration.with_month_and_day_name(exploration.earliest_rows(ev(spark, folder))))
 
 
 def next_purchase(spark, folder):

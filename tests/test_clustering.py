@@ -29,9 +29,9 @@ def test_label_index_equals_string_indexer(purchases):
         assert [r.label for r in sorted(ours, key=lambda r: r["index"]) if r["column"] == column] == labels
 
 
-@pytest.mark.parametrize("bound", [0, 10**6])
+@pytest.mark.parametrize("bound", [0, 10**9])
 def test_index_joined_either_way(purchases, monkeypatch, bound):
-    monkeypatch.setattr(encoding, "BROADCAST_ROWS", bound)
+    monkeypatch.setattr(encoding, "BROADCAST_BYTES", bound)
     indexed = encoding.with_indexes(purchases, {"city": "city_index"})
     assert indexed.count() == purchases.count()
     pairs = {(r.label, r["index"]) for r in encoding.label_indexes(purchases, "city").collect()}
