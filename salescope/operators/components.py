@@ -83,29 +83,35 @@ def _krylov_components(
         images = np.hstack([images, covariance_times(newest)])
 
 
-def _flat(lists: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, int]:
-    """Feature ids of all rows in one array, with the row each belongs to."""
-    lists = lists.combine_chunks() if isinstance(lists, pa.ChunkedArray) else lists
-    ids = lists.flatten().to_numpy(zero_copy_only=False)
-    lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-    return ids, np.repeat(np.arange(len(lengths)), lengths), len(lengths)
+def _task_functions():
+    """The functions that tasks run. Made inside a function, they travel to the tasks with their code, so that executors
+    need numpy and Arrow but not this package."""
 
+    def flat(lists):
+        """Feature ids of all rows in one array, with the row each belongs to."""
+        ids = lists.flatten().to_numpy(zero_copy_only=False)
+        lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
+        return ids, np.repeat(np.arange(len(lengths)), lengths), len(lengths)
 
-def _row_sums(ids: np.ndarray, rows: np.ndarray, count: int, matrix: np.ndarray) -> np.ndarray:
-    return np.column_stack([np.bincount(rows, matrix[ids, j], minlength=count) for j in range(matrix.shape[1])])
+    def row_sums(ids, rows, count, matrix):
+        """Per row, the sum of the matrix rows of its feature ids."""
+        return np.column_stack([np.bincount(rows, matrix[ids, j], minlength=count) for j in range(matrix.shape[1])])
+
+    return flat, row_sums
 
 
 def _gram_times(features: DataFrame, block: np.ndarray) -> np.ndarray:
     """The sum over baskets x of x (x . block): tasks add up their baskets, and the tasks' sums meet by feature."""
     shared = features.sparkSession.sparkContext.broadcast(block)
     names = [f"z{j}" for j in range(block.shape[1])]
+    flat, row_sums = _task_functions()
 
     def add_up(batches):
         matrix = shared.value
         total = np.zeros_like(matrix)
         for batch in batches:
-            ids, rows, count = _flat(batch.column(0))
-            along = _row_sums(ids, rows, count, matrix)
+            ids, rows, count = flat(batch.column(0))
+            along = row_sums(ids, rows, count, matrix)
             total += np.column_stack(
                 [np.bincount(ids, along[rows, j], minlength=len(matrix)) for j in range(matrix.shape[1])]
             )
@@ -126,11 +132,12 @@ def _gram_times(features: DataFrame, block: np.ndarray) -> np.ndarray:
 def project(features: DataFrame, loadings: np.ndarray, names: list[str]) -> DataFrame:
     """Each customer's score per component: the sum of the loadings of its basket (not centred)."""
     shared = features.sparkSession.sparkContext.broadcast(loadings)
+    flat, row_sums = _task_functions()
 
     def score(batches):
         for batch in batches:
-            ids, rows, count = _flat(batch.column(1))
-            sums = _row_sums(ids, rows, count, shared.value)
+            ids, rows, count = flat(batch.column(1))
+            sums = row_sums(ids, rows, count, shared.value)
             columns = [batch.column(0), *[pa.array(sums[:, j]) for j in range(sums.shape[1])]]
             yield pa.RecordBatch.from_arrays(columns, names=["customer_id", *names])
 

@@ -1,5 +1,10 @@
 """Properties of encodings, principal components and clusterings."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import numpy as np
 import pytest
 from pyspark.ml.feature import CountVectorizer, StringIndexer
@@ -162,3 +167,21 @@ def test_customer_clusters_and_silhouettes(space, spark, sf):
     assert clusters.count() == space.features.count()
     scores = clustering.customer_silhouettes(space, ks=(2, 3)).collect()
     assert [r.k for r in scores] == [2, 3] and all(-1 <= r.silhouette <= 1 for r in scores)
+
+
+def test_tasks_do_not_import_the_package(tmp_path, sf):
+    """Run where Python workers cannot find the package: another working folder, and a path set in the driver only."""
+    script = f"""
+import sys
+sys.path.insert(0, {str(Path(__file__).parents[1])!r})
+from pyspark.sql import SparkSession
+from salescope.operators import clustering, components
+from salescope.plans.registry import tx
+spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
+clustering.principal_components.__defaults__ = (0,)
+space = clustering.basket_space(tx(spark, {sf!r}))
+print("customers", space.scores.count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "customers 150" in done.stdout, done.stderr[-2000:]
