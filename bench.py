@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import os
-import tempfile
 import time
 
 from pyspark.sql import SparkSession
@@ -26,8 +25,9 @@ def main() -> None:
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="salescope-bench-"))
     )
+    if os.environ.get("BENCH_SCRATCH"):
+        builder = builder.config("spark.checkpoint.dir", os.environ["BENCH_SCRATCH"])
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     # One untimed query: class loading and code generation are no part of any query's time.

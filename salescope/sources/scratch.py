@@ -7,7 +7,6 @@ a lost executor costs a re-read and never a second, different layout; and later
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,12 +14,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 def _shared_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    folder = tempfile.mkdtemp(prefix="salescope-")
-    spark.conf.set("spark.checkpoint.dir", folder)
+    if not folder:
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder
 
 

@@ -44,7 +44,7 @@ def compare(frame, con, sql):
         return f"{len(ours)} rows against {len(theirs)}"
     wrong = [(a, b) for a, b in zip(ours, theirs) if a != b]
     types = {n: str(t) for n, t in zip(result.columns, result.types)}
-    plain = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    plain = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN",
              "timestamp_ntz": "TIMESTAMP"}
     mixed = [(n, t, types[n]) for n, t in frame.dtypes if plain.get(t, t) != types[n]]
     return "" if not wrong and not mixed else f"{len(wrong)} rows differ, first {wrong[:1]}; types {mixed}"
