@@ -3,13 +3,18 @@
 from __future__ import annotations
 
 from salescope.llm.decontamination import OP4_SQL, op4_decontamination
+from salescope.llm.quality import op7_quality
+from salescope.llm.secrets import OP3_SQL, op3_secrets
 from salescope.llm.sharding import op5_sharding
 
 QUERIES = {
+    "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
+    "op7_quality": op7_quality,
 }
 
 ORACLE = {
+    "op3_secrets": OP3_SQL,
     "op4_decontamination": OP4_SQL,
 }
