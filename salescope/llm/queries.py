@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 from salescope.llm.decontamination import OP4_SQL, op4_decontamination
+from salescope.llm.html import op9_html
+from salescope.llm.language import op6_language
+from salescope.llm.licenses import op8_licenses
 from salescope.llm.quality import op7_quality
 from salescope.llm.secrets import OP3_SQL, op3_secrets
 from salescope.llm.sharding import op5_sharding
@@ -11,7 +14,10 @@ QUERIES = {
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
+    "op6_language": op6_language,
     "op7_quality": op7_quality,
+    "op8_licenses": op8_licenses,
+    "op9_html": op9_html,
 }
 
 ORACLE = {
