@@ -6,11 +6,15 @@ from salescope.llm.decontamination import OP4_SQL, op4_decontamination
 from salescope.llm.html import op9_html
 from salescope.llm.language import op6_language
 from salescope.llm.licenses import op8_licenses
+from salescope.llm.mixing import op2_mixing
+from salescope.llm.neardup import op1_neardup
 from salescope.llm.quality import op7_quality
 from salescope.llm.secrets import OP3_SQL, op3_secrets
 from salescope.llm.sharding import op5_sharding
 
 QUERIES = {
+    "op1_neardup": op1_neardup,
+    "op2_mixing": op2_mixing,
     "op3_secrets": op3_secrets,
     "op4_decontamination": op4_decontamination,
     "op5_sharding": op5_sharding,
