@@ -11,6 +11,7 @@ from salescope.llm.neardup import op1_neardup
 from salescope.llm.quality import op7_quality
 from salescope.llm.secrets import OP3_SQL, op3_secrets
 from salescope.llm.sharding import op5_sharding
+from salescope.llm.suffixes import op10_suffixes
 
 QUERIES = {
     "op1_neardup": op1_neardup,
@@ -22,6 +23,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_licenses": op8_licenses,
     "op9_html": op9_html,
+    "op10_suffixes": op10_suffixes,
 }
 
 ORACLE = {
