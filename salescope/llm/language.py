@@ -169,7 +169,9 @@ def train(rows: list, seed: int = 3) -> Model:
     share = softmax(scores, temperature)
     right = share.argmax(axis=1) == truth
     accepted = share.max(axis=1)[right]
-    threshold = float(np.quantile(accepted, MOST_REJECTED)) if len(accepted) else 0.0
+    # Too few rows cannot show so small a share: then only scores no better than chance are rejected.
+    enough = len(accepted) * MOST_REJECTED >= 1
+    threshold = float(np.quantile(accepted, MOST_REJECTED)) if enough else 1 / len(languages)
     return Model(table, languages, temperature, min(threshold, 0.5))
 
 
@@ -193,8 +195,9 @@ def with_language(docs: DataFrame, model: Model) -> DataFrame:
 
 
 def keep_known(docs: DataFrame) -> DataFrame:
-    """``docs`` without those whose language is rejected; the columns stay as they are."""
-    return with_language(docs, train(examples(docs))).where("not rejected").select(*docs.columns)
+    """``docs`` without those whose language is rejected; the columns stay as they are, whatever their names."""
+    packed = docs.select(F.struct(*docs.columns).alias("_row"), "text")
+    return with_language(packed, train(examples(docs))).where("not rejected").select("_row.*")
 
 
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,10 +6,11 @@ posterior and n(i) the tokens of a document, the rates r(i) >= 0 minimise
 
     1/2 |sum_i r(i) n(i) P(i, .) - target|^2 + RIDGE/2 sum_i n(i) (r(i) - 1)^2
 
-by projected gradient steps. Lengths of the residual are taken relative to the domains' overlap, so that a rare domain
-settles as fast as a frequent one. What changes from step to step is one residual of K numbers: a pass over the table
-replays the steps so far for each document and adds up the expected tokens per domain, so nothing but these K sums comes
-to the driver, no rates are stored, and a lost executor costs one repeated task.
+by projected gradient steps. Lengths of the residual are taken relative to the domains' overlap (among documents with a
+rate above 0), so that a rare domain settles as fast as a frequent one. What changes from step to step is one move of K
+numbers: a pass over the table replays the moves so far for each document and adds up the expected tokens per domain and
+the overlap, so nothing but these K + K x K sums comes to the driver, no rates are stored, and a lost executor costs one
+repeated task.
 
 Contract: a null or empty text has no tokens and takes the posteriors of the statistics alone; labels that are null or
 of unknown ids teach nothing; without labels there is one domain, and all rates are 1; a domain that no document can
@@ -167,39 +168,41 @@ def solve(table: DataFrame, weights: list[float], epochs: float = 1.0) -> tuple[
     """The steps whose replay gives the rates, and the last residual per domain (as shares of all tokens)."""
     k = len(weights)
 
-    def overlap(batch) -> np.ndarray:
-        tokens, p = _arrays(batch, k)
-        return np.concatenate([[tokens.sum()], ((p * tokens[:, None]).T @ p).ravel()])
-
-    first = _summed(table, overlap, 1 + k * k)
-    total = first[0]
-    if not total:
-        return [], np.zeros(k)
-    # Directions that (nearly) no document has cannot be served and are left alone.
-    measure = np.linalg.pinv(first[1:].reshape(k, k) / total, rcond=1e-6, hermitian=True)
-    target, steps, residual = np.array(weights) * epochs, [], np.zeros(k)
-    for _ in range(MOST_PASSES):
+    tokens = _summed(table, lambda batch: np.array([_arrays(batch, k)[0].sum()]), 1)[0]
+    target, steps, residual, size, last = np.array(weights) * epochs, [], np.zeros(k), 1.0, np.inf
+    for _ in range(MOST_PASSES if tokens else 0):
         taken = list(steps)
 
         def supplied(batch, taken=taken) -> np.ndarray:
-            tokens, p = _arrays(batch, k)
-            return (replay(p, taken) * tokens) @ p
+            n, p = _arrays(batch, k)
+            rates = replay(p, taken)
+            # The overlap of domains among the documents that can still move.
+            return np.concatenate([(rates * n) @ p, ((p * (n * (rates > 0))[:, None]).T @ p).ravel()])
 
-        residual = _summed(table, supplied, k) / total - target
+        sums = _summed(table, supplied, k + k * k) / tokens
+        residual = sums[:k] - target
         if np.abs(residual).max() < TOLERANCE:
             break
-        steps.append(measure @ residual)
+        # A step that led away was too long: all further ones are shorter.
+        size, last = (size / 2 if np.abs(residual).max() > last else size), np.abs(residual).max()
+        # Directions that (nearly) no document has cannot be served and are left alone.
+        measure = np.linalg.pinv(sums[k:].reshape(k, k), rcond=1e-6, hermitian=True)
+        steps.append(size * (measure @ residual))
     return steps, residual
 
 
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], epochs: float = 1.0, seed: int = 17) -> DataFrame:
-    """``docs`` with n_tokens, posteriors (by sorted domain), rate, and copies: the rate rounded up or down by a hash.
+    """(doc_id, row, n_tokens, posteriors (by sorted domain), rate, copies): the rate rounded up or down by a hash.
 
-    The expected tokens of domain k over all copies are its target weight times ``epochs`` times all tokens.
+    ``row`` holds the columns of ``docs``. The expected tokens of domain k over all copies are its target weight times
+    ``epochs`` times all tokens.
     """
     domains = sorted(targets)
-    table = materialise(with_posteriors(docs, fit(docs, labels, domains)), "posteriors")
-    return _rated(table, *solve(table, [targets[d] / sum(targets.values()) for d in domains], epochs)[:1], seed)
+    weights = fit(docs, labels, domains)
+    packed = docs.select("doc_id", F.struct(*docs.columns).alias("row"), "text")
+    table = materialise(with_posteriors(packed, weights).drop("text"), "posteriors")
+    steps, _ = solve(table, [targets[d] / sum(targets.values()) for d in domains], epochs)
+    return _rated(table, steps, seed)
 
 
 def _rated(table: DataFrame, steps: list[np.ndarray], seed: int) -> DataFrame:
@@ -214,15 +217,14 @@ def _rated(table: DataFrame, steps: list[np.ndarray], seed: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(replay(p, taken))], names=[*names, "rate"])
 
     rated = table.mapInArrow(of_batches, table.selectExpr("*", "0D as rate").schema)
-    ids = [c for c in ("doc_id", "item_id") if c in names] or names[:1]
-    chance = F.pmod(F.xxhash64(*ids, F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
+    chance = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     return rated.withColumn("copies", F.floor(F.col("rate") + chance).cast("int"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | None = None) -> DataFrame:
     """``docs`` with each row as often as the mix says; the columns stay as they are."""
     mixed = mix(docs, labels, targets or TARGETS).where("copies > 0")
-    return mixed.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+    return mixed.select("row", F.explode(F.sequence(F.lit(1), "copies"))).select("row.*")
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
