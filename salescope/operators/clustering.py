@@ -5,21 +5,26 @@ from __future__ import annotations
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
-import pandas as pd
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.functions import clock_parts
 from salescope.operators.components import principal_components, project
 from salescope.operators.customers import basket_terms
-from salescope.operators.encoding import basket_features, basket_vocabulary, with_indexes
+from salescope.operators.encoding import (
+    basket_entries,
+    basket_vocabulary,
+    deviations_of,
+    scaled_columns,
+    with_indexes,
+)
 from salescope.sources.scratch import materialise
 
-#: Rows per partition of an iterative fit, below the limit on partitions.
+#: Rows per partition of an iterative fit. The partitions follow from it and from the number of rows alone.
 ROWS_PER_PARTITION = 10_000
 
 #: Numbers of clusters tried at the same time.
@@ -33,17 +38,16 @@ CUSTOMER_CLUSTERS = 4
 TIME_COLUMNS = ("hour", "day_of_week", "month")
 TIME_CLUSTERS = 8
 COMPONENTS = ("PC1", "PC2", "PC3")
+TRIED_CLUSTERS = range(3, 20)
 
 
-def canonical_layout(df: DataFrame, *key: str) -> DataFrame:
-    """The same rows in the same partitions and order whatever the layout of the input. ``key`` must be unique, so that
-    the partitions are even. Seeded algorithms draw by partition, so they repeat only on such a layout.
+def canonical_layout(df: DataFrame, rows: int, *key: str) -> DataFrame:
+    """The same rows in the same partitions and order, whatever the layout of the input and the settings of the session.
 
-    The number of partitions follows from the number of rows, up to ``spark.sql.shuffle.partitions``.
+    ``key`` must be unique, so that the partitions are even; ``rows`` is the number of rows, which alone decides the number
+    of partitions. Seeded algorithms draw by partition, so they repeat only on such a layout.
     """
-    most = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    partitions = min(most, df.count() // ROWS_PER_PARTITION + 1)
-    return df.repartition(partitions, *key).sortWithinPartitions(*key)
+    return df.repartition(rows // ROWS_PER_PARTITION + 1, *key).sortWithinPartitions(*key)
 
 
 @dataclass(frozen=True)
@@ -58,13 +62,8 @@ class ScaledClusters:
 
 
 def scaled_vector(deviations: dict[str, float]) -> Column:
-    """Each column divided by its deviation, without centring; a constant column becomes 0."""
-    return array_to_vector(F.array(*[F.col(c) / d if d else F.lit(0.0) for c, d in deviations.items()]))
-
-
-def _settled(deviations: Row) -> dict[str, float]:
-    # Tasks add up in any order, which moves the last digits. Without them a seeded fit always starts from the same values.
-    return {c: float(f"{d or 0.0:.12g}") for c, d in deviations.asDict().items()}
+    """The scaled columns as one vector."""
+    return array_to_vector(F.array(*scaled_columns(deviations).values()))
 
 
 @dataclass(frozen=True)
@@ -78,9 +77,9 @@ class _Points:
     def of_rows(cls, df: DataFrame, columns: tuple[str, ...], key: str) -> _Points:
         """Every row, identified by ``key``, is a point. The key's hash spreads and orders the points; rows that agree in
         it and in all columns are interchangeable."""
-        deviations = df.agg(*[F.stddev_samp(c).alias(c) for c in columns]).head()
+        deviations, rows = deviations_of(df, *columns)
         points = df.select(F.xxhash64(key).alias("_key"), *columns, F.lit(1.0).alias("weight"))
-        return cls(canonical_layout(points, "_key", *columns), _settled(deviations))
+        return cls(canonical_layout(points, rows, "_key", *columns), deviations)
 
     @classmethod
     def merged(cls, df: DataFrame, columns: tuple[str, ...]) -> _Points:
@@ -89,11 +88,14 @@ class _Points:
         points = df.groupBy(*columns).agg(F.count(F.lit(1)).cast("double").alias("weight"))
         points = materialise(points, "points")
         rows = F.sum("weight")
-        means = points.agg(*[(F.sum(F.col(c) * F.col("weight")) / rows).alias(c) for c in columns]).head()
+        means = points.agg(
+            *[(F.sum(F.col(c) * F.col("weight")) / rows).alias(c) for c in columns], F.count(F.lit(1)).alias("_points")
+        ).head()
         spread = {c: F.sum(F.col("weight") * (F.col(c) - F.lit(means[c])) ** 2) for c in columns}
         divisor = F.nullif(rows - 1, F.lit(0.0))
         deviations = points.agg(*[F.sqrt(s / divisor).alias(c) for c, s in spread.items()]).head()
-        return cls(canonical_layout(points, *columns), _settled(deviations))
+        settled = {c: float(f"{d or 0.0:.12g}") for c, d in deviations.asDict().items()}
+        return cls(canonical_layout(points, means["_points"], *columns), settled)
 
     @classmethod
     def of(cls, df: DataFrame, columns: tuple[str, ...], key: str | None) -> _Points:
@@ -113,7 +115,68 @@ def fit_clusters(df: DataFrame, columns: tuple[str, ...], k: int, key: str | Non
     return ScaledClusters(points.deviations, _kmeans(k, "scaled").fit(points.scaled()))
 
 
-def silhouettes(df: DataFrame, columns: tuple[str, ...], ks=range(3, 20), key: str | None = None) -> DataFrame:
+def placement(rows: DataFrame, columns: dict[str, Column], model: KMeansModel) -> DataFrame:
+    """(rows, misplaced, clusters): rows that are not with their nearest centre, which a right assignment has none of."""
+
+    def distance(centre) -> Column:
+        parts = [(value - F.lit(float(x))) ** 2 for value, x in zip(columns.values(), centre)]
+        return sum(parts[1:], parts[0])
+
+    distances = F.array(*[distance(c) for c in model.clusterCenters()])
+    own = F.element_at(distances, F.col("prediction") + 1)
+    return rows.agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.sum((own > F.array_min(distances) + 1e-9).cast("bigint")).alias("misplaced"),
+        F.lit(len(model.clusterCenters())).alias("clusters"),
+    )
+
+
+def row_placement(df: DataFrame) -> DataFrame:
+    """``placement`` of the purchases in their clusters."""
+    features = materialise(with_row_features(df).select("transaction_id", *ROW_COLUMNS), "row-features")
+    fitted = fit_clusters(features, ROW_COLUMNS, ROW_CLUSTERS, key="transaction_id")
+    return placement(fitted.assign(features), scaled_columns(fitted.deviations), fitted.model)
+
+
+def time_placement(df: DataFrame) -> DataFrame:
+    """``placement`` of the purchase times in their clusters."""
+    timed = _with_clock(df)
+    fitted = fit_clusters(timed, TIME_COLUMNS, TIME_CLUSTERS)
+    return placement(fitted.assign(timed), scaled_columns(fitted.deviations), fitted.model)
+
+
+def customer_placement(space: BasketSpace) -> DataFrame:
+    """``placement`` of the customers in their clusters."""
+    points = _customer_points(space)
+    model = _kmeans(CUSTOMER_CLUSTERS, "point").fit(points)
+    return placement(model.transform(points), {c: F.col(c) for c in COMPONENTS}, model)
+
+
+def component_checks(space: BasketSpace) -> DataFrame:
+    """Per component: features, its length, its overlap with the others, and the share of its image that is not along it.
+
+    The image is worked out from the baskets, customer by customer, with the means taken off.
+    """
+    names = space.loadings.columns[1:]
+    customers = space.scores.count()
+    means = space.scores.agg(*[F.avg(c).alias(c) for c in names]).first()
+    centred = space.scores.select("customer_id", *[(F.col(c) - means[c]).alias(c) for c in names])
+    sums = space.entries.join(centred, "customer_id").groupBy("feature_id").agg(*[F.sum(c).alias(f"image_{c}") for c in names])
+    both = materialise(space.loadings.join(sums, "feature_id"), "images")
+    rows = []
+    for c in names:
+        image = F.col(f"image_{c}") / (customers - 1)
+        along = both.agg(F.sum(F.col(c) * image)).first()[0]
+        others = [F.abs(F.sum(F.col(c) * F.col(o))) for o in names if o != c]
+        rows.append(both.agg(
+            F.lit(c).alias("pc"), F.count(F.lit(1)).alias("features"), F.round(F.sqrt(F.sum(F.col(c) ** 2)), 6).alias("length"),
+            F.round(F.greatest(*others), 6).alias("overlap"),
+            F.round(F.sqrt(F.sum((image - F.lit(along) * F.col(c)) ** 2)) / along, 4).alias("residual"),
+        ))
+    return rows[0].unionByName(rows[1]).unionByName(rows[2])
+
+
+def silhouettes(df: DataFrame, columns: tuple[str, ...], ks=TRIED_CLUSTERS, key: str | None = None) -> DataFrame:
     """The silhouette (squared Euclidean) for each number of clusters, over points that are laid out and cached once."""
     return _silhouettes(_Points.of(df, columns, key).scaled(), "scaled", ks)
 
@@ -146,7 +209,7 @@ def row_clusters(df: DataFrame, k: int = ROW_CLUSTERS) -> DataFrame:
     return fit_clusters(features, ROW_COLUMNS, k, key="transaction_id").assign(features)
 
 
-def row_silhouettes(df: DataFrame, ks=range(3, 20)) -> DataFrame:
+def row_silhouettes(df: DataFrame, ks=TRIED_CLUSTERS) -> DataFrame:
     features = materialise(with_row_features(df).select("transaction_id", *ROW_COLUMNS), "row-features")
     return silhouettes(features, ROW_COLUMNS, ks, key="transaction_id")
 
@@ -165,18 +228,18 @@ def time_clusters(df: DataFrame, k: int = TIME_CLUSTERS) -> DataFrame:
     return fit_clusters(timed, TIME_COLUMNS, k).assign(timed)
 
 
-def time_silhouettes(df: DataFrame, ks=range(3, 20)) -> DataFrame:
+def time_silhouettes(df: DataFrame, ks=TRIED_CLUSTERS) -> DataFrame:
     return silhouettes(_with_clock(df), TIME_COLUMNS, ks)
 
 
 @dataclass(frozen=True)
 class BasketSpace:
-    """Customer baskets, their vocabulary, and the loadings of each term on each principal component."""
+    """Customer baskets as entries, their vocabulary, and the loadings of each term on each principal component."""
 
-    features: DataFrame
+    entries: DataFrame
     vocabulary: DataFrame
     loadings: DataFrame
-    explained_variance: list[float]
+    explained_variance: list[float | None]
     scores: DataFrame
 
 
@@ -184,26 +247,22 @@ def basket_space(df: DataFrame, k: int = len(COMPONENTS)) -> BasketSpace:
     """Baskets of categories and products, reduced to their first ``k`` principal components: one fit for all uses."""
     terms = materialise(basket_terms(df), "terms")
     vocabulary = materialise(basket_vocabulary(terms), "vocabulary")
-    features = materialise(basket_features(terms, vocabulary), "baskets")
-    loadings, variance = principal_components(features, vocabulary, k)
-    names = [f"PC{i + 1}" for i in range(k)]
-    table = pd.DataFrame(loadings, columns=names)
-    table.insert(0, "feature_id", table.index.astype("int32"))
-    table = df.sparkSession.createDataFrame(table)
-    scores = materialise(project(features, loadings, names), "scores")
-    return BasketSpace(features, vocabulary, table, variance, scores)
+    entries = materialise(basket_entries(terms, vocabulary), "baskets")
+    loadings, variance = principal_components(entries, vocabulary, k)
+    scores = materialise(project(entries, loadings), "scores")
+    return BasketSpace(entries, vocabulary, loadings, variance, scores)
 
 
 def explained_variance(space: BasketSpace) -> DataFrame:
     """The share of the baskets' variance that each component explains."""
     rows = [(f"PC{i + 1}", share) for i, share in enumerate(space.explained_variance)]
-    return space.features.sparkSession.createDataFrame(rows, "pc string, explained_variance double")
+    return space.entries.sparkSession.createDataFrame(rows, "pc string, explained_variance double")
 
 
 def _customer_points(space: BasketSpace) -> DataFrame:
     vector = array_to_vector(F.array(*space.scores.columns[1:]))
     points = space.scores.withColumns({"point": vector, "weight": F.lit(1.0)})
-    return canonical_layout(points, "customer_id")
+    return canonical_layout(points, space.scores.count(), "customer_id")
 
 
 def customer_clusters(space: BasketSpace, k: int = CUSTOMER_CLUSTERS) -> DataFrame:
@@ -212,7 +271,7 @@ def customer_clusters(space: BasketSpace, k: int = CUSTOMER_CLUSTERS) -> DataFra
     return _kmeans(k, "point").fit(points).transform(points).drop("point", "weight")
 
 
-def customer_silhouettes(space: BasketSpace, ks=range(3, 20)) -> DataFrame:
+def customer_silhouettes(space: BasketSpace, ks=TRIED_CLUSTERS) -> DataFrame:
     return _silhouettes(_customer_points(space), "point", ks)
 
 

@@ -1,146 +1,151 @@
-"""Principal components of customer baskets (0/1 features given as lists of feature ids)."""
+"""Principal components of customer baskets, with everything that grows in tables.
+
+A basket is a row of 0/1 features, given as entries (customer_id, feature_id). The covariance matrix is never formed: a
+block of trial vectors is a table with one row per feature, and its product with the covariance is two joins with the
+entries, each summed up by the other side's key. The driver holds matrices of the block's few columns only, however many
+features and customers there are.
+"""
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.feature import PCA, CountVectorizerModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions import strings_of
+from salescope.operators.encoding import BROADCAST_BYTES, bounded
+from salescope.sources.scratch import materialise
 
-#: Up to this many features Spark's PCA is used. It adds up a features-by-features matrix in every task and decomposes it
-#: on the driver, which is out of the question for a wide vocabulary.
-DENSE_FEATURES = 512
+#: Trial vectors beyond the wanted ones; more of them settle in fewer rounds.
+EXTRA = 9
 
-#: The most numbers in a matrix on the driver.
-DRIVER_NUMBERS = 100_000_000
+#: Products with the covariance between two looks at the result, and the most rounds of them.
+DEGREE, MOST_ROUNDS = 6, 25
 
-#: The most partial sums (one per task and feature) that meet in a pass; the wider the vocabulary, the fewer the tasks.
-PARTIAL_SUMS = 200_000_000
+#: The norm of what is left of an eigenvector's equation, relative to the largest eigenvalue.
+TOLERANCE = 1e-6
 
 
-def principal_components(features: DataFrame, vocabulary: DataFrame, k: int, dense: int = DENSE_FEATURES):
-    """Loadings (features by ``k``) and the share of variance each component explains.
+def principal_components(entries: DataFrame, vocabulary: DataFrame, k: int) -> tuple[DataFrame, list[float | None]]:
+    """Loadings (feature_id, PC1 .. PCk) and the share of variance that each component explains.
 
-    The sign of a component is free; it is set so that the loading largest in size is positive.
-    """
-    sizes = [r[0] for r in vocabulary.orderBy("feature_id").select("customers").collect()]
-    if len(sizes) <= dense:
-        loadings, share = _matrix_components(features, len(sizes), k)
-    else:
-        loadings, share = _krylov_components(features, np.array(sizes, dtype=float), k)
-    peaks = loadings[np.abs(loadings).argmax(axis=0), np.arange(loadings.shape[1])]
-    return loadings * np.where(peaks < 0, -1.0, 1.0), [float(s) for s in share]
-
-
-def _matrix_components(features: DataFrame, n: int, k: int):
-    words = features.select(strings_of("features").alias("words"))
-    counter = CountVectorizerModel.from_vocabulary([str(i) for i in range(n)], "words", "vector")
-    model = PCA(k=k, inputCol="vector", outputCol="components").fit(counter.transform(words))
-    return model.pc.toArray(), model.explainedVariance.toArray()
-
-
-def _krylov_components(
-    features: DataFrame, customers: np.ndarray, k: int, extra: int = 17, tolerance: float = 1e-7, widest: int = 400
-):
-    """The leading eigenvectors of the covariance matrix, without ever forming it.
-
-    A block Krylov iteration: each pass over the baskets multiplies the covariance matrix by a few vectors, and the best
-    vectors within all products so far are kept, until the residual of each is below ``tolerance`` times the largest
-    eigenvalue. The driver holds two matrices of features by at most ``widest`` columns, fewer for a very wide vocabulary.
+    Chebyshev-filtered subspace iteration: each round multiplies the block by a polynomial of the covariance that grows
+    fast above the least value found so far, makes its columns orthonormal, and finds the best vectors within them. It
+    raises an error if it has not settled after ``MOST_ROUNDS``. The sign of a component is free; it is set so that the
+    loading largest in size is positive, of equal ones that of the first feature.
+
+    With one customer, or equal baskets, there is no variance: all loadings are 0 and the shares null. Components beyond
+    the rank of the baskets have loadings 0 and share 0.
     """
-    rows = features.count()
-    means = customers / rows
-    total_variance = float(np.sum(means * (1 - means))) * rows / (rows - 1)
-
-    def covariance_times(block: np.ndarray) -> np.ndarray:
-        return (_gram_times(features, block) - rows * np.outer(means, means @ block)) / (rows - 1)
-
-    width = k + extra
-    widest = max(3 * width, min(widest, DRIVER_NUMBERS // len(customers)))
-    start = np.random.default_rng(0).standard_normal((len(customers), width))
-    basis = np.linalg.qr(start)[0]
-    images = covariance_times(basis)
-    while True:
-        values, small = np.linalg.eigh((basis.T @ images + images.T @ basis) / 2)
-        values, small = values[::-1], small[:, ::-1]
-        best = basis @ small[:, :k]
-        residuals = np.linalg.norm(images @ small[:, :k] - best * values[:k], axis=0)
-        if residuals.max() <= tolerance * values[0] or basis.shape[1] >= len(customers):
-            return best, values[:k] / total_variance
-        newest = images[:, -width:]
-        if basis.shape[1] + width > widest:
-            keep = small[:, : 2 * width]
-            newest = images @ small[:, :width] - (basis @ small[:, :width]) * values[:width]
-            basis, images = basis @ keep, images @ keep
+    rows = entries.select("customer_id").distinct().count()
+    names = [f"PC{i + 1}" for i in range(k)]
+    of_feature = F.col("customers") / F.lit(rows)
+    total, features = vocabulary.agg(F.sum(of_feature * (1 - of_feature)), F.count(F.lit(1))).first()
+    total = (total or 0.0) * rows / max(rows - 1, 1)
+    if rows < 2 or total < 1e-12:
+        zero = [F.lit(0.0).alias(n) for n in names]
+        return vocabulary.select("feature_id", *zero), [None] * k
+    width = min(k + EXTRA, features)
+    block = [f"z{j}" for j in range(width)]
+    image = [f"w{j}" for j in range(width)]
+    # The block is broadcast if its size, known beforehand, is within the bound; else Spark shuffles it and splits hot terms.
+    sent = F.broadcast if features * (width + 1) * 8 <= BROADCAST_BYTES else (lambda df: df)
+
+    def with_image(table: DataFrame) -> DataFrame:
+        """Add the product of the covariance with the block."""
+        means = table.agg(*[F.sum(F.col("customers") * F.col(z)).alias(z) for z in block]).first()
+        by_customer = entries.join(sent(table.select("feature_id", *block)), "feature_id").groupBy("customer_id")
+        sums = by_customer.agg(*[F.sum(z).alias(z) for z in block])
+        by_feature = entries.join(sums, "customer_id").groupBy("feature_id")
+        products = by_feature.agg(*[F.sum(z).alias(w) for z, w in zip(block, image)])
+        centred = [
+            ((F.coalesce(F.col(w), F.lit(0.0)) - F.col("customers") * F.lit(means[z] / rows)) / (rows - 1)).alias(w)
+            for z, w in zip(block, image)
+        ]
+        kept = [c for c in table.columns if c not in image]
+        return materialise(table.join(products, "feature_id", "left").select(*kept, *centred), "block")
+
+    def times(columns: list[str], matrix: np.ndarray, to: list[str]):
+        return [
+            sum((F.col(c) * float(x) for c, x in zip(columns, matrix[:, j])), F.lit(0.0)).alias(name)
+            for j, name in enumerate(to)
+        ]
+
+    start = [(F.xxhash64("feature_id", F.lit(j)) / float(1 << 63)).alias(z) for j, z in enumerate(block)]
+    table = materialise(vocabulary.select("feature_id", "customers", *start), "block")
+    for _ in range(MOST_ROUNDS):
         for _ in range(2):
-            newest = newest - basis @ (basis.T @ newest)
-        newest = np.linalg.qr(newest)[0]
-        newest = np.linalg.qr(newest - basis @ (basis.T @ newest))[0]
-        basis = np.hstack([basis, newest])
-        images = np.hstack([images, covariance_times(newest)])
-
-
-def _task_functions():
-    """The functions that tasks run. Made inside a function, they travel to the tasks with their code, so that executors
-    need numpy and Arrow but not this package."""
-
-    def flat(lists):
-        """Feature ids of all rows in one array, with the row each belongs to."""
-        ids = lists.flatten().to_numpy(zero_copy_only=False)
-        lengths = lists.value_lengths().to_numpy(zero_copy_only=False)
-        return ids, np.repeat(np.arange(len(lengths)), lengths), len(lengths)
-
-    def row_sums(ids, rows, count, matrix):
-        """Per row, the sum of the matrix rows of its feature ids."""
-        return np.column_stack([np.bincount(rows, matrix[ids, j], minlength=count) for j in range(matrix.shape[1])])
-
-    return flat, row_sums
-
-
-def _gram_times(features: DataFrame, block: np.ndarray) -> np.ndarray:
-    """The sum over baskets x of x (x . block): tasks add up their baskets, and the tasks' sums meet by feature."""
-    shared = features.sparkSession.sparkContext.broadcast(block)
-    names = [f"z{j}" for j in range(block.shape[1])]
-    flat, row_sums = _task_functions()
+            # Twice, as once leaves rounding errors where columns were nearly dependent.
+            gram = _inner_products(table, block)
+            table = table.select("feature_id", "customers", *times(block, _orthonormal(gram), block))
+        table = with_image(table)
+        inner = _inner_products(table, block + image)
+        small = (inner[:width, width:] + inner[width:, :width]) / 2
+        values, vectors = np.linalg.eigh(small)
+        values, vectors = values[::-1], vectors[:, ::-1]
+        # |W v - value Z v|^2, from the inner products of Z and of its image W alone.
+        left = np.einsum("ij,ij->j", vectors, inner[width:, width:] @ vectors) - values**2
+        found = np.sqrt(np.maximum(left[:k], 0)) <= max(TOLERANCE * values[0], 3e-8 * values[0])
+        if found.all() or width == features:
+            loadings = table.select("feature_id", *times(block, vectors[:, :k], names[:width]))
+            kept = [max(float(v), 0.0) if v > 1e-9 * values[0] else 0.0 for v in values[:k]]
+            return _signed(loadings, names, kept), [v / total for v in [*kept, *[0.0] * (k - len(kept))]]
+        # Below the least value of the block the polynomial stays within [-1, 1].
+        bound = max(float(values[-1]), 1e-6 * float(values[0]))
+        before = [f"b{j}" for j in range(width)]
+        table = table.select("feature_id", "customers", *[F.col(z).alias(b) for z, b in zip(block, before)],
+                             *[(F.col(w) * (2 / bound) - F.col(z)).alias(z) for z, w in zip(block, image)])
+        for _ in range(DEGREE - 1):
+            table = with_image(table)
+            further = [(2 * (F.col(w) * (2 / bound) - F.col(z)) - F.col(b)).alias(z)
+                       for z, w, b in zip(block, image, before)]
+            table = table.select("feature_id", "customers", *[F.col(z).alias(b) for z, b in zip(block, before)], *further)
+        table = materialise(table.select("feature_id", "customers", *block), "block")
+    raise RuntimeError(f"principal components did not settle in {MOST_ROUNDS} rounds")
+
+
+def _orthonormal(gram: np.ndarray) -> np.ndarray:
+    """What makes columns with these inner products orthonormal; dependent ones become 0."""
+    scale = 1 / np.sqrt(np.maximum(np.diag(gram), 1e-300))
+    values, vectors = np.linalg.eigh(gram * scale[:, None] * scale)
+    inverse = np.where(values > 1e-14 * values[-1], 1 / np.sqrt(np.maximum(values, 1e-300)), 0.0)
+    return (scale[:, None] * vectors) * inverse
+
+
+def _inner_products(table: DataFrame, columns: list[str]) -> np.ndarray:
+    """The inner products of all pairs of columns: tasks add up their rows, and their sums meet by place."""
+    count = len(columns)
 
     def add_up(batches):
-        matrix = shared.value
-        total = np.zeros_like(matrix)
+        total = np.zeros((count, count))
         for batch in batches:
-            ids, rows, count = flat(batch.column(0))
-            along = row_sums(ids, rows, count, matrix)
-            total += np.column_stack(
-                [np.bincount(ids, along[rows, j], minlength=len(matrix)) for j in range(matrix.shape[1])]
-            )
-        seen = np.flatnonzero(np.any(total != 0, axis=1))
-        columns = [pa.array(seen.astype(np.int32)), *[pa.array(total[seen, j]) for j in range(matrix.shape[1])]]
-        yield pa.RecordBatch.from_arrays(columns, names=["feature_id", *names])
-
-    schema = "feature_id int, " + ", ".join(f"{n} double" for n in names)
-    baskets = features.select("features").coalesce(max(1, PARTIAL_SUMS // len(block)))
-    parts = baskets.mapInArrow(add_up, schema)
-    sums = parts.groupBy("feature_id").agg(*[F.sum(n).alias(n) for n in names]).toPandas()
-    result = np.zeros_like(block)
-    result[sums["feature_id"].to_numpy()] = sums[names].to_numpy()
-    shared.unpersist()
-    return result
-
-
-def project(features: DataFrame, loadings: np.ndarray, names: list[str]) -> DataFrame:
+            part = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            total += part.T @ part
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.arange(count * count)), pa.array(total.ravel())], names=["place", "value"]
+        )
+
+    parts = table.select(*columns).mapInArrow(add_up, "place bigint, value double")
+    rows = parts.groupBy("place").agg(F.sum("value").alias("value")).collect()
+    result = np.zeros(count * count)
+    for row in rows:
+        result[row["place"]] = row["value"]
+    return result.reshape(count, count)
+
+
+def _signed(loadings: DataFrame, names: list[str], values: list[float]) -> DataFrame:
+    """Loadings with the sign rule applied; columns without variance become 0."""
+    have = [n for n in names if n in loadings.columns]
+    peaks = loadings.agg(*[
+        F.max_by(F.col(n), F.struct(F.round(F.abs(F.col(n)), 9), -F.col("feature_id"))).alias(n) for n in have
+    ]).first()
+    signs = {n: (0.0 if not v else -1.0 if peaks[n] < 0 else 1.0) for n, v in zip(have, values)}
+    columns = [(F.col(n) * signs[n] if n in have else F.lit(0.0)).alias(n) for n in names]
+    return materialise(loadings.select("feature_id", *columns), "loadings")
+
+
+def project(entries: DataFrame, loadings: DataFrame) -> DataFrame:
     """Each customer's score per component: the sum of the loadings of its basket (not centred)."""
-    shared = features.sparkSession.sparkContext.broadcast(loadings)
-    flat, row_sums = _task_functions()
-
-    def score(batches):
-        for batch in batches:
-            ids, rows, count = flat(batch.column(1))
-            sums = row_sums(ids, rows, count, shared.value)
-            columns = [batch.column(0), *[pa.array(sums[:, j]) for j in range(sums.shape[1])]]
-            yield pa.RecordBatch.from_arrays(columns, names=["customer_id", *names])
-
-    schema = f"customer_id {features.schema['customer_id'].dataType.simpleString()}, "
-    schema += ", ".join(f"{n} double" for n in names)
-    return features.select("customer_id", "features").mapInArrow(score, schema)
+    names = loadings.columns[1:]
+    scores = entries.join(bounded(loadings), "feature_id").groupBy("customer_id")
+    return scores.agg(*[F.sum(n).alias(n) for n in names])

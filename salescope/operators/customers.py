@@ -9,26 +9,25 @@ from salescope.functions import SEQUENCE_LENGTH, class_weight, hours_between, re
 from salescope.operators.ordering import with_neighbours
 
 
-def with_next_purchase(df: DataFrame, horizon_hours: float = 1.0, **layout) -> DataFrame:
+def with_next_purchase(df: DataFrame, horizon_hours: float = 1.0) -> DataFrame:
     """Add the time of the customer's next purchase, the hours until then, and whether it is within the horizon."""
-    following = with_neighbours(df, following={"date_next_purchase": "timestamp"}, **layout)
+    following = with_neighbours(df, following={"date_next_purchase": "timestamp"})
     return following.withColumn("hours_between", hours_between("timestamp", "date_next_purchase")).withColumn(
         "futur_purchase", repurchase_flag("hours_between", horizon_hours)
     )
 
 
-def customer_profiles(df: DataFrame, horizon_hours: float = 1.0, features_until=None, **layout) -> DataFrame:
+def customer_profiles(df: DataFrame, horizon_hours: float = 1.0, features_until=None) -> DataFrame:
     """One row per customer: spend, quantity, purchases, label, type and class weight.
 
     The label says whether the customer ever bought again within the horizon. By default it describes the same
     purchases as the features do. With a cut-off time ``features_until`` the features come from the purchases before it
     and the label from those at or after it (0 for a customer without any), so that it is a forecast.
 
-    Only the columns used travel to the per-customer window, and the profile groups by the key the window is already
-    partitioned on.
+    Only the columns used travel to the per-customer windows.
     """
     used = ["customer_id", "customer_type", "timestamp", "transaction_id", "quantity", "total_amount"]
-    flagged = with_next_purchase(df.select(*used), horizon_hours, **layout)
+    flagged = with_next_purchase(df.select(*used), horizon_hours)
     before = F.lit(True) if features_until is None else F.col("timestamp") < F.lit(features_until)
     after = F.lit(True) if features_until is None else F.col("timestamp") >= F.lit(features_until)
     profiles = flagged.groupBy("customer_id").agg(
@@ -47,7 +46,7 @@ def class_balance(profiles: DataFrame) -> DataFrame:
     return profiles.groupBy("futur_purchase").agg(F.count(F.lit(1)).alias("n"))
 
 
-def amount_sequences(df: DataFrame, length: int = SEQUENCE_LENGTH, **layout) -> DataFrame:
+def amount_sequences(df: DataFrame, length: int = SEQUENCE_LENGTH) -> DataFrame:
     """Each purchase that ends a run of ``length`` amounts of its customer, with that run and the next amount.
 
     ``next_amount`` is null for a customer's last purchase: that is the amount to forecast.
@@ -58,7 +57,6 @@ def amount_sequences(df: DataFrame, length: int = SEQUENCE_LENGTH, **layout) ->
         following={"next_amount": "total_amount"},
         trailing={"sequence": "total_amount"},
         length=length,
-        **layout,
     )
     return rows.where(F.col("sequence").isNotNull() & (F.size("sequence") == length))
 

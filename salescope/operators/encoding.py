@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -14,9 +13,6 @@ from salescope.sources.scratch import materialise
 #: A lookup table is broadcast up to this size; a larger one is joined by shuffle.
 BROADCAST_BYTES = 64 << 20
 
-#: The most categories, and the most products, a basket vocabulary holds (the default of Spark's CountVectorizer).
-VOCABULARY_SIZE = 1 << 18
-
 
 def label_indexes(df: DataFrame, *columns: str) -> DataFrame:
     """A table (column, label, index): each column's labels by descending frequency, ties by the label, from 0.
@@ -43,20 +39,26 @@ def with_indexes(df: DataFrame, columns: dict[str, str], labels: DataFrame | Non
         lookup = labels.where(F.col("column") == column).select(
             F.col("label").alias("_label"), F.col("index").alias("_index")
         )
-        found = df.join(_bounded(lookup), F.col(column).cast("string") == F.col("_label"), "left")
+        found = df.join(bounded(lookup), F.col(column).cast("string") == F.col("_label"), "left")
         unseen = F.raise_error(F.concat(F.lit(f"unseen label in {column}: "), F.col(column))).cast("double")
         missing = F.when(F.col(column).isNotNull() & F.col("_index").isNull(), unseen)
         df = found.withColumn(output, F.coalesce("_index", missing)).drop("_label", "_index")
     return df
 
 
-def assemble(df: DataFrame, columns: list[str], output: str) -> DataFrame:
-    return VectorAssembler(inputCols=columns, outputCol=output).transform(df)
+def deviations_of(df: DataFrame, *columns: str) -> tuple[dict[str, float], int]:
+    """The sample deviation of each column and the number of rows, in one aggregate.
+
+    Tasks add up in any order, which moves the last digits; without them, a seeded fit always starts from the same values.
+    """
+    row = df.agg(*[F.stddev_samp(c).alias(c) for c in columns], F.count(F.lit(1)).alias("_rows")).head().asDict()
+    rows = row.pop("_rows")
+    return {c: float(f"{d or 0.0:.12g}") for c, d in row.items()}, rows
 
 
-def standardise(df: DataFrame, vector: str, output: str) -> DataFrame:
-    """Divide each feature by its sample standard deviation, without centring; a constant feature becomes 0."""
-    return StandardScaler(inputCol=vector, outputCol=output).fit(df).transform(df)
+def scaled_columns(deviations: dict[str, float]) -> dict[str, Column]:
+    """Each column divided by its deviation, without centring; a constant column becomes 0."""
+    return {c: F.col(c) / d if d else F.lit(0.0) for c, d in deviations.items()}
 
 
 @dataclass(frozen=True)
@@ -84,42 +86,46 @@ class MinMax:
         return value * ((high - low) or 1.0) + low
 
 
-def basket_vocabulary(terms: DataFrame, size: int = VOCABULARY_SIZE) -> DataFrame:
+def basket_vocabulary(terms: DataFrame, size: int | None = None) -> DataFrame:
     """The vocabulary (feature_id, kind, term, customers) of ``basket_terms``.
 
-    Categories come first, then products; each by descending number of customers, ties by the term; at most ``size`` of
-    each, as a CountVectorizer keeps.
+    Categories come first, then products; each by descending number of customers, ties by the term. With ``size``, only
+    so many of each are numbered; by default all are.
     """
     counts = terms.groupBy("kind", "term").agg(F.count(F.lit(1)).alias("customers"))
-    ranked = with_rank(counts, "kind", F.desc("customers"), F.asc("term")).where(F.col("rank") < size)
+    ranked = with_rank(counts, "kind", F.desc("customers"), F.asc("term"))
+    if size is not None:
+        ranked = ranked.where(F.col("rank") < size)
     categories = ranked.where(F.col("kind") == "Category").count()
     feature = F.col("rank") + F.when(F.col("kind") == "Category", 0).otherwise(categories)
     return ranked.select(feature.cast("int").alias("feature_id"), "kind", "term", "customers")
 
 
-def _bounded(lookup: DataFrame) -> DataFrame:
+def bounded(lookup: DataFrame) -> DataFrame:
     """The lookup table, marked for broadcast if its contents, added up first, are within the bound."""
     cells = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in lookup.columns]
     size = lookup.agg(F.sum(sum(cells[1:], cells[0]))).head()[0] or 0
     return F.broadcast(lookup) if size <= BROADCAST_BYTES else lookup
 
 
-def basket_features(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """One row per customer: the sorted feature ids of what it bought.
+def basket_entries(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """(customer_id, feature_id): the terms by number, one row each; terms outside the vocabulary are left out."""
+    lookup = bounded(vocabulary.select("kind", "term", "feature_id"))
+    return terms.join(lookup, ["kind", "term"]).select("customer_id", "feature_id")
 
-    Terms outside the vocabulary become null before the lists are built, so a list is never longer than the vocabulary,
-    and a customer with no other terms keeps an empty one.
-    """
-    lookup = _bounded(vocabulary.select("kind", "term", "feature_id"))
+
+def basket_features(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
+    """One row per customer: the sorted feature ids of what it bought. Terms outside the vocabulary are left out, and a
+    customer with no other terms keeps an empty list."""
+    lookup = bounded(vocabulary.select("kind", "term", "feature_id"))
     ids = terms.join(lookup, ["kind", "term"], "left").select("customer_id", "feature_id")
     return ids.groupBy("customer_id").agg(F.sort_array(F.collect_list("feature_id")).alias("features"))
 
 
-def basket_lists(terms: DataFrame, vocabulary: DataFrame) -> DataFrame:
-    """One row per customer: the sorted categories and products of the vocabulary that it bought."""
-    known = terms.join(_bounded(vocabulary.select("kind", "term")), ["kind", "term"], "left_semi")
+def basket_lists(terms: DataFrame) -> DataFrame:
+    """One row per customer: the sorted categories and products that it bought, all of them."""
 
     def of(kind: str) -> Column:
         return F.sort_array(F.collect_set(F.when(F.col("kind") == kind, F.col("term"))))
 
-    return known.groupBy("customer_id").agg(of("Category").alias("categories"), of("Product").alias("products"))
+    return terms.groupBy("customer_id").agg(of("Category").alias("categories"), of("Product").alias("products"))

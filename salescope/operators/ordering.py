@@ -48,16 +48,6 @@ def with_rank(df: DataFrame, group: str, *order: str | Column, name: str = "rank
     return ranked.withColumn(name, F.col("_position") - F.col("_first")).drop("_position", "_first")
 
 
-def heaviest_keys(df: DataFrame, key: str, most: int = 5000, min_rows: int = 2_000_000) -> list:
-    """The keys with more than ``min_rows`` rows, at most the ``most`` heaviest of them.
-
-    Every key left out holds at most 1 / (``most`` + 1) of the rows, or no more than ``min_rows``.
-    """
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).count()
-    heavy = counts.where(F.col("count") > min_rows).orderBy(F.desc("count"), key).limit(most)
-    return [row[0] for row in heavy.collect()]
-
-
 def with_neighbours(
     df: DataFrame,
     key: str = "customer_id",
@@ -65,7 +55,6 @@ def with_neighbours(
     following: dict[str, str] | None = None,
     trailing: dict[str, str] | None = None,
     length: int = 1,
-    min_heavy_rows: int = 2_000_000,
 ) -> DataFrame:
     """Add values of neighbouring rows of the same ``key`` in the order ``order``.
 
@@ -73,47 +62,35 @@ def with_neighbours(
     ``trailing`` maps a new column to the column whose last ``length`` values, the current one included and nulls left
     out, it lists.
 
-    Most keys go through one plain window. A key with more than ``min_heavy_rows`` rows would make one task sort all of
-    them, so its rows are range-split into chunks instead: each chunk is a window of its own, and the few rows at the
-    chunk edges carry the values across. The result is the same.
+    Rows are range-split on the key and the order, so that a key with very many rows, the null key included, lies in
+    several chunks; each chunk is a window of its own. Only a key that crosses the border of two chunks has neighbours
+    elsewhere: there is at most one per border, and the few rows at its chunk edges are broadcast to carry the values
+    across. Building the frame writes the layout and runs nothing else.
     """
     following, trailing = following or {}, trailing or {}
-    heavy = heaviest_keys(df, key, min_rows=min_heavy_rows)
-    if not heavy:
-        return _plain_neighbours(df, Window.partitionBy(key).orderBy(*order), following, trailing, length)
-    is_heavy = F.coalesce(F.col(key).isin(heavy), F.lit(False))
-    light = _plain_neighbours(
-        df.where(~is_heavy), Window.partitionBy(key).orderBy(*order), following, trailing, length
-    )
-    return light.unionByName(_chunked_neighbours(df.where(is_heavy), key, order, following, trailing, length))
-
-
-def _plain_neighbours(df, window, following, trailing, length) -> DataFrame:
-    last = window.rowsBetween(-(length - 1), 0)
-    columns = {new: F.lead(source).over(window) for new, source in following.items()}
-    columns |= {new: F.collect_list(source).over(last) for new, source in trailing.items()}
-    return df.withColumns(columns)
-
-
-def _chunked_neighbours(df, key, order, following, trailing, length) -> DataFrame:
     names = df.columns
-    laid = df.repartitionByRange(key, *order).withColumn("_chunk", F.spark_partition_id())
-    laid = materialise(laid, "chunks")
+    laid = materialise(df.repartitionByRange(key, *order).withColumn("_chunk", F.spark_partition_id()), "chunks")
     values = F.struct(*[F.col(c) for c in dict.fromkeys([*following.values(), *trailing.values()])])
-    edges = _chunk_edges(laid, key, order, values, length - 1)
+    spread = laid.groupBy(F.col(key).alias("_key")).agg(F.min("_chunk").alias("_low"), F.max("_chunk").alias("_high"))
+    spread = spread.where("_low < _high").select("_key")
+    crossing = laid.join(F.broadcast(spread), laid[key].eqNullSafe(spread["_key"]), "left_semi")
+    edges = _chunk_edges(crossing, key, order, values, length - 1).withColumnsRenamed(
+        {key: "_edge_key", "_chunk": "_edge_chunk"}
+    )
     in_chunk = Window.partitionBy(key, "_chunk").orderBy(*order)
     local = laid.withColumns({
         "_next": F.lead(values).over(in_chunk),
         "_seen": F.collect_list(values).over(in_chunk.rowsBetween(-(length - 1), 0)),
     })
-    # One edge row per chunk and key: at most the heavy keys plus the partitions of the range split.
-    joined = local.join(F.broadcast(edges), [key, "_chunk"], "left")
+    here = local[key].eqNullSafe(edges["_edge_key"]) & (local["_chunk"] == edges["_edge_chunk"])
+    # At most two rows per chunk, whatever the number of rows.
+    joined = local.join(F.broadcast(edges), here, "left")
     following_row = F.coalesce("_next", "_head_after")
     rows = F.concat(F.coalesce("_tail_before", F.array().cast(local.schema["_seen"].dataType)), "_seen")
     rows = F.slice(rows, F.greatest(F.size(rows) - (length - 1), F.lit(1)), length)
     columns = [following_row[source].alias(new) for new, source in following.items()]
     columns += [F.array_compact(rows.getField(source)).alias(new) for new, source in trailing.items()]
-    return joined.select(*names, *columns)
+    return joined.select(*[local[n] for n in names], *columns)
 
 
 def _chunk_edges(laid, key, order, values, before) -> DataFrame:
@@ -138,7 +115,9 @@ def _chunk_edges(laid, key, order, values, before) -> DataFrame:
     )
     # Every chunk has a row, so the last ``before`` rows lie within the last ``before`` chunks.
     earlier = F.flatten(F.collect_list("_tail").over(by_chunk.rowsBetween(-before, -1)))
-    return edges.join(tail, [key, "_chunk"]).select(
+    tail = tail.withColumnsRenamed({key: "_tail_key", "_chunk": "_tail_chunk"})
+    both = edges[key].eqNullSafe(tail["_tail_key"]) & (edges["_chunk"] == tail["_tail_chunk"])
+    return edges.join(tail, both).select(
         key,
         "_chunk",
         F.lead("_head").over(by_chunk).alias("_head_after"),

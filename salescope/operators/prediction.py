@@ -62,7 +62,7 @@ def fit_repurchase_forest(profiles: DataFrame) -> RepurchaseForest:
     forest = RandomForestClassifier(
         featuresCol="features", labelCol="futur_purchase", weightCol="class_weight", seed=SEED
     )
-    model = forest.fit(canonical_layout(train, "customer_id"))
+    model = forest.fit(canonical_layout(train, train.count(), "customer_id"))
     return RepurchaseForest(model, model.transform(test))
 
 
@@ -104,25 +104,32 @@ class AmountForecast:
         return self._predicted(self.sequences.where(F.col("next_amount").isNull())).drop("actual_amount")
 
     def latest_checks(self, rows: int = 10) -> DataFrame:
-        """Forecast and actual amount of the latest runs whose next amount is known."""
-        return self._predicted(last_rows(self.sequences.where(F.col("next_amount").isNotNull()), rows))
+        """Forecast and actual amount of the latest runs of test customers whose next amount is known."""
+        return self._predicted(last_rows(_known(hash_split(self.sequences)[1]), rows))
 
     def quality(self) -> DataFrame:
-        """Mean absolute error of the forecast, and of the mean of the run in its place, over all known next amounts."""
-        rows = self._predicted(self.sequences.where(F.col("next_amount").isNotNull()))
+        """Mean absolute error of the forecast, and of the mean of the run in its place, over the known next amounts: of
+        the customers that the fit never saw, and of those it was fitted on."""
         run = sum(sequence_columns().values()) / SEQUENCE_LENGTH
-        return rows.agg(
+        parts = zip(("train", "test"), hash_split(self.sequences))
+        scored = [self._predicted(_known(rows)).withColumn("split", F.lit(name)) for name, rows in parts]
+        return scored[0].unionByName(scored[1]).groupBy("split").agg(
             F.count(F.lit(1)).alias("sequences"),
             F.avg(F.abs(F.col("predicted_amount") - F.col("actual_amount"))).alias("forecast_error"),
             F.avg(F.abs(run - F.col("actual_amount"))).alias("run_mean_error"),
         )
 
 
+def _known(sequences: DataFrame) -> DataFrame:
+    return sequences.where(F.col("next_amount").isNotNull())
+
+
 def fit_amount_forecast(sequences: DataFrame) -> AmountForecast:
-    """Fit a linear regression with the Huber loss on every run whose next amount is known."""
+    """Fit a linear regression with the Huber loss on the train customers' runs whose next amount is known."""
     sequences = materialise(sequences, "sequences")
-    ranges = sequence_ranges(sequences)
-    known = scaled_sequences(sequences.where(F.col("next_amount").isNotNull()), ranges)
+    train = hash_split(sequences)[0]
+    ranges = sequence_ranges(train)
+    known = scaled_sequences(_known(train), ranges)
     names = [f"scaled_amount_{i + 1}" for i in range(SEQUENCE_LENGTH)]
     vectors = VectorAssembler(inputCols=names, outputCol="features").transform(known)
     regression = LinearRegression(featuresCol="features", labelCol="scaled_next_amount", loss="huber")

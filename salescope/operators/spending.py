@@ -39,14 +39,15 @@ def mean_customer_quantity(df: DataFrame, *groups: str, quantity: str = "quantit
 def quantity_reports(df: DataFrame) -> DataFrame:
     """All quantity reports at once, one row per report and group; columns that are no part of a report are null.
 
-    Grouping sets sum every customer's quantities for the six reports in one scan and one shuffle; running the reports
-    one by one scans the table six times.
+    Purchases are summed once by customer and all columns; the grouping sets of the six reports multiply those sums, never
+    the purchases.
     """
     columns = list(dict.fromkeys(c for groups in QUANTITY_REPORTS.values() for c in groups))
+    finest = df.groupBy("customer_id", *columns).agg(F.sum("quantity").alias("quantity_sum"))
     sets = [["customer_id", *groups] for groups in QUANTITY_REPORTS.values()]
     left_out = F.concat(*[F.grouping(c).cast("string") for c in columns])
-    per_customer = df.groupingSets(sets, "customer_id", *columns).agg(
-        F.sum("quantity").alias("quantity_sum"), left_out.alias("_left_out")
+    per_customer = finest.groupingSets(sets, "customer_id", *columns).agg(
+        F.sum("quantity_sum").alias("quantity_sum"), left_out.alias("_left_out")
     )
     report = F.lit(None).cast("string")
     for name, groups in QUANTITY_REPORTS.items():

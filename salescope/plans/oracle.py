@@ -1,7 +1,7 @@
 """The same queries in SQL for an independent engine (DuckDB), over the given tables.
 
 Queries without an entry are iterative fits (k-means, principal components, random forest, regression), which SQL does
-not express; the tests check their properties.
+not express. Each has a ``_checks`` query beside it, which states what must hold for any right fit over the given tables.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ _CUSTOMERS = """
 customers AS (
     SELECT c_custkey AS customer_id, c_name AS customer_name, n_name AS city,
            CASE WHEN c_mktsegment IN ('MACHINERY', 'BUILDING', 'AUTOMOBILE') THEN 'B2B' ELSE 'B2C' END AS customer_type
-    FROM customer JOIN nation ON c_nationkey = n_nationkey
+    FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey
 ), products AS (
     SELECT p_partkey, p_name || ' Product_' || p_size AS product_name, p_type || ' > ' || p_brand AS category,
            p_retailprice AS price
@@ -23,10 +23,10 @@ customers AS (
 
 _TX = f"""WITH {_CUSTOMERS}, tx AS (
     SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, CAST(l_quantity AS INTEGER)) AS transaction_id,
-           o_orderdate AS "timestamp", customer_id, customer_name, city, customer_type, product_name, category, price,
+           o_orderdate AS "timestamp", o_custkey AS customer_id, customer_name, city, customer_type, product_name, category, price,
            CAST(l_quantity AS INTEGER) AS quantity, l_extendedprice AS total_amount
-    FROM lineitem JOIN orders ON l_orderkey = o_orderkey
-    JOIN customers ON o_custkey = customer_id JOIN products ON l_partkey = p_partkey
+    FROM lineitem LEFT JOIN orders ON l_orderkey = o_orderkey
+    LEFT JOIN customers ON o_custkey = customers.customer_id LEFT JOIN products ON l_partkey = p_partkey
 ), enriched AS (
     SELECT *, split_part(category, ' > ', 1) AS main_category, nullif(split_part(category, ' > ', 2), '') AS sub_category,
            CAST(month("timestamp") AS INTEGER) AS month, CAST(dayofweek("timestamp") + 1 AS INTEGER) AS weekday
@@ -39,11 +39,11 @@ _TX = f"""WITH {_CUSTOMERS}, tx AS (
 )"""
 
 _EV = f"""WITH {_CUSTOMERS}, ev AS (
-    SELECT 'E' || event_id AS transaction_id, ts AS "timestamp", customer_id, customer_name, city, customer_type,
+    SELECT 'E' || event_id AS transaction_id, ts AS "timestamp", user_id AS customer_id, customer_name, city, customer_type,
            product_name, category, price, CAST(json_extract_string(props, '$.k') AS INTEGER) AS quantity,
            value AS total_amount
-    FROM events JOIN customers ON user_id = customer_id
-    JOIN products ON CAST(json_extract_string(props, '$.k') AS BIGINT) = p_partkey
+    FROM events LEFT JOIN customers ON user_id = customers.customer_id
+    LEFT JOIN products ON CAST(json_extract_string(props, '$.k') AS BIGINT) = p_partkey
 ), following AS (
     SELECT *, lead("timestamp") OVER w AS date_next_purchase, lead(total_amount) OVER w AS next_amount,
            lag(total_amount, 4) OVER w AS amount_1, lag(total_amount, 3) OVER w AS amount_2,
@@ -204,4 +204,30 @@ FROM terms GROUP BY customer_id""",
     "repurchase_test_customers": f"""{_EV}
 SELECT customer_id, futur_purchase, class_weight FROM profiles WHERE NOT ({_IN_TRAIN})""",
     "forecast_inputs": f"{_EV}\nSELECT {_SEQUENCE} FROM sequences WHERE next_amount IS NULL",
+    "csv_round_trip": f"{_TX}\nSELECT * FROM tx",
+    "ranked_spenders": f"""{_TX}
+SELECT CAST(row_number() OVER (ORDER BY total_spent DESC, customer_id) - 1 AS INTEGER) AS rank, * FROM (
+    SELECT customer_id, customer_name, customer_type, round(sum(total_amount), 2) AS total_spent FROM tx
+    GROUP BY customer_id, customer_name, customer_type ORDER BY sum(total_amount) DESC, customer_id LIMIT 20)""",
+    "parsed_timestamps": f"""{_EV}
+SELECT transaction_id, CASE WHEN quantity % 7 <> 0 THEN "timestamp" END AS parsed FROM ev""",
+    "file_labels": f"""{_TX}
+SELECT DISTINCT category, replace(category, ' ', '_') AS label FROM tx""",
+    "row_cluster_checks": f"{_TX}\nSELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, 5 AS clusters FROM tx",
+    "time_cluster_checks": f"{_EV}\nSELECT count(*) AS rows, CAST(0 AS BIGINT) AS misplaced, 8 AS clusters FROM ev",
+    "customer_cluster_checks": f"""{_TX}
+SELECT count(DISTINCT customer_id) AS rows, CAST(0 AS BIGINT) AS misplaced, 4 AS clusters FROM tx""",
+    "pca_checks": f"""{_TX}{_BASKETS}
+SELECT pc, count(*) AS features, CAST(1 AS DOUBLE) AS length, CAST(0 AS DOUBLE) AS overlap, CAST(0 AS DOUBLE) AS residual
+FROM vocabulary, (VALUES ('PC1'), ('PC2'), ('PC3')) AS pcs(pc) GROUP BY pc""",
+    "time_silhouette_checks": "SELECT CAST(k AS INTEGER) AS k, TRUE AS in_range FROM range(3, 20) AS t(k)",
+    "repurchase_checks": f"""{_EV}
+SELECT customer_id, futur_purchase, TRUE AS consistent FROM profiles WHERE NOT ({_IN_TRAIN})""",
+    "forecast_checks": f"""{_EV}
+SELECT CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS split, count(*) AS sequences,
+       round(avg(abs((amount_1 + amount_2 + amount_3 + amount_4 + amount_5) / 5 - next_amount)), 6) AS run_mean_error,
+       TRUE AS finite
+FROM sequences WHERE next_amount IS NOT NULL GROUP BY 1""",
+    "next_amount_checks": f"""{_EV}
+SELECT customer_id, transaction_id, TRUE AS finite FROM sequences WHERE next_amount IS NULL""",
 }

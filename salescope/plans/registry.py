@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.functions import clock_parts, date_parts, vector_element
+from salescope.functions import clock_parts, date_parts, file_label, parse_timestamp
 from salescope.operators import (
     cleaning,
     clustering,
@@ -25,9 +25,12 @@ from salescope.sources import (
     events_as_transactions,
     lineitems_as_transactions,
     materialise,
+    read_transactions,
     save_profiles,
     scratch_path,
     top_saved_profiles,
+    write_csv,
+    write_ranked_csv,
 )
 
 #: Hours within which a purchase counts as a quick repurchase. With 1 hour every customer of the events is one.
@@ -212,11 +215,10 @@ def string_index(spark, folder):
 
 
 def standard_scaled(spark, folder):
-    columns = list(clustering.ROW_COLUMNS)
-    rows = encoding.assemble(clustering.with_row_features(tx(spark, folder)), columns, "feature")
-    scaled = encoding.standardise(rows, "feature", "scale_feature")
-    parts = [F.round(vector_element("scale_feature", i), 6).alias(f"scaled_{c}") for i, c in enumerate(columns)]
-    return scaled.select("transaction_id", *parts)
+    rows = materialise(clustering.with_row_features(tx(spark, folder)), "row-features")
+    deviations, _ = encoding.deviations_of(rows, *clustering.ROW_COLUMNS)
+    scaled = encoding.scaled_columns(deviations)
+    return rows.select("transaction_id", *[F.round(v, 6).alias(f"scaled_{c}") for c, v in scaled.items()])
 
 
 def min_max_scaled(spark, folder):
@@ -235,14 +237,13 @@ def basket_vocabulary(spark, folder):
 
 
 def customer_baskets(spark, folder):
-    terms = customers.basket_terms(tx(spark, folder))
+    terms = materialise(customers.basket_terms(tx(spark, folder)), "terms")
     baskets = encoding.basket_features(terms, encoding.basket_vocabulary(terms))
     return baskets.select("customer_id", F.array_join("features", " ").alias("features"))
 
 
 def basket_lists(spark, folder):
-    terms = customers.basket_terms(tx(spark, folder))
-    lists = encoding.basket_lists(terms, encoding.basket_vocabulary(terms))
+    lists = encoding.basket_lists(customers.basket_terms(tx(spark, folder)))
     joined = {c: F.array_join(c, "|").alias(c) for c in ("categories", "products")}
     return lists.select("customer_id", *joined.values())
 
@@ -292,6 +293,10 @@ def repurchase_test_customers(spark, folder):
 
 
 def repurchase_scores(spark, folder):
+    return prediction.fit_repurchase_forest(_profiles(spark, folder)).scores()
+
+
+def first_repurchase_scores(spark, folder):
     return prediction.fit_repurchase_forest(_profiles(spark, folder)).first_scores()
 
 
@@ -317,6 +322,78 @@ def forecast_quality(spark, folder):
     return prediction.fit_amount_forecast(_sequences(spark, folder)).quality()
 
 
+def csv_round_trip(spark, folder):
+    path = scratch_path(spark, "csv")
+    write_csv(tx(spark, folder), path)
+    return read_transactions(spark, path)
+
+
+def ranked_spenders(spark, folder):
+    path = scratch_path(spark, "ranked")
+    order = [F.desc("total_spent"), F.col("customer_id")]
+    write_ranked_csv(_rounded(spending.top_spenders(_enriched(spark, folder)), total_spent=2), path, order, 20)
+    schema = "rank int, customer_id bigint, customer_name string, customer_type string, total_spent double"
+    return spark.read.option("header", True).schema(schema).csv(path)
+
+
+def parsed_timestamps(spark, folder):
+    # Every time as text; where the quantity is a multiple of seven, text that is no time.
+    text = F.when(F.col("quantity") % 7 != 0, F.col("timestamp").cast("string")).otherwise("none")
+    return ev(spark, folder).select("transaction_id", parse_timestamp(text).alias("parsed"))
+
+
+def file_labels(spark, folder):
+    return tx(spark, folder).select("category").distinct().select("category", file_label("category").alias("label"))
+
+
+def thinned_time_clusters(spark, folder):
+    return sampling.every_nth(clustering.time_clusters(ev(spark, folder)), 40, "transaction_id")
+
+
+def row_cluster_checks(spark, folder):
+    return clustering.row_placement(tx(spark, folder))
+
+
+def time_cluster_checks(spark, folder):
+    return clustering.time_placement(ev(spark, folder))
+
+
+def customer_cluster_checks(spark, folder):
+    return clustering.customer_placement(clustering.basket_space(tx(spark, folder)))
+
+
+def pca_checks(spark, folder):
+    return clustering.component_checks(clustering.basket_space(tx(spark, folder)))
+
+
+def time_silhouette_checks(spark, folder):
+    return time_silhouette_by_k(spark, folder).select("k", F.col("silhouette").between(-1, 1).alias("in_range"))
+
+
+def repurchase_checks(spark, folder):
+    predicted = (F.col("predicted_probability") > 0.5).cast("double")
+    consistent = (
+        F.col("predicted_probability").between(0, 1)
+        & ((F.col("predicted_label") == predicted) | (F.col("predicted_probability") == 0.5))
+        & (F.col("difference") == F.abs(F.col("predicted_label") - F.col("futur_purchase")))
+    )
+    return repurchase_scores(spark, folder).select("customer_id", "futur_purchase", consistent.alias("consistent"))
+
+
+def _finite(column: str) -> Column:
+    return F.col(column).isNotNull() & ~F.isnan(column) & (F.abs(F.col(column)) < float("inf"))
+
+
+def forecast_checks(spark, folder):
+    quality = forecast_quality(spark, folder).withColumn("finite", _finite("forecast_error"))
+    return _rounded(quality.drop("forecast_error"), run_mean_error=6)
+
+
+def next_amount_checks(spark, folder):
+    rows = next_amount_forecast(spark, folder)
+    return rows.select("customer_id", "transaction_id", _finite("predicted_amount").alias("finite"))
+
+
 QUERIES = {
     "top_spenders": top_spenders,
     **{name: _quantity_report(*groups) for name, groups in spending.QUANTITY_REPORTS.items()},
@@ -368,9 +445,23 @@ QUERIES = {
     "pca_extreme_features": pca_extreme_features,
     "repurchase_test_customers": repurchase_test_customers,
     "repurchase_scores": repurchase_scores,
+    "first_repurchase_scores": first_repurchase_scores,
     "repurchase_quality": repurchase_quality,
     "forecast_inputs": forecast_inputs,
     "next_amount_forecast": next_amount_forecast,
     "latest_forecasts": latest_forecasts,
     "forecast_quality": forecast_quality,
+    "csv_round_trip": csv_round_trip,
+    "ranked_spenders": ranked_spenders,
+    "parsed_timestamps": parsed_timestamps,
+    "file_labels": file_labels,
+    "thinned_time_clusters": thinned_time_clusters,
+    "row_cluster_checks": row_cluster_checks,
+    "time_cluster_checks": time_cluster_checks,
+    "customer_cluster_checks": customer_cluster_checks,
+    "pca_checks": pca_checks,
+    "time_silhouette_checks": time_silhouette_checks,
+    "repurchase_checks": repurchase_checks,
+    "forecast_checks": forecast_checks,
+    "next_amount_checks": next_amount_checks,
 }

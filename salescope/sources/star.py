@@ -1,5 +1,7 @@
 """The given star-schema and event tables, seen as transactions.
 
+Every fact row becomes a transaction: dimensions join from the left, and what they do not have is null.
+
 Both facts, lines and orders, grow with the data, so they always meet by sort-merge join, whatever the size estimate of
 orders says; a hot order is split by the adaptive skew join. No dimension carries a broadcast hint: Spark broadcasts one
 only when its own size estimate is below ``spark.sql.autoBroadcastJoinThreshold``, and past that it shuffles and splits
@@ -37,7 +39,7 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _customers(spark: SparkSession, folder: str) -> DataFrame:
     nation = _table(spark, folder, "nation").select("n_nationkey", F.col("n_name").alias("city"))
     customer = _table(spark, folder, "customer")
-    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"]).select(
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").select(
         F.col("c_custkey").alias("customer_id"),
         F.col("c_name").alias("customer_name"),
         "city",
@@ -59,7 +61,7 @@ def lineitems_as_transactions(spark: SparkSession, folder: str) -> DataFrame:
     orders = (
         _table(spark, folder, "orders")
         .select("o_orderkey", F.col("o_custkey").alias("customer_id"), F.col("o_orderdate").alias("timestamp"))
-        .join(_customers(spark, folder), "customer_id")
+        .join(_customers(spark, folder), "customer_id", "left")
     )
     lines = _table(spark, folder, "lineitem").select(
         "l_orderkey",
@@ -71,8 +73,8 @@ def lineitems_as_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("l_extendedprice").alias("total_amount"),
     )
     return (
-        lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"])
-        .join(_products(spark, folder), F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(orders.hint("merge"), lines["l_orderkey"] == orders["o_orderkey"], "left")
+        .join(_products(spark, folder), F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(*TRANSACTION_COLUMNS)
     )
 
@@ -87,7 +89,7 @@ def events_as_transactions(spark: SparkSession, folder: str) -> DataFrame:
         F.col("value").alias("total_amount"),
     )
     return (
-        events.join(_customers(spark, folder), "customer_id")
-        .join(_products(spark, folder), F.col("quantity").cast("long") == F.col("p_partkey"))
+        events.join(_customers(spark, folder), "customer_id", "left")
+        .join(_products(spark, folder), F.col("quantity").cast("long") == F.col("p_partkey"), "left")
         .select(*TRANSACTION_COLUMNS)
     )

@@ -7,7 +7,7 @@ from pathlib import Path
 
 import numpy as np
 import pytest
-from pyspark.ml.feature import CountVectorizer, StringIndexer
+from pyspark.ml.feature import PCA, CountVectorizer, CountVectorizerModel, StringIndexer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -55,10 +55,11 @@ def test_unseen_label_is_an_error_and_null_stays_null(spark, purchases):
 
 def test_scaling_divides_by_the_sample_deviation(spark):
     df = spark.createDataFrame([(float(i * i), 7.0) for i in range(9)], "a double, b double")
-    scaled = encoding.standardise(encoding.assemble(df, ["a", "b"], "v"), "v", "s")
+    deviations, rows = encoding.deviations_of(df, "a", "b")
     deviation = df.agg(F.stddev_samp("a")).head()[0]
-    for r in scaled.select("a", vector_to_array("s").alias("s")).collect():
-        assert r.s == pytest.approx([r.a / deviation, 0.0])
+    assert rows == 9
+    for r in df.select("a", *[v.alias(f"s_{c}") for c, v in encoding.scaled_columns(deviations).items()]).collect():
+        assert (r.s_a, r.s_b) == (pytest.approx(r.a / deviation), 0.0)
 
 
 def test_vocabulary_counts_as_count_vectorizer(purchases):
@@ -84,25 +85,70 @@ def test_small_vocabulary_keeps_the_commonest_terms_and_all_customers(purchases)
     assert baskets.count() == purchases.select("customer_id").distinct().count()
 
 
-def test_components_agree_with_the_matrix_and_with_numpy(space):
+def test_lists_keep_all_customers_and_terms(purchases):
+    terms = customers.basket_terms(purchases)
+    lists = encoding.basket_lists(terms).collect()
+    assert len(lists) == purchases.select("customer_id").distinct().count()
+    assert sum(len(r.categories) + len(r.products) for r in lists) == terms.count()
+
+
+def test_components_agree_with_numpy_and_spark(space):
     k = 3
-    matrix = np.zeros((space.features.count(), space.vocabulary.count()))
-    for i, r in enumerate(space.features.orderBy("customer_id").collect()):
-        matrix[i, r.features] = 1
+    ids = {r.customer_id: i for i, r in enumerate(space.scores.orderBy("customer_id").collect())}
+    matrix = np.zeros((len(ids), space.vocabulary.count()))
+    for r in space.entries.collect():
+        matrix[ids[r.customer_id], r.feature_id] = 1
     values, vectors = np.linalg.eigh(np.cov(matrix.T))
-    loadings, share = components.principal_components(space.features, space.vocabulary, k, dense=10**6)
-    iterated, iterated_share = components.principal_components(space.features, space.vocabulary, k, dense=0)
-    sizes = np.array([r.customers for r in space.vocabulary.orderBy("feature_id").collect()], dtype=float)
-    restarted, _ = components._krylov_components(space.features, sizes, k, extra=2, widest=15)
-    assert np.abs(iterated.T @ iterated - np.eye(k)).max() < 1e-9
-    for found in (loadings, iterated, restarted):
-        alignment = np.abs(np.sum(found * vectors[:, ::-1][:, :k], axis=0))
-        assert alignment == pytest.approx(np.ones(k), abs=1e-6)
-    assert share == pytest.approx(values[::-1][:k] / values.sum())
-    assert iterated_share == pytest.approx(share)
-    assert np.abs(loadings - iterated).max() < 1e-5
+    loadings = np.array([tuple(r)[1:] for r in space.loadings.orderBy("feature_id").collect()])
+    assert np.abs(loadings.T @ loadings - np.eye(k)).max() < 1e-9
+    assert np.abs(np.sum(loadings * vectors[:, ::-1][:, :k], axis=0)) == pytest.approx(np.ones(k), abs=1e-6)
+    assert space.explained_variance == pytest.approx(values[::-1][:k] / values.sum(), abs=1e-8)
+    assert (loadings[np.abs(loadings).argmax(axis=0), range(k)] > 0).all()
     scores = np.array([tuple(r)[1:] for r in space.scores.orderBy("customer_id").collect()])
-    assert np.abs(scores - matrix @ loadings).max() < 1e-4
+    assert np.abs(scores - matrix @ loadings).max() < 1e-9
+    names = [str(i) for i in range(matrix.shape[1])]
+    words = space.entries.groupBy("customer_id").agg(F.collect_list(F.col("feature_id").cast("string")).alias("w"))
+    counted = CountVectorizerModel.from_vocabulary(names, "w", "v").transform(words)
+    of_spark = PCA(k=k, inputCol="v", outputCol="c").fit(counted).pc.toArray()
+    assert np.abs(np.abs(of_spark) - np.abs(loadings)).max() < 1e-5
+
+
+def _entries(spark, baskets):
+    rows = [(c, f) for c, basket in enumerate(baskets) for f in basket]
+    entries = spark.createDataFrame(rows, "customer_id long, feature_id int")
+    return entries, entries.groupBy("feature_id").agg(F.count("*").alias("customers"))
+
+
+@pytest.mark.parametrize("baskets", [[range(5)], [range(601)] * 20])
+def test_no_variance_has_no_components(spark, baskets):
+    """One customer, or equal baskets: zero loadings, null shares, and an end."""
+    loadings, share = components.principal_components(*_entries(spark, baskets), 3)
+    assert share == [None] * 3 and loadings.count() == len(baskets[0])
+    assert all(tuple(r)[1:] == (0.0, 0.0, 0.0) for r in loadings.collect())
+
+
+def test_more_components_than_rank(spark):
+    """Two customers span one direction; the other components are zero."""
+    loadings, share = components.principal_components(*_entries(spark, [[0, 1, 2], [2, 3]]), 3)
+    assert share == pytest.approx([1.0, 0.0, 0.0])
+    got = np.array([tuple(r)[1:] for r in loadings.orderBy("feature_id").collect()])
+    assert np.abs(got[:, 0]) == pytest.approx([3**-0.5, 3**-0.5, 0, 3**-0.5], abs=1e-6) and (got[:, 1:] == 0).all()
+
+
+def test_wide_vocabulary_without_broadcast(spark, monkeypatch):
+    """More than 512 terms, with one term in every basket, joined by shuffle."""
+    rng = np.random.default_rng(3)
+    strong = [set(range(600, 640)) if i % 3 == 0 else set(range(640, 660)) if i % 3 == 1 else set() for i in range(60)]
+    baskets = [sorted({0, *s, *rng.integers(1, 600, 12).tolist()}) for s in strong]
+    matrix = np.zeros((60, 660))
+    for i, basket in enumerate(baskets):
+        matrix[i, basket] = 1
+    entries, vocabulary = _entries(spark, baskets)
+    monkeypatch.setattr(components, "BROADCAST_BYTES", 0)
+    loadings, share = components.principal_components(entries, vocabulary, 2)
+    values = np.linalg.eigvalsh(np.cov(matrix.T))[::-1]
+    assert share == pytest.approx(values[:2] / values.sum(), abs=1e-6)
+    assert loadings.count() == vocabulary.count()
 
 
 def test_extreme_features(space):
@@ -144,6 +190,24 @@ def test_the_same_clusters_for_any_layout(purchases, cluster):
     assert results[0] == results[1] == results[2] and len(results[0]) == purchases.count()
 
 
+def test_the_same_clusters_for_any_session_settings(spark):
+    """More than 100,000 rows, so that the fit has several partitions, under other numbers of shuffle partitions."""
+    rows = spark.range(120_000).selectExpr(
+        "concat('T', id) as transaction_id", "cast(pmod(hash(id), 1000) as double) as a",
+        "cast(pmod(xxhash64(id), 77) as double) as b",
+    )
+    before, results = spark.conf.get("spark.sql.shuffle.partitions"), []
+    try:
+        for partitions in ("2", "4", "200"):
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            fitted = clustering.fit_clusters(rows, ("a", "b"), 4, key="transaction_id")
+            results.append(np.array(fitted.model.clusterCenters()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    for other in results[1:]:
+        assert np.abs(other - results[0]).max() < 1e-9
+
+
 def test_merged_points_have_the_cost_of_all_rows(spark, sf):
     """The weighted fit on distinct times reaches a cost no worse than a fit on all rows by more than a little."""
     timed = ev(spark, sf).select("transaction_id", *[c.alias(n) for n, c in clustering.clock_parts("timestamp").items()])
@@ -164,7 +228,7 @@ def test_merged_points_have_the_cost_of_all_rows(spark, sf):
 def test_customer_clusters_and_silhouettes(space, spark, sf):
     clusters = clustering.customer_clusters(space)
     assert clusters.columns == ["customer_id", *clustering.COMPONENTS, "prediction"]
-    assert clusters.count() == space.features.count()
+    assert clusters.count() == space.scores.count()
     scores = clustering.customer_silhouettes(space, ks=(2, 3)).collect()
     assert [r.k for r in scores] == [2, 3] and all(-1 <= r.silhouette <= 1 for r in scores)
 
@@ -178,7 +242,6 @@ from pyspark.sql import SparkSession
 from salescope.operators import clustering, components
 from salescope.plans.registry import tx
 spark = SparkSession.builder.master("local[2]").config("spark.ui.enabled", "false").getOrCreate()
-clustering.principal_components.__defaults__ = (0,)
 space = clustering.basket_space(tx(spark, {sf!r}))
 print("customers", space.scores.count())
 """

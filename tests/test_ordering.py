@@ -6,8 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from salescope.operators.customers import amount_sequences, customer_profiles, with_next_purchase
-from salescope.operators.ordering import heaviest_keys, with_neighbours, with_position
+from salescope.operators.ordering import with_neighbours, with_position
 from salescope.operators.sampling import every_nth, last_rows
 from salescope.plans.registry import ev, tx
 
@@ -41,15 +40,13 @@ def brute_force(rows, length):
 
 
 @pytest.mark.parametrize("length", [1, 2, 5, 9])
-@pytest.mark.parametrize("heavy", [10**9, 25, 0])
-def test_neighbours_of_hot_and_ordinary_customers(spark, length, heavy):
+def test_neighbours_of_hot_and_ordinary_customers(spark, length):
     df = purchases(spark).repartition(3)
     result = with_neighbours(
         df,
         following={"next_time": "timestamp", "next_amount": "total_amount"},
         trailing={"run": "total_amount"},
         length=length,
-        min_heavy_rows=heavy,
     )
     assert result.columns == [*df.columns, "next_time", "next_amount", "run"]
     got = {r.transaction_id: (r.next_time, r.next_amount, r.run) for r in result.collect()}
@@ -65,7 +62,6 @@ def test_many_chunks_shorter_than_the_run(spark):
     try:
         result = with_neighbours(
             df, following={"n": "timestamp", "a": "total_amount"}, trailing={"run": "total_amount"}, length=6,
-            min_heavy_rows=0,
         )
         got = {r.transaction_id: (r.n, r.a, r.run) for r in result.collect()}
     finally:
@@ -77,30 +73,30 @@ def test_many_chunks_shorter_than_the_run(spark):
 def test_only_following_or_only_trailing(spark):
     df = purchases(spark)
     want = brute_force(df.collect(), 3)
-    for heavy in (10**9, 25):
-        after = with_neighbours(df, following={"n": "timestamp"}, min_heavy_rows=heavy)
-        assert {r.transaction_id: r.n for r in after.collect()} == {k: v[0] for k, v in want.items()}
-        run = with_neighbours(df, trailing={"run": "total_amount"}, length=3, min_heavy_rows=heavy)
-        assert {r.transaction_id: r.run for r in run.collect()} == {k: v[2] for k, v in want.items()}
-
-
-def test_heaviest_keys_are_bounded(spark):
-    df = purchases(spark)
-    assert heaviest_keys(df, "customer_id", most=1, min_rows=20) == [1]
-    assert heaviest_keys(df, "customer_id", min_rows=20) == [1, 2, 5]
-    assert heaviest_keys(df, "customer_id", min_rows=10**6) == []
-
-
-def test_hot_path_gives_the_same_features_on_the_given_events(spark, sf):
-    rows = ev(spark, sf)
-    plain, chunked = (with_next_purchase(rows, 0.1, min_heavy_rows=n) for n in (10**9, 30))
-    assert plain.exceptAll(chunked).count() == 0 and plain.count() == chunked.count()
-    plain, chunked = amount_sequences(rows, min_heavy_rows=10**9), amount_sequences(rows, min_heavy_rows=30)
-    assert plain.exceptAll(chunked).count() == 0 and plain.count() == chunked.count()
-    money = F.round("total_spend", 2)
-    plain = customer_profiles(rows, 0.1, min_heavy_rows=10**9).withColumn("total_spend", money)
-    chunked = customer_profiles(rows, 0.1, min_heavy_rows=30).withColumn("total_spend", money)
-    assert plain.exceptAll(chunked).count() == 0 and plain.count() == chunked.count()
+    after = with_neighbours(df, following={"n": "timestamp"})
+    assert {r.transaction_id: r.n for r in after.collect()} == {k: v[0] for k, v in want.items()}
+    run = with_neighbours(df, trailing={"run": "total_amount"}, length=3)
+    assert {r.transaction_id: r.run for r in run.collect()} == {k: v[2] for k, v in want.items()}
+
+
+def test_many_hot_customers_and_a_hot_null(spark):
+    """6,000 customers with as many rows each, and a third of all rows without a customer, in many chunks."""
+    rows = spark.range(6000 * 12).selectExpr(
+        "case when id % 3 = 0 then null else id % 6000 end as customer_id",
+        "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(0, 0, 0, id % 977) as timestamp",
+        "concat('T', id) as transaction_id", "cast(id as double) as total_amount",
+    )
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = with_neighbours(rows, following={"n": "timestamp", "a": "total_amount"},
+                               trailing={"run": "total_amount"}, length=4)
+        got = {r.transaction_id: (r.n, r.a, r.run) for r in made.collect()}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == brute_force(rows.collect(), 4)
 
 
 @pytest.mark.parametrize("partitions", [1, 7])

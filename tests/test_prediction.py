@@ -92,9 +92,9 @@ def test_forecast_follows_a_simple_rule(spark):
     sequences = customers.amount_sequences(df)
     assert sequences.count() == 40 * 8
     forecast = prediction.fit_amount_forecast(sequences)
-    quality = forecast.quality().head()
-    assert quality.sequences == 40 * 7
-    assert quality.forecast_error < 0.5 < quality.run_mean_error
+    quality = {r.split: r for r in forecast.quality().collect()}
+    assert sum(r.sequences for r in quality.values()) == 40 * 7 and set(quality) == {"train", "test"}
+    assert all(r.forecast_error < 0.5 < r.run_mean_error for r in quality.values())
     for r in forecast.next_amounts().collect():
         assert r.predicted_amount == pytest.approx((r.sequence[3] + r.sequence[4]) / 2 + 1, abs=2)
     assert forecast.next_amounts().count() == 40

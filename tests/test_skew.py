@@ -1,6 +1,7 @@
 """One customer, product, day and copy hold much of the table: results stay whole and hot joins are split."""
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from salescope import sources
@@ -22,12 +23,14 @@ def hot(spark, sf):
 
 
 def test_windows_over_a_hot_customer(hot):
-    plain = customers.amount_sequences(hot, min_heavy_rows=10**9)
-    chunked = customers.amount_sequences(hot, min_heavy_rows=100)
-    assert plain.exceptAll(chunked).count() == 0 == chunked.exceptAll(plain).count()
-    money = F.round("total_spend", 2)
-    plain = customers.customer_profiles(hot, min_heavy_rows=10**9).withColumn("total_spend", money)
-    chunked = customers.customer_profiles(hot, min_heavy_rows=100).withColumn("total_spend", money)
+    """The same as one window per customer."""
+    whole = Window.partitionBy("customer_id").orderBy("timestamp", "transaction_id")
+    plain = hot.withColumns({
+        "next_amount": F.lead("total_amount").over(whole),
+        "sequence": F.collect_list("total_amount").over(whole.rowsBetween(-4, 0)),
+    }).where(F.size("sequence") == 5)
+    chunked = customers.amount_sequences(hot)
+    plain = plain.select(*chunked.columns)
     assert plain.exceptAll(chunked).count() == 0 == chunked.exceptAll(plain).count()
 
 
@@ -49,7 +52,7 @@ def test_a_hot_customer_is_spread_over_chunks(spark, hot):
     spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1k")
     original, ordering.materialise = ordering.materialise, watch
     try:
-        customers.amount_sequences(hot, min_heavy_rows=100).count()
+        customers.amount_sequences(hot).count()
     finally:
         ordering.materialise = original
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.minPartitionSize")

@@ -14,9 +14,9 @@ from salescope.plans.registry import ev
 from salescope.schema import CORRUPT_COLUMN, TRANSACTION_COLUMNS, TRANSACTION_SCHEMA
 
 HEADER = ",".join(TRANSACTION_COLUMNS)
-GOOD = "TX_1,2023-10-30 03:01:46.571042,6933,David Hays,New Sabrina,B2C,Chair Product_10,Home & Kitchen > Chair,246.08,4,984.32"
-MORE = 'TX_2,2023-10-30 03:06:07,9328,"Oconnell, Adam",East Town,B2B,Atlas Product_1,Books > Maps,10.0,2,20.0'
-BAD = "TX_3,yesterday,abc,Jerry Brown,Lukefort,B2B,Bed Product_1,Home & Kitchen > Bed,685.73,forty,27429.2"
+GOOD = "P-aa,2031-05-04 17:20:09.120345,77,Orla Tamsinger,Port Halyard,B2C,Kettle Product_3,Deck & Cabin > Kettle,12.5,6,75.0"
+MORE = 'P-bb,2031-05-06 08:00:01,4410,"Quist, Bram",Low Fen,B2B,Sextant Product_8,Charts > Sextant,310.0,1,310.0'
+BAD = "P-cc,soon,none,Ivo Marl,Upper Sound,B2B,Hammock Product_2,Deck & Cabin > Hammock,49.9,two,99.8"
 
 
 @pytest.fixture
@@ -33,10 +33,10 @@ def lines(folder):
 def test_typed_read(spark, csv_file):
     df = sources.read_transactions(spark, csv_file)
     assert df.schema == TRANSACTION_SCHEMA
-    first = df.where("transaction_id = 'TX_1'").head()
-    assert first.timestamp == dt.datetime(2023, 10, 30, 3, 1, 46, 571042)
-    assert (first.customer_id, first.quantity, first.total_amount) == (6933, 4, 984.32)
-    assert sorted(r.transaction_id for r in cleaning.clean(df).collect()) == ["TX_1", "TX_2"]
+    first = df.where("transaction_id = 'P-aa'").head()
+    assert first.timestamp == dt.datetime(2031, 5, 4, 17, 20, 9, 120345)
+    assert (first.customer_id, first.quantity, first.total_amount) == (77, 6, 75.0)
+    assert sorted(r.transaction_id for r in cleaning.clean(df).collect()) == ["P-aa", "P-bb"]
     assert sources.schema_of(df)[1] == ("timestamp", "timestamp_ntz")
     assert sources.preview(df, 2).count() == 2
 
@@ -67,10 +67,10 @@ def test_ranked_csv(spark, sf, tmp_path):
 
 
 def test_one_folder_per_category(spark, tmp_path):
-    df = spark.createDataFrame([("Home & Kitchen", 1), ("Books", 2)], "main_category string, n int")
+    df = spark.createDataFrame([("Deck & Cabin", 1), ("Charts", 2)], "main_category string, n int")
     sources.write_by_category(df, str(tmp_path / "c"))
     folders = sorted(p.name for p in (tmp_path / "c").iterdir() if p.is_dir())
-    assert folders == ["category_label=Books", "category_label=Home_&_Kitchen"]
+    assert folders == ["category_label=Charts", "category_label=Deck_&_Cabin"]
 
 
 def test_scratch_goes_to_the_folder_the_session_names(spark):
