@@ -20,6 +20,10 @@ from salescope.sources import (
 )
 
 
+# The main category of the month-by-product report, if none is given.
+REPORT_CATEGORY = "Books"
+
+
 def prepare(spark: SparkSession, source: str, output: str) -> DataFrame:
     """Copy the raw rows, set rejected rows aside, and write the clean, enriched table that all reports read.
 
@@ -50,7 +54,7 @@ def spending_reports(df: DataFrame, output: str) -> None:
             write_csv(report, f"{output}/{name}")
 
 
-def exploration_reports(df: DataFrame, output: str, category: str = "Books") -> None:
+def exploration_reports(df: DataFrame, output: str, category: str = REPORT_CATEGORY) -> None:
     df = exploration.with_month_and_day_name(df)
     reports = {
         "median_amount": exploration.median(df, "total_amount", "median_amount"),
@@ -84,6 +88,9 @@ def clustering_reports(df: DataFrame, output: str) -> None:
     write_parquet(clustering.customer_clusters(space), f"{output}/customer_clusters")
     write_parquet(clustering.named_loadings(space), f"{output}/loadings")
     write_csv(clustering.extreme_features(space), f"{output}/extreme_features")
+    write_csv(clustering.explained_variance(space), f"{output}/explained_variance")
+    write_csv(clustering.time_silhouettes(df), f"{output}/time_silhouettes")
+    write_csv(clustering.customer_silhouettes(space), f"{output}/customer_silhouettes")
 
 
 def prediction_reports(df: DataFrame, output: str, horizon_hours: float = 1.0) -> None:
@@ -102,7 +109,7 @@ def prediction_reports(df: DataFrame, output: str, horizon_hours: float = 1.0) -
     write_csv(forecast.quality(), f"{output}/forecast_quality")
 
 
-def run(spark: SparkSession, source: str, output: str, horizon_hours: float = 1.0, category: str = "Books") -> None:
+def run(spark: SparkSession, source: str, output: str, horizon_hours: float = 1.0, category: str = REPORT_CATEGORY) -> None:
     """Prepare the table and write all reports."""
     df = prepare(spark, source, f"{output}/prepared")
     spending_reports(df, f"{output}/spending")

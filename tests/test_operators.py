@@ -84,7 +84,7 @@ def test_small_column_expressions(spark):
     ).collect()
     assert tuple(first) == ("Deck & Cabin", "Hammock", ["0.0", "2.0"], 1.0, 1.0, "Deck_&_Cabin_>_Hammock",
                             dt.datetime(2024, 1, 2, 3, 4, 5, 678901))
-    assert tuple(second) == ("Charts", "Product_7 Lamp", [], 2.0, 1.0, "Books", None)
+    assert tuple(second) == ("Charts", "Product_7 Lamp", [], 2.0, 1.0, "Charts", None)
 
 
 def test_repurchase_flag(spark):
