@@ -1,15 +1,16 @@
 """Connected components of links, by union-find in the tasks and star operations between them.
 
-Each task first replaces its links by a forest of its own (union-find), which has fewer links and the same components.
-Then large and small stars alternate: every node hands the least node it knows to its neighbours, until all links are
-(node, least node of its component). Only minima are gathered per node, so a node with any number of links is no burden
-to one task; each round is written to the shared folder, and only its row count and checksum reach the driver.
+Each task replaces its links by a forest of its own (union-find), which has fewer links and the same components. Then
+rounds follow until all links are (least node of the component, node): a link whose upper node hangs on a lesser one moves
+there, a node with several upper nodes joins them to the least, and the tasks make forests again. Links are dealt by their
+lower end, of which a node has one per task at most, so that a node with any number of links is no burden to one task. Each
+round is written to the shared folder, and only its row count and checksum reach the driver.
 """
 
 from __future__ import annotations
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from salescope.llm.common import ship
@@ -49,7 +50,7 @@ def _forest(batches):
     for batch in batches:
         for a, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
             groups.union(a, b)
-    nodes = list(groups.up)
+    nodes = [n for n in groups.up if groups.find(n) != n]
     for start in range(0, len(nodes), 50_000):
         part = nodes[start:start + 50_000]
         yield pa.RecordBatch.from_arrays(
@@ -63,17 +64,18 @@ def components(links: DataFrame) -> DataFrame:
     edges = materialise(known.mapInArrow(_forest, "a bigint, b bigint"), "forest")
     before = None
     for _ in range(MOST_ROUNDS):
-        both = edges.union(edges.select("b", "a")).toDF("u", "v")
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("m").alias("a"), F.col("v").alias("b"))
-        large = large.where("a < b").distinct()
-        least = large.groupBy("b").agg(F.min("a").alias("m"))
-        small = large.join(least, "b").where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b"))
-        edges = materialise(small.union(least.select("m", "b")).distinct(), "stars")
+        # Only the least of a node's upper nodes: one row for each link comes out, however many forests name the node.
+        upper = edges.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("upper"))
+        moved = edges.join(upper, "a", "left").select(F.coalesce("upper", "a").alias("a"), "b")
+        least = moved.withColumn("least", F.min("a").over(Window.partitionBy("b")))
+        hung = F.explode(F.array(F.struct("b", "least"), F.struct(F.col("a").alias("b"), "least")))
+        hung = least.select(hung.alias("x")).select(F.col("x.least").alias("a"), F.col("x.b").alias("b")).where("a <> b")
+        edges = materialise(hung.mapInArrow(_forest, "a bigint, b bigint"), "components")
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             roots = edges.select(F.col("a").alias("node")).distinct()
-            return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).union(
+            # Every task may have told the same link.
+            return edges.select(F.col("b").alias("node"), F.col("a").alias("component")).distinct().union(
                 roots.select("node", F.col("node").alias("component"))
             )
         before = now

@@ -117,9 +117,8 @@ def _links(families: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
         "doc_id", "text_key", "fingerprint", "family", "chunk",
         F.least("chunk", "_other").alias("low"), F.greatest("chunk", "_other").alias("high"),
     )
-    # Equal rows would be compared with each other for nothing.
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    met = met.join(texts, ["doc_id", "text_key"]).dropDuplicates(["family", "low", "high", "doc_id"])
+    met = met.join(texts, ["doc_id", "text_key"])
     batches = max(1, total // BATCH_CHARS)
     keyed = met.withColumn("_batch", F.pmod(F.xxhash64("family", "low", "high"), F.lit(batches)))
 
@@ -127,6 +126,9 @@ def _links(families: DataFrame, docs: DataFrame, words: int, percent: int) -> Da
         found = []
         table = table.sort_by([("family", "ascending"), ("low", "ascending"), ("high", "ascending"),
                                ("doc_id", "ascending")])
+        # Repeated rows of a document would be compared with each other for nothing.
+        ids = np.column_stack([table.column(n).to_numpy() for n in ("family", "low", "high", "doc_id")])
+        table = table.filter(pa.array(np.concatenate([[True], np.any(ids[1:] != ids[:-1], axis=1)])))
         keys = np.column_stack([table.column(n).to_numpy() for n in ("family", "low", "high")])
         edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
         for start, end in zip([0, *edges], [*edges, len(keys)]):
