@@ -180,7 +180,7 @@ def _shared_digits(docs: DataFrame, cells: int) -> DataFrame:
 def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int) -> DataFrame:
     """(key, digit, bytes, doc_ids, text_keys, starts) of the distinct fragments of each block whose digit is shared.
 
-    ``copies``: (block, text_keys, doc_ids) of the documents that repeat a text as a whole; they are left out.
+    ``copies``: (block, row keys) of the documents that repeat a text as a whole; they are left out.
     """
     bits = cells.bit_length() - 1
     told = shared.select("block", "cell", "digits", F.lit(None).cast("array<bigint>").alias("copies")).union(
@@ -196,10 +196,12 @@ def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int
             gone.update(copied or ())
         known = np.sort(np.concatenate(known))
         found, seen = {}, set()
-        for doc, key, text in zip(*(texts.column(n).to_pylist() for n in ("doc_id", "text_key", "text"))):
-            if not len(known) or doc in gone or (doc, key) in seen:
+        columns = ("row_key", "doc_id", "text_key", "text")
+        for row, doc, key, text in zip(*(texts.column(n).to_pylist() for n in columns)):
+            # Whole copies, and rows that repeat one of the block.
+            if not len(known) or row in gone or row in seen:
                 continue
-            seen.add((doc, key))
+            seen.add(row)
             data = text_bytes(text)
             digits = first_digits(data)
             starts, ends = runs_of(digits)
@@ -232,7 +234,8 @@ def _least(fragments: DataFrame, cells: int, hot_fragments: int) -> DataFrame:
         F.first("digit").alias("digit"), F.first("bytes").alias("bytes"),
         F.min(F.array_min("doc_ids")).alias("low"), F.max(F.array_max("doc_ids")).alias("high"),
     ), "fragments-distinct")
-    hot = distinct.groupBy("digit").count().where(F.col("count") > hot_fragments).select("digit")
+    # One row for each ``hot_fragments`` fragments at most: small enough to broadcast, and mostly empty.
+    hot = F.broadcast(distinct.groupBy("digit").count().where(F.col("count") > hot_fragments).select("digit"))
     schema = "key binary, counts array<bigint>, least array<bigint>"
 
     def of_cell(table: pa.Table) -> pa.Table:
@@ -280,23 +283,35 @@ def repeated_spans(docs: DataFrame, hot_fragments: int = HOT_FRAGMENTS) -> DataF
     thin = materialise(thin.distinct(), "suffix-texts")
     least = thin.groupBy("_md5").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
     copied = thin.join(least.where("_first < _last"), "_md5").where("doc_id > _first")
-    placed = usable.withColumn("block", block)
+    row_key = F.xxhash64("doc_id", "text_key")
+    placed = usable.withColumn("block", block).withColumn("row_key", row_key)
     shared = materialise(_shared_digits(placed, cells), "suffix-digits")
-    copies = copied.groupBy(block.alias("block")).agg(F.collect_set("doc_id").alias("copies"))
+    copies = copied.groupBy(block.alias("block")).agg(F.collect_set(row_key).alias("copies"))
     fragments = materialise(_fragments(placed, shared, copies, cells), "fragments")
     least = _least(fragments, cells, hot_fragments)
 
+    def flat(lists):
+        return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+
     def spans_of(batches):
         for batch in batches:
-            rows = []
-            for ids, keys, starts, counts, least in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                ends = np.cumsum(counts)
-                for doc, key, start in zip(ids, keys, starts):
-                    for count, end, low in zip(counts, ends, least):
-                        if low < doc:
-                            rows.append((doc, key, start + int(end) - count, start + int(end) + WINDOW - 1))
+            ids, of_row = flat(batch.column(0))
+            keys, starts = (flat(batch.column(i))[0] for i in (1, 2))
+            counts, runs = flat(batch.column(3))
+            least = flat(batch.column(4))[0]
+            # Where each run ends among the windows of its fragment.
+            ends = np.cumsum(counts)
+            first = np.cumsum(runs) - runs
+            ends -= np.repeat(ends[first] - counts[first] if len(counts) else ends, runs)
+            # Each document of a fragment meets each run of it.
+            row = np.repeat(np.arange(len(of_row)), of_row)
+            place = np.repeat(np.arange(len(ids)), runs[row])
+            run = first[row[place]] + np.arange(len(place)) - np.repeat(np.cumsum(runs[row]) - runs[row], runs[row])
+            lost = least[run] < ids[place]
+            place, run = place[lost], run[lost]
+            end = starts[place] + ends[run]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([r[i] for r in rows], pa.int64()) for i in range(4)],
+                [pa.array(x.astype(np.int64)) for x in (ids[place], keys[place], end - counts[run], end + WINDOW - 1)],
                 names=["doc_id", "text_key", "start", "end"],
             )
 

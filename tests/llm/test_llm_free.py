@@ -292,6 +292,13 @@ def test_repeats_of_odd_documents(spark):
     assert suffixes.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_rows_that_share_an_id_lose_bytes_by_their_own_text(spark):
+    a, b = "".join(f"{i}, " for i in range(40)), "".join(f"{i}; " for i in range(40))
+    docs = spark.createDataFrame([(1, a), (2, b), (3, a), (3, b + a[:60] + b), (3, "own " * 20)], "doc_id long, text string")
+    got = {(r.doc_id, r.text): r.n_removed for r in suffixes.remove_repeats(docs).collect()}
+    assert got == {(1, a): 0, (2, b): 0, (3, a): len(a), (3, b + a[:60] + b): 2 * len(b) + 60, (3, "own " * 20): 0}
+
+
 def test_equal_windows_have_equal_first_digits():
     rng = np.random.default_rng(8)
     shared = rng.integers(97, 100, 120).astype(np.uint8)
