@@ -181,13 +181,15 @@ def solve(table: DataFrame, weights: list[float], epochs: float = 1.0) -> tuple[
 
         sums = _summed(table, supplied, k + k * k) / tokens
         residual = sums[:k] - target
-        if np.abs(residual).max() < TOLERANCE:
+        overlap = sums[k:].reshape(k, k)
+        # Directions that (nearly) no document has cannot be served: what is left in them is not what a step is for.
+        move = np.linalg.pinv(overlap, rcond=1e-6, hermitian=True) @ residual
+        left = np.abs(overlap @ move).max()
+        if left < TOLERANCE:
             break
-        # A step that led away was too long: all further ones are shorter.
-        size, last = (size / 2 if np.abs(residual).max() > last else size), np.abs(residual).max()
-        # Directions that (nearly) no document has cannot be served and are left alone.
-        measure = np.linalg.pinv(sums[k:].reshape(k, k), rcond=1e-6, hermitian=True)
-        steps.append(size * (measure @ residual))
+        # A step that led away was too long, one that led nearer may have been too short.
+        size, last = (size / 2 if left > last else min(1.0, size * 1.5)), left
+        steps.append(size * move)
     return steps, residual
 
 
