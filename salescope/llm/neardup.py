@@ -1,10 +1,11 @@
 """Near-duplicate documents: SuperMinHash, banding, verification on whole shingle sets, and union-find grouping.
 
 Documents with equal sets are one to begin with. Of each bucket of a band, all documents join the least one: that makes
-families of documents that may be similar, without any pair of a bucket being listed. A family then meets in a task (a
-large one as pairs of bounded chunks, so that every two members meet somewhere). There, documents that are in one group
-already are not compared again; the others are, if sizes and signatures allow the wanted similarity, on their whole sets.
-The links found are a forest, and its components are the groups.
+families of documents that may be similar, without any pair of a bucket being listed. A family then meets in a task. A
+large one is dealt to chunks of bounded size, each of which is compared by itself and with the family's least document;
+after that, the documents outside the family's main group go to the other chunks as guests, so that every two members of
+different groups meet somewhere. Documents that are in one group already are not compared again; the others are, if sizes
+and signatures allow the wanted similarity, on their whole sets. The components of the links found are the groups.
 
 Two sets just similar enough share no band with a probability of one in a million (``band_rows``), less if they are more
 similar. A signature turns a pair away only if it lies ``SIGMAS`` deviations below the wanted similarity.
@@ -78,8 +79,26 @@ def least_matches(percent: int, registers: int) -> float:
     return registers * (share - SIGMAS * math.sqrt(share * (1 - share) / registers))
 
 
-def link_family(ids, texts, prints, chunks, words: int, percent: int, across: bool):
-    """Links (a, b) that join the similar ones of a family; ``across``: only between its two chunks."""
+def _fits(prints, sizes, own_print, own_size, least: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The equal registers of each row and one document, and whether they and the sizes allow the wanted similarity."""
+    near = (prints == own_print).sum(axis=1)
+    return near, (near >= least) & (100 * np.minimum(sizes, own_size) >= percent * np.maximum(sizes, own_size))
+
+
+def _verified(x: int, candidates, near, sets, group, percent: int):
+    """The rows of ``candidates`` that are similar to row ``x`` and not yet in its group, which they join."""
+    # The likeliest first: once linked, the rest of that group need not be looked at.
+    for y in candidates[np.argsort(-near[candidates], kind="stable")]:
+        if group[y] == group[x]:
+            continue
+        both = common(sets[x], sets[y])
+        if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
+            yield y
+            group[group == group[x]] = group[y]
+
+
+def link_family(ids, texts, prints, words: int, percent: int):
+    """Links (a, b) that join the similar ones of a family or of one of its chunks."""
     count = len(ids)
     sets = [shingle_set(t, words) for t in texts]
     sizes = np.array([len(s) for s in sets])
@@ -87,64 +106,141 @@ def link_family(ids, texts, prints, chunks, words: int, percent: int, across: bo
     least = least_matches(percent, table.shape[1])
     group = np.arange(count)
     for x in range(1, count):
-        near = (table[:x] == table[x]).sum(axis=1)
-        fits = (near >= least) & (group[:x] != group[x])
-        fits &= 100 * np.minimum(sizes[:x], sizes[x]) >= percent * np.maximum(sizes[:x], sizes[x])
-        if across:
-            fits &= chunks[:x] != chunks[x]
-        candidates = np.flatnonzero(fits)
-        # The likeliest first: once linked, the rest of that group need not be looked at.
-        for y in candidates[np.argsort(-near[candidates], kind="stable")]:
-            if group[y] == group[x]:
-                continue
-            both = common(sets[x], sets[y])
-            if 100 * both >= percent * (sizes[x] + sizes[y] - both):
-                yield ids[x], ids[y]
-                group[group == group[x]] = group[y]
-
-
-def _links(families: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """Links between the similar documents of each family; ``families``: (doc_id, text_key, n_chars, fingerprint, family)."""
-    weight = families.groupBy("family").agg(F.sum("n_chars").alias("_chars"))
-    total = weight.agg(F.sum("_chars")).first()[0] or 0
-    weight = weight.select("family", F.ceil(F.col("_chars") / CHUNK_CHARS).cast("int").alias("_parts"))
-    placed = families.join(weight, "family").withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id"), F.greatest("_parts", F.lit(1))).cast("int")
-    )
-    # Each two chunks of a family meet; nearly all families are one chunk.
-    others = F.explode(F.sequence(F.lit(0), F.greatest("_parts", F.lit(1)) - 1))
-    met = placed.withColumn("_other", others).select(
-        "doc_id", "text_key", "fingerprint", "family", "chunk",
-        F.least("chunk", "_other").alias("low"), F.greatest("chunk", "_other").alias("high"),
+        near, fits = _fits(table[:x], sizes[:x], table[x], sizes[x], least, percent)
+        for y in _verified(x, np.flatnonzero(fits & (group[:x] != group[x])), near, sets, group, percent):
+            yield ids[x], ids[y]
+
+
+def _meetings(table: pa.Table, percent: int):
+    """(guest, hosts, equal registers) of each guest of a chunk that may be similar to a host of another group.
+
+    Two documents outside the main group meet twice; the guest from the lesser chunk is the one that counts.
+    """
+    guest, minor, part, chunk, home = (
+        table.column(n).to_numpy() for n in ("guest", "minor", "component", "chunk", "home")
     )
-    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    met = met.join(texts, ["doc_id", "text_key"])
-    batches = max(1, total // BATCH_CHARS)
-    keyed = met.withColumn("_batch", F.pmod(F.xxhash64("family", "low", "high"), F.lit(batches)))
+    sizes = table.column("n_shingles").to_numpy()
+    prints = np.frombuffer(b"".join(table.column("fingerprint").to_pylist()), np.uint8).reshape(len(sizes), -1)
+    least = least_matches(percent, prints.shape[1])
+    hosts = np.flatnonzero(~guest)
+    for x in np.flatnonzero(guest):
+        near, fits = _fits(prints[hosts], sizes[hosts], prints[x], sizes[x], least, percent)
+        fits &= (part[hosts] != part[x]) & (~minor[hosts] | (chunk[x] < home[x]))
+        if fits.any():
+            yield x, hosts[fits], near[fits]
+
+
+def link_guests(table: pa.Table, words: int, percent: int):
+    """Links (a, b) of the guests of a chunk with its hosts, as far as they join groups."""
+    ids, sets = table.column("doc_id").to_pylist(), [shingle_set(t, words) for t in table.column("text").to_pylist()]
+    group = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
+    for x, hosts, equal in _meetings(table, percent):
+        near = np.zeros(len(ids), np.int64)
+        near[hosts] = equal
+        for y in _verified(x, hosts, near, sets, group, percent):
+            yield ids[x], ids[y]
+
+
+def _as_links(found) -> pa.Table:
+    found = list(found)
+    return pa.table({
+        "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())
+    })
+
+
+def _distinct(table: pa.Table, *names: str) -> pa.Table:
+    """The table in the order of ``names``, with one row of each: repeated rows would be compared for nothing."""
+    table = table.sort_by([(n, "ascending") for n in names])
+    keys = np.column_stack([table.column(n).to_numpy() for n in names])
+    return table.filter(pa.array(np.concatenate([[True], np.any(keys[1:] != keys[:-1], axis=1)])))
+
+
+def _within_chunks(placed: DataFrame, texts: DataFrame, total: int, words: int, percent: int) -> DataFrame:
+    """Links inside each chunk; the least document of a family is in all of its chunks, so that copies of it are joined."""
+    homes = F.when(F.col("doc_id") == F.col("_hub"), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(F.array("chunk"))
+    # A chunk of a large family has a task call of its own; smaller families share one.
+    few = F.pmod(F.xxhash64("family"), F.lit(max(1, total // BATCH_CHARS)))
+    batch = F.when(F.col("_parts") > 1, F.xxhash64("family", "home")).otherwise(few)
+    keyed = placed.withColumn("home", F.explode(homes)).select(
+        "doc_id", "text_key", "fingerprint", "family", "home", batch.alias("_batch")
+    ).join(texts, ["doc_id", "text_key"])
 
     def of_batch(table: pa.Table) -> pa.Table:
         found = []
-        table = table.sort_by([("family", "ascending"), ("low", "ascending"), ("high", "ascending"),
-                               ("doc_id", "ascending")])
-        # Repeated rows of a document would be compared with each other for nothing.
-        ids = np.column_stack([table.column(n).to_numpy() for n in ("family", "low", "high", "doc_id")])
-        table = table.filter(pa.array(np.concatenate([[True], np.any(ids[1:] != ids[:-1], axis=1)])))
-        keys = np.column_stack([table.column(n).to_numpy() for n in ("family", "low", "high")])
+        table = _distinct(table, "family", "home", "doc_id")
+        keys = np.column_stack([table.column(n).to_numpy() for n in ("family", "home")])
         edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
         for start, end in zip([0, *edges], [*edges, len(keys)]):
             part = table.slice(start, end - start)
-            found += link_family(
-                part.column("doc_id").to_pylist(), part.column("text").to_pylist(),
-                part.column("fingerprint").to_pylist(), part.column("chunk").to_numpy(), words, percent,
-                bool(keys[start, 1] != keys[start, 2]),
-            )
-        return pa.table({
-            "a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())
-        })
+            found += link_family(*(part.column(n).to_pylist() for n in ("doc_id", "text", "fingerprint")), words, percent)
+        return _as_links(found)
 
     return keyed.groupBy("_batch").applyInArrow(of_batch, "a bigint, b bigint")
 
 
+def _between_chunks(placed: DataFrame, joined: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links between the chunks of large families whose chunks (``joined``: node, component) left several groups.
+
+    Of two documents in different groups, one at least is outside the family's main group. Only those go to other chunks, as
+    guests in parts of a chunk's size; sizes and fingerprints go first, and texts only of those that may be similar.
+    """
+    groups = joined.select(F.col("node").alias("doc_id"), "component")
+    spread = materialise(
+        placed.where("_parts > 1").join(groups, "doc_id", "left")
+        .withColumn("component", F.coalesce("component", F.col("doc_id").cast("bigint"))).drop("_chars", "_hub"),
+        "spread",
+    )
+    weight = spread.groupBy("family", "component").agg(F.sum("n_chars").alias("_chars"))
+    main = weight.groupBy("family").agg(
+        F.max_by("component", F.struct("_chars", "component")).alias("_main"),
+        F.ceil((F.sum("_chars") - F.max("_chars")) / CHUNK_CHARS).cast("int").alias("_guests"),
+    ).where("_guests > 0")
+    left = spread.join(main, "family").withColumn("minor", F.col("component") != F.col("_main"))
+    stay = left.select(
+        "*", F.lit(False).alias("guest"), F.col("chunk").alias("home"),
+        F.explode(F.sequence(F.lit(0), F.col("_guests") - 1)).alias("part"),
+    )
+    go = left.where("minor").select(
+        "*", F.lit(True).alias("guest"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("home"),
+        F.pmod(F.xxhash64("doc_id"), F.col("_guests")).cast("int").alias("part"),
+    ).where("home <> chunk")
+    rows = stay.unionByName(go).select(
+        F.xxhash64("family", "home", "part").alias("_batch"), F.col("doc_id").cast("bigint").alias("doc_id"), "text_key",
+        "n_shingles", "fingerprint", "component", "chunk", "home", "guest", "minor",
+    )
+
+    def candidates(table: pa.Table) -> pa.Table:
+        wanted = np.zeros(len(table), bool)
+        for x, hosts, _ in _meetings(table, percent):
+            wanted[x] = wanted[hosts] = True
+        return table.filter(pa.array(wanted))
+
+    def of_batch(table: pa.Table) -> pa.Table:
+        return _as_links(link_guests(_distinct(table, "guest", "doc_id"), words, percent))
+
+    wanted = rows.groupBy("_batch").applyInArrow(candidates, rows.schema)
+    return wanted.join(texts, ["doc_id", "text_key"]).groupBy("_batch").applyInArrow(of_batch, "a bigint, b bigint")
+
+
+def _grouped(families: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """(node, component) of the similar documents of each family.
+
+    ``families``: (doc_id, text_key, n_chars, n_shingles, fingerprint, family).
+    """
+    parts = F.greatest(F.ceil(F.col("_chars") / CHUNK_CHARS).cast("int"), F.lit(1))
+    weight = families.groupBy("family").agg(F.sum("n_chars").alias("_chars"), F.min("doc_id").alias("_hub"))
+    weight = weight.withColumn("_parts", parts)
+    total, most = weight.agg(F.sum("_chars"), F.max("_parts")).first()
+    placed = families.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "_parts").cast("int"))
+    texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    joined = components(_within_chunks(placed, texts, total or 0, words, percent))
+    if (most or 1) == 1:
+        return joined
+    joined = materialise(joined, "joined")
+    between = _between_chunks(placed, joined, texts, words, percent)
+    return components(joined.select(F.col("component").alias("a"), F.col("node").alias("b")).union(between))
+
+
 def group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """(doc_id, text_key, n_shingles, component_id, kept) of each row; ``doc_id`` must be a whole number.
 
@@ -153,16 +249,16 @@ def group(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     signed = signatures(docs, words, percent)
     usable = signed.where("n_shingles > 0 and doc_id is not null")
     # Of documents with equal sets, the least stands for all.
-    first = F.min(F.struct("doc_id", "text_key", "n_chars", "fingerprint", "bands")).alias("_first")
+    first = F.min(F.struct("doc_id", "text_key", "n_chars", "n_shingles", "fingerprint", "bands")).alias("_first")
     reps = materialise(usable.groupBy("set_key").agg(first).select("set_key", "_first.*"), "representatives")
     buckets = reps.select("doc_id", F.explode("bands").alias("bucket"))
     leaders = buckets.groupBy("bucket").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("_last")).where("a < _last")
     near = buckets.join(leaders.select("bucket", "a"), "bucket").where("doc_id <> a").select("a", F.col("doc_id").alias("b"))
     family = components(near).select(F.col("node").alias("doc_id"), F.col("component").alias("family"))
     members = materialise(
-        reps.select("doc_id", "text_key", "n_chars", "fingerprint").join(family, "doc_id"), "families"
+        reps.select("doc_id", "text_key", "n_chars", "n_shingles", "fingerprint").join(family, "doc_id"), "families"
     )
-    grouped = components(_links(members, docs, words, percent))
+    grouped = _grouped(members, docs, words, percent)
     grouped = grouped.select(F.col("node").alias("doc_id"), "component")
     by_set = reps.select("set_key", "doc_id").join(grouped, "doc_id", "left").select(
         "set_key", F.coalesce("component", "doc_id").alias("_component")

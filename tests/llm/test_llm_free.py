@@ -50,6 +50,28 @@ def test_groups_of_families_in_any_chunks(spark, monkeypatch):
         assert got == want
 
 
+def test_task_input_does_not_grow_with_the_family(spark, monkeypatch):
+    texts = _family(11, 120, 2, 200) + _family(12, 40, 9)
+    rows = [(1000 - 3 * i, t) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    monkeypatch.setattr(neardup, "CHUNK_CHARS", 9000)
+    monkeypatch.setattr(neardup, "BATCH_CHARS", 3000)
+    seen, plain_group = [], type(docs).groupBy
+
+    def noted(self, *cols):
+        if [c for c in cols if isinstance(c, str)] == ["_batch"] and "text" in self.columns:
+            seen.append(self)
+        return plain_group(self, *cols)
+
+    monkeypatch.setattr(type(docs), "groupBy", noted)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.group(docs, 3, 85).collect()}
+    monkeypatch.setattr(type(docs), "groupBy", plain_group)
+    assert got == plain.groups(rows, 3, 85)
+    sizes = [r[1] for f in seen for r in f.groupBy("_batch").agg(F.sum(F.length("text"))).collect()]
+    # A chunk and its guests at most, and no copy of the whole family for each of its chunks.
+    assert max(sizes) <= 4 * 9000 and sum(sizes) <= 4 * sum(map(len, texts))
+
+
 def test_groups_of_odd_documents(spark):
     docs = plain.odd_documents(spark)
     rows = neardup.group(docs, 3, 85).collect()
