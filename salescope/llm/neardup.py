@@ -167,7 +167,7 @@ def _within_chunks(placed: DataFrame, texts: DataFrame, total: int, words: int,
 
     def of_batch(table: pa.Table) -> pa.Table:
         found = []
-        table = _distinct(table, "family", "home", "doc_id")
+        table = _distinct(table, "family", "home", "doc_id", "text_key")
         keys = np.column_stack([table.column(n).to_numpy() for n in ("family", "home")])
         edges = np.flatnonzero(np.any(keys[1:] != keys[:-1], axis=1)) + 1
         for start, end in zip([0, *edges], [*edges, len(keys)]):
@@ -202,7 +202,7 @@ def _between_chunks(placed: DataFrame, joined: DataFrame, texts: DataFrame, word
     )
     go = left.where("minor").select(
         "*", F.lit(True).alias("guest"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("home"),
-        F.pmod(F.xxhash64("doc_id"), F.col("_guests")).cast("int").alias("part"),
+        F.pmod(F.xxhash64("doc_id", "text_key"), F.col("_guests")).cast("int").alias("part"),
     ).where("home <> chunk")
     rows = stay.unionByName(go).select(
         F.xxhash64("family", "home", "part").alias("_batch"), F.col("doc_id").cast("bigint").alias("doc_id"), "text_key",
@@ -216,7 +216,7 @@ def _between_chunks(placed: DataFrame, joined: DataFrame, texts: DataFrame, word
         return table.filter(pa.array(wanted))
 
     def of_batch(table: pa.Table) -> pa.Table:
-        return _as_links(link_guests(_distinct(table, "guest", "doc_id"), words, percent))
+        return _as_links(link_guests(_distinct(table, "guest", "doc_id", "text_key"), words, percent))
 
     wanted = rows.groupBy("_batch").applyInArrow(candidates, rows.schema)
     return wanted.join(texts, ["doc_id", "text_key"]).groupBy("_batch").applyInArrow(of_batch, "a bigint, b bigint")
@@ -231,7 +231,7 @@ def _grouped(families: DataFrame, docs: DataFrame, words: int, percent: int) ->
     weight = families.groupBy("family").agg(F.sum("n_chars").alias("_chars"), F.min("doc_id").alias("_hub"))
     weight = weight.withColumn("_parts", parts)
     total, most = weight.agg(F.sum("_chars"), F.max("_parts")).first()
-    placed = families.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id"), "_parts").cast("int"))
+    placed = families.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_key"), "_parts").cast("int"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     joined = components(_within_chunks(placed, texts, total or 0, words, percent))
     if (most or 1) == 1:

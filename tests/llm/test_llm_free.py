@@ -72,6 +72,13 @@ def test_task_input_does_not_grow_with_the_family(spark, monkeypatch):
     assert max(sizes) <= 4 * 9000 and sum(sizes) <= 4 * sum(map(len, texts))
 
 
+def test_rows_that_share_an_id_are_linked_by_each_of_their_texts(spark):
+    (a, b), (c, d) = _family(21, 2, 1), _family(22, 2, 1)
+    docs = spark.createDataFrame([(5, a), (5, c), (9, b + " end"), (8, d + " end")], "doc_id long, text string")
+    got = {(r.doc_id, r.component_id) for r in neardup.group(docs, 3, 85).collect()}
+    assert got == {(5, 5), (8, 5), (9, 5)}
+
+
 def test_groups_of_odd_documents(spark):
     docs = plain.odd_documents(spark)
     rows = neardup.group(docs, 3, 85).collect()
