@@ -168,18 +168,30 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool]]:
     return done
 
 
-def judge(text: str, density: float, apart: bool, in_article: bool) -> int:
-    """The first pass: a block by itself. Inside a marked article, rare stop words do not speak against a block."""
-    if apart or density > MOST_LINKED:
+def stop_share(text: str) -> float:
+    """The share of stop words among the words."""
+    words = _WORD.findall(text.lower())
+    return sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+
+
+def judge(text: str, density: float, apart: bool, in_article: bool, known: bool = True) -> int:
+    """The first pass: a block by itself. Inside a marked article, links and rare stop words do not speak against a block.
+
+    ``known``: the page has a block dense in stop words. Without one its language may not be listed, and only length, place
+    and links count.
+    """
+    if apart or (density > MOST_LINKED and not in_article):
         return BAD
     if len(text) < SHORT:
         return OPEN
-    words = _WORD.findall(text.lower())
-    stop = sum(w in STOP_WORDS for w in words) / max(len(words), 1)
+    stop = stop_share(text)
     if stop >= STOP_HIGH:
         return GOOD
-    if stop < STOP_LOW and len(text) >= LONG and not in_article:
-        return BAD
+    if len(text) >= LONG and not in_article:
+        if not known:
+            return GOOD
+        if stop < STOP_LOW:
+            return BAD
     return OPEN
 
 
@@ -188,7 +200,13 @@ def main_text(page: str | None) -> str:
     found = blocks_of(page or "")
     # Where a page marks its article, only what is inside can be text.
     marked = any(inside and not apart for _, _, _, inside, apart in found)
-    first = [judge(text, density, apart or (marked and not inside), marked) for text, density, _, inside, apart in found]
+    known = any(
+        not apart and density <= MOST_LINKED and len(text) >= SHORT and stop_share(text) >= STOP_HIGH
+        for text, density, _, _, apart in found
+    )
+    first = [
+        judge(text, density, apart or (marked and not inside), marked, known) for text, density, _, inside, apart in found
+    ]
     before, last = [], None
     for label in first:
         before.append(last)
@@ -206,7 +224,7 @@ def main_text(page: str | None) -> str:
                 label = GOOD
             elif a is None and b is None:
                 # No block of the page is decided: what is not linked is all there is.
-                label = GOOD if density == 0 else BAD
+                label = GOOD if density == 0 or (not known and len(text) >= SHORT) else BAD
             elif GOOD in (a, b):
                 label = GOOD if density == 0 and (a == GOOD if heading else b == GOOD) else BAD
             else:

@@ -278,6 +278,20 @@ def test_page_cases(page, want):
     assert html.main_text(page) == want
 
 
+RUSSIAN = ("Старый дом в конце дороги построил отец человека, который живёт там до сих пор, и дом этот не моложе города. " * 3).strip()
+CHINESE = "路尽头的老房子是住在那里的人的父亲建造的它和这座城市一样古老" * 8
+
+
+@pytest.mark.parametrize("page, want", [
+    (f"<nav>x</nav><h1>Дом</h1><p>{RUSSIAN}</p><p>Коротко.</p><p>{RUSSIAN}</p><footer>{RUSSIAN}</footer>", f"Дом {RUSSIAN} Коротко. {RUSSIAN}"),
+    (f"<p>{CHINESE}</p><p>短。</p><p><a href=x>{CHINESE}</a></p>", f"{CHINESE} 短。"),
+    (f"<p>{RUSSIAN[:100].strip()} <a href=x>там</a></p>", f"{RUSSIAN[:100].strip()} там"),
+    (f"<article><p>{LONG}</p><ul><li><a href=x>A reference</a></li></ul></article>", f"{LONG}A reference"),
+])
+def test_pages_in_other_scripts_and_linked_articles(page, want):
+    assert html.main_text(page) == want
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     pages = spark.createDataFrame([(1, None, None, "t", 5), (None, "u", f"<p>{LONG}</p>", "t", 5), (1, None, None, "t", 5)],
                                   "page_id long, url string, html string, text string, n_chars int")
