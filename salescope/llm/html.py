@@ -40,6 +40,11 @@ APART_WORDS = frozenset(
     "respond replies reply search share sharing sidebar signup skip social sponsor sponsored subscribe subscription "
     "tags toolbar widget widgets".split()
 )
+# First parts of compound classes that mark as surely as whole words, parts after which a class only tells
+# about the page (has-sidebar), and first parts of classes for what belongs to an article (entry-header).
+SURE_PREFIXES = frozenset("advert advertisement comment comments cookie cookies disqus gdpr newsletter related".split())
+NO_MARK = frozenset("has no not with without hide show".split())
+OF_ARTICLE = frozenset("article category content entry post story tag title".split())
 # Frequent short words of the languages at hand.
 STOP_WORDS = frozenset(
     "a an and are as at be by for from had has have he her his in is it its not of on or she that the their they this to "
@@ -65,33 +70,51 @@ _WORD = re.compile(r"[^\W\d_]+")
 GOOD, BAD, OPEN = 1, -1, 0
 
 
-def _is_apart(name: str, attributes: str) -> bool:
-    """Whether an element stands apart from the article, by its name or by its marks."""
+def _marked_apart(word: str) -> int:
+    """2 for a class that marks what is not the article, 1 for one that a layout may bear as well, 0 for others."""
+    if word in APART_WORDS:
+        return 2
+    parts = re.split(r"[-_]+", word)
+    if parts[0] in SURE_PREFIXES:
+        return 2
+    for i, part in enumerate(parts):
+        if part in NO_MARK or (i == 0 and part in OF_ARTICLE):
+            return 0
+        if part in APART_WORDS:
+            return 1
+    return 0
+
+
+def _is_apart(name: str, attributes: str) -> int:
+    """Whether an element stands apart from the article, by its name or by its marks: 2 surely, 1 perhaps, 0 not."""
     if name in APART:
-        return True
+        return 2
     if not attributes or name in ("html", "body", "main"):
-        return False
+        return 0
     if _HIDDEN.search(attributes):
-        return True
-    for found in _MARKS.findall(attributes):
-        for word in "".join(found).lower().split():
-            if APART_WORDS.intersection(re.split(r"[-_]+", word)):
-                return True
-    return False
+        return 2
+    words = (w for found in _MARKS.findall(attributes) for w in "".join(found).lower().split())
+    most = max(map(_marked_apart, words), default=0)
+    # An article is never apart by a part of a class.
+    return 0 if name == "article" and most < 2 else most
 
 
 class _Block:
     """A run of text with its tag, place and linked characters."""
 
-    __slots__ = ("heading", "inside", "apart", "parts", "linked")
+    __slots__ = ("heading", "inside", "apart", "wrapper", "parts", "linked")
+
+    def __init__(self, heading: bool, inside: bool, apart: bool, wrapper: int):
+        self.heading, self.inside, self.apart, self.wrapper, self.parts, self.linked = heading, inside, apart, wrapper, [], 0
 
-    def __init__(self, heading: bool, inside: bool, apart: bool):
-        self.heading, self.inside, self.apart, self.parts, self.linked = heading, inside, apart, [], 0
 
+def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool, int]]:
+    """(text, link density, is heading, inside an article, surely apart, wrapper) of each block with text, in page order.
 
-def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool]]:
-    """(text, link density, is heading, inside an article, apart) of each block with text, in page order."""
-    done, stack, at, block = [], [], 0, _Block(False, False, False)
+    The wrapper is the number of the outermost open element that is perhaps apart, or 0.
+    """
+    done, stack, at, block = [], [], 0, _Block(False, False, False, 0)
+    wrappers = []
     apart = articles = links = 0
 
     def add(raw: str) -> None:
@@ -105,14 +128,16 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool]]:
         if block.parts:
             text = " ".join(html.unescape("".join(block.parts)).split())
             if text:
-                done.append((text, min(1.0, block.linked / len(text)), block.heading, block.inside, block.apart))
-        block = _Block(heading, articles > 0, apart > 0)
+                done.append((text, min(1.0, block.linked / len(text)), block.heading, block.inside, block.apart, block.wrapper))
+        block = _Block(heading, articles > 0, apart > 0, wrappers[0] if wrappers else 0)
 
     def close(index: int) -> None:
         """Close the element at ``index`` of the stack, and all it holds."""
         nonlocal apart, articles, links
         for name, is_apart in stack[index:]:
-            apart -= is_apart
+            apart -= is_apart == 2
+            if is_apart == 1:
+                wrappers.pop()
             articles -= name in ("article", "main")
             links -= name == "a"
         del stack[index:]
@@ -150,15 +175,18 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool]]:
             add(" ")
             continue
         is_apart = _is_apart(name, attributes)
-        if name in ("article", "main") and not is_apart and apart and not any(n in ("article", "main") for n, _ in stack):
+        if name in ("article", "main") and not is_apart and (apart or wrappers) and not any(n in ("article", "main") for n, _ in stack):
             # An article does not begin inside a menu: what stood apart was never closed.
-            stack[:] = [(n, False) for n, _ in stack]
+            stack[:] = [(n, 0) for n, _ in stack]
             apart = 0
+            wrappers.clear()
         if name in ("p", "li") and stack and stack[-1][0] == name:
             close(len(stack) - 1)
         if name not in VOID and not attributes.rstrip().endswith("/"):
             stack.append((name, is_apart))
-            apart += is_apart
+            apart += is_apart == 2
+            if is_apart == 1:
+                wrappers.append(at)
             articles += name in ("article", "main")
             links += name == "a"
         if name in BLOCK_TAGS or is_apart:
@@ -195,9 +223,20 @@ def judge(text: str, density: float, apart: bool, in_article: bool, known: bool
     return OPEN
 
 
+def _settled(found):
+    """(text, link density, is heading, inside, apart) of each block: a wrapper is apart unless it holds most of the text."""
+    weight, total = {}, 0
+    for text, density, _, _, apart, wrapper in found:
+        if not apart and density <= MOST_LINKED and len(text) >= SHORT:
+            weight[wrapper] = weight.get(wrapper, 0) + len(text)
+            total += len(text)
+    kept = {wrapper for wrapper, held in weight.items() if 2 * held > total} | {0}
+    return [(*block[:4], block[4] or block[5] not in kept) for block in found]
+
+
 def main_text(page: str | None) -> str:
     """The blocks that are kept, joined by one blank."""
-    found = blocks_of(page or "")
+    found = _settled(blocks_of(page or ""))
     # Where a page marks its article, only what is inside can be text.
     marked = any(inside and not apart for _, _, _, inside, apart in found)
     known = any(

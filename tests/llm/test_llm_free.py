@@ -292,6 +292,18 @@ def test_pages_in_other_scripts_and_linked_articles(page, want):
     assert html.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<div class='content has-sidebar no-comments with-header'><p>{LONG}</p></div>", LONG.strip()),
+    (f"<article class='post has-comments category-social'><p>{LONG}</p></article><p>{LONG}</p>", LONG.strip()),
+    (f"<article><div class='entry-header'><h1>Title</h1></div><p>{LONG}</p></article>", f"Title {LONG}".strip()),
+    (f"<div class='layout-sidebar'><p>{LONG * 3}</p></div><p>{LONG}</p>", f"{LONG * 4}".strip()),
+    (f"<p>{LONG * 2}</p><div class='site-sidebar'><p>{LONG}</p></div>", f"{LONG * 2}".strip()),
+    (f"<p>{LONG}</p><div id='comments-area'><article class='comment-body'><p>{LONG * 3}</p></article></div>", LONG.strip()),
+])
+def test_pages_with_marks_that_only_tell_the_layout(page, want):
+    assert html.main_text(page) == want
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     pages = spark.createDataFrame([(1, None, None, "t", 5), (None, "u", f"<p>{LONG}</p>", "t", 5), (1, None, None, "t", 5)],
                                   "page_id long, url string, html string, text string, n_chars int")
