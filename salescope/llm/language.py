@@ -30,6 +30,8 @@ MOST_DOCS, PIECES, BUCKETS, WIDTH = 3000, 4, 1 << 14, 16
 EPOCHS, BATCH, RATE = 6, 32, 0.5
 # The share of rightly labelled texts that the threshold may reject.
 MOST_REJECTED = 0.001
+# Held-back rows at which the threshold is half-way between chance and their quantile.
+FEW = 100
 UNDETERMINED = "und"
 # Characters of a text that are hashed at a time.
 BLOCK = 1 << 20
@@ -169,9 +171,10 @@ def train(rows: list, seed: int = 3) -> Model:
     share = softmax(scores, temperature)
     right = share.argmax(axis=1) == truth
     accepted = share.max(axis=1)[right]
-    # Too few rows cannot show so small a share: then only scores no better than chance are rejected.
-    enough = len(accepted) * MOST_REJECTED >= 1
-    threshold = float(np.quantile(accepted, MOST_REJECTED)) if enough else 1 / len(languages)
+    # The quantile of a sample is uncertain by its size: the fewer rows, the nearer the threshold is to chance, but never at it.
+    chance, sure = 1 / len(languages), len(accepted) / (len(accepted) + FEW)
+    least = float(np.quantile(accepted, MOST_REJECTED)) if len(accepted) else chance
+    threshold = chance + sure * (least - chance)
     return Model(table, languages, temperature, min(threshold, 0.5))
 
 

@@ -185,6 +185,13 @@ def test_language_of_held_out_documents(spark):
     assert np.mean([r.lang_pred == r.lang for r in held]) > 0.97 and np.mean([r.rejected for r in rows]) < 0.01
 
 
+def test_foreign_text_is_rejected_on_few_rows(spark):
+    model = language.train(language.examples(_documents(spark, "/root/testdata/sf0.01")))
+    foreign = ["路尽头的老房子是住在那里的人的父亲建造的", "Το παλιό σπίτι στο τέλος του δρόμου", "पुराना घर सड़क के अंत में है"]
+    scores = [model.predict(t)[1] for t in foreign]
+    assert model.threshold > 1 / len(model.languages) and min(scores) < model.threshold, (scores, model.threshold)
+
+
 def test_language_of_odd_documents(spark):
     docs = plain.odd_documents(spark)
     kept = language.keep_known(docs)
