@@ -8,10 +8,13 @@ from salescope.llm.language import op6_language
 from salescope.llm.licenses import op8_licenses
 from salescope.llm.mixing import op2_mixing
 from salescope.llm.neardup import op1_neardup
+from salescope.llm.periodic import op13_periodic
 from salescope.llm.quality import op7_quality
 from salescope.llm.secrets import OP3_SQL, op3_secrets
 from salescope.llm.sharding import op5_sharding
+from salescope.llm.spelling import op12_spelling
 from salescope.llm.suffixes import op10_suffixes
+from salescope.llm.toxicity import op11_toxicity
 
 QUERIES = {
     "op1_neardup": op1_neardup,
@@ -24,6 +27,9 @@ QUERIES = {
     "op8_licenses": op8_licenses,
     "op9_html": op9_html,
     "op10_suffixes": op10_suffixes,
+    "op11_toxicity": op11_toxicity,
+    "op12_spelling": op12_spelling,
+    "op13_periodic": op13_periodic,
 }
 
 ORACLE = {
