@@ -7,7 +7,7 @@ result. Hits are verified on the words themselves.
 
 Contract: a null or empty text has no words and no hits, as has an item without words; extra columns stay out of the
 way; repeated rows each get their result (documents are told apart by id and text); a null id is an id like any other;
-very long texts are scanned whole, in one row; empty tables give no rows or no hits.
+an item with a null id hits, but is not counted among the items; very long texts are scanned whole, in one row; empty tables give no rows or no hits.
 """
 
 from __future__ import annotations
@@ -157,28 +157,31 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-# The words of a text, their windows, and the places of those of the benchmark.
-OP4_SQL = r"""
+# The words of a text and the nine after each, the windows made of them, and the places of those of the benchmark.
+_AHEAD = ", ".join(["word", *[f"lead(word, {k}) OVER o" for k in range(1, 10)]])
+OP4_SQL = rf"""
 WITH item AS (
-  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
-    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  SELECT item_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM benchmark),
 doc AS (
   SELECT doc_id, row_number() OVER () AS r, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents),
-win AS (
-  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS t
-  FROM (SELECT item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM item WHERE len(w) > 0)),
+item_word AS (
+  SELECT item_id, r, least(len(w), 10) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS s FROM item),
+doc_word AS (SELECT r, unnest(w) AS word, generate_subscripts(w, 1) AS s FROM doc),
+item_ahead AS (SELECT item_id, n, [{_AHEAD}] AS ahead FROM item_word WINDOW o AS (PARTITION BY r ORDER BY s)),
+doc_ahead AS (SELECT r, s, [{_AHEAD}] AS ahead FROM doc_word WINDOW o AS (PARTITION BY r ORDER BY s)),
+win AS (SELECT DISTINCT item_id, n, array_to_string(ahead[1:n], ' ') AS t FROM item_ahead WHERE ahead[n] IS NOT NULL),
 place AS (
-  SELECT r, s, n, array_to_string(w[s:s + n - 1], ' ') AS t
-  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS s
-        FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+  SELECT r, s, n, array_to_string(ahead[1:n], ' ') AS t
+  FROM doc_ahead, (SELECT DISTINCT n FROM win) WHERE ahead[n] IS NOT NULL),
 hit AS (SELECT r, s, place.n, item_id FROM place JOIN win USING (t, n)),
 covered AS (
   SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(s, s + n)) AS p FROM hit) GROUP BY r),
 items AS (
-  SELECT r, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
+  SELECT r, count(i) AS n_items, string_agg(i, ',' ORDER BY i) AS ids
   FROM (SELECT DISTINCT r, item_id::VARCHAR AS i FROM hit) GROUP BY r)
 SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
   sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated

@@ -107,7 +107,7 @@ def test_shards_of_odd_documents(spark):
 def test_op5_query(spark, sf):
     texts = {r.doc_id: r.text.encode() for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = QUERIES["op5_sharding"](spark, sf).collect()
-    assert Counter(r.doc_id for r in rows) == Counter(texts)
+    assert Counter(r.doc_id for r in rows) == Counter(list(texts))
     for r in rows:
         assert (r.size, r.text_crc32, r.law, r.grown_shard) == (
             len(texts[r.doc_id]) + 1, zlib.crc32(texts[r.doc_id]), "rows", None)
@@ -169,14 +169,16 @@ def test_quality_learns_planted_rules_and_keeps_without_labels(spark):
 
 
 def test_quality_on_held_out_labels(spark):
-    folder = "/root/testdata/sf0.01"
+    folder = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{folder}/labels.parquet")
     docs = spark.read.parquet(f"{folder}/documents.parquet")
     rules = quality.learn(quality.labelled_rows(docs, labels.where("doc_id % 2 = 0")))
     judged = quality.with_statistics(quality.with_base(docs)).withColumn("kept", quality.verdict(rules))
     held = judged.join(labels.where("doc_id % 2 = 1"), "doc_id").where("n_words >= 50").collect()
     good = [r.kept for r in held if r.quality == 1]
-    assert np.mean(good) > 0.97
+    poor = [r.kept for r in held if r.quality == 0]
+    # Some labels are noise; an empty list would keep all poor rows.
+    assert np.mean(good) > 0.97 and rules and np.mean(poor) < 0.6
 
 
 def test_digest_of_nothing(spark, sf):
