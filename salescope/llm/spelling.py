@@ -27,8 +27,9 @@ import re
 from collections import Counter
 from zlib import crc32
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.llm.common import LOWER, UPPER, ship
@@ -98,35 +99,69 @@ def vocabulary(docs: DataFrame, least: int = LEAST_COUNT) -> DataFrame:
     return words.groupBy("word").agg(F.sum("n").alias("n")).where(F.col("n") >= least)
 
 
-def signatures(word: str = "word") -> Column:
-    """The keys of a word: each signature of its letters with the first and with the last half of its spelling."""
-    letters = F.array_sort(F.split(word, ""))
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    values = (values ^ (values >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return values ^ (values >> np.uint64(31))
 
-    def keys(left: Column) -> Column:
-        k, bag = F.size(left), F.array_join(left, "")
-        half = F.floor(k / 2).cast("int")
-        return F.array(
-            F.xxhash64(bag, F.lit("first"), F.substring(word, F.lit(1), half)),
-            F.xxhash64(bag, F.lit("last"), F.right(F.col(word), k - half)),
-        )
 
-    def without(letter: Column) -> Column:
-        at = F.array_position(letters, letter).cast("int")
-        return F.concat(F.slice(letters, F.lit(1), at - 1), F.slice(letters, at + 1, F.size(letters)))
+def signatures(codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The keys of words of one length, given as rows of code points, and the row of each key.
 
-    fewer = F.transform(F.array_distinct(letters), lambda letter: keys(without(letter)))
-    return F.concat(keys(letters), F.flatten(fewer))
+    A bag of letters is the sum of its letters' hashes, so that leaving out a letter is one subtraction. Keys that agree by
+    chance only bring words together that verification parts again.
+    """
+    rows, length = codes.shape
+    letters = np.sort(codes, axis=1).astype(np.uint64)
+    hashes = _mixed(letters * np.uint64(0x9E3779B97F4A7C15))
+    first = np.ones(codes.shape, bool)
+    first[:, 1:] = letters[:, 1:] != letters[:, :-1]
+    whole = hashes.sum(axis=1)
+    row, at = np.nonzero(first)
+    keys, owners = [], []
+    for left, bags, own in ((length, whole, np.arange(rows)), (length - 1, whole[row] - hashes[row, at], row)):
+        half = left // 2
+        # Code points by their place from the start, and from the end, of the half.
+        for side, part in ((1, codes[:, :half]), (2, codes[:, length - (left - half):])):
+            spelled = np.full(rows, side, np.uint64)
+            for column in part.T:
+                spelled = _mixed(spelled * np.uint64(0x9E3779B97F4A7C15) + column.astype(np.uint64))
+            keys.append(_mixed(bags ^ (spelled[own] + np.uint64(left))).view(np.int64))
+            owners.append(own)
+    return np.concatenate(keys), np.concatenate(owners)
+
+
+def keyed(words: DataFrame) -> DataFrame:
+    """(key, word, n): each word once for each of its signatures and halves."""
+
+    def of_batches(batches):
+        for batch in batches:
+            word, n = batch.column(0), batch.column(1)
+            texts = word.to_pylist()
+            lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+            for length in np.unique(lengths).tolist():
+                rows = np.flatnonzero(lengths == length)
+                codes = "".join(texts[i] for i in rows).encode("utf-32-le", "surrogatepass")
+                keys, owners = signatures(np.frombuffer(codes, "<u4").reshape(len(rows), length))
+                owners = pa.array(rows[owners])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(keys, pa.int64()), word.take(owners), n.take(owners)], names=["key", "word", "n"]
+                )
+
+    return words.select("word", "n").mapInArrow(of_batches, "key bigint, word string, n bigint")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): all pairs of words one edit apart, in both directions."""
-    keyed = words.select("word", "n", F.explode(signatures()).alias("key"))
-    other = keyed.withColumnsRenamed({"word": "near", "n": "near_n"})
-    met = keyed.join(other, "key").where(
-        (F.col("word") < F.col("near")) & (F.levenshtein("word", "near", 1) == 1)
+    # Both sides are the same frame, so that it is worked out and shuffled once.
+    keys = keyed(words)
+    a, b = keys.alias("a"), keys.alias("b")
+    met = a.join(b, F.col("a.key") == F.col("b.key")).where(
+        (F.col("a.word") < F.col("b.word")) & (F.levenshtein("a.word", "b.word", 1) == 1)
     )
+    met = met.select("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n"))
     # A pair may share several keys.
-    once = met.select("word", "n", "near", "near_n").distinct()
+    once = met.distinct()
     sides = F.array(
         F.struct("word", "n", "near", "near_n"),
         F.struct(F.col("near").alias("word"), F.col("near_n").alias("n"), F.col("word").alias("near"), F.col("n").alias("near_n")),
