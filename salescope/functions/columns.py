@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -62,6 +64,11 @@ def seconds_of(ts: str | Column) -> Column:
     return days * 86400 + F.hour(ts) * 3600 + F.minute(ts) * 60 + F.second(ts)
 
 
+def wall_clock(time: dt.datetime) -> Column:
+    """A wall-clock time as a value, whatever the session's time zone."""
+    return F.lit(time.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def hours_between(earlier: str | Column, later: str | Column) -> Column:
     """Hours between two times, both cut to whole seconds first."""
     return (seconds_of(later) - seconds_of(earlier)) / 3600

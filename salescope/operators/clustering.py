@@ -5,11 +5,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
 from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from salescope.functions import clock_parts
@@ -22,6 +22,7 @@ from salescope.operators.encoding import (
     scaled_columns,
     with_indexes,
 )
+from salescope.operators.silhouettes import coreset, mean_silhouettes, silhouettes_by_definition
 from salescope.sources.scratch import materialise
 
 #: Rows per partition of an iterative fit. The partitions follow from it and from the number of rows alone.
@@ -177,24 +178,54 @@ def component_checks(space: BasketSpace) -> DataFrame:
 
 
 def silhouettes(df: DataFrame, columns: tuple[str, ...], ks=TRIED_CLUSTERS, key: str | None = None) -> DataFrame:
-    """The silhouette (squared Euclidean) for each number of clusters, over points that are laid out and cached once."""
-    return _silhouettes(_Points.of(df, columns, key).scaled(), "scaled", ks)
+    """(k, silhouette): the squared-Euclidean silhouette for each number of clusters, over rows or merged points."""
+    return _as_rows(df.sparkSession, fitted_silhouettes(scaled_points(df, columns, key), columns, ks)[1])
 
 
-def _silhouettes(points: DataFrame, features: str, ks) -> DataFrame:
-    """A fit and an evaluation per number of clusters. They are independent, so a few run at a time."""
-    points = points.select(features, "weight").persist()
-    evaluator = ClusteringEvaluator(featuresCol=features, metricName="silhouette", weightCol="weight")
+def scaled_points(df: DataFrame, columns: tuple[str, ...], key: str | None = None) -> DataFrame:
+    """The scaled columns, with a weight, of every row or of the merged points; rows carry a hash of their key."""
+    if key is None:
+        points = _Points.merged(df, columns)
+        return points.layout.select(*[v.alias(c) for c, v in scaled_columns(points.deviations).items()], "weight")
+    deviations, _ = deviations_of(df, *columns)
+    scaled = [v.cast("double").alias(c) for c, v in scaled_columns(deviations).items()]
+    return df.select(F.xxhash64(key).alias("_key"), *scaled, F.lit(1.0).alias("weight"))
 
-    def score(k: int) -> tuple[int, float]:
-        return k, evaluator.evaluate(_kmeans(k, features).fit(points).transform(points))
+
+def fitted_silhouettes(points: DataFrame, columns: tuple[str, ...], ks) -> tuple[dict[int, np.ndarray], dict[int, float]]:
+    """The centres for each number of clusters, and the silhouette of all points with them.
+
+    The fits run on a coreset, which is small; they are independent, so a few run at a time. All points are scanned twice,
+    however many numbers are tried.
+    """
+    small = materialise(coreset(points, columns), "coreset")
+    vector = array_to_vector(F.array(*columns)).alias("point")
+    small = canonical_layout(small, small.count(), *columns).select(vector, "weight").persist()
+
+    def centres_of(k: int) -> np.ndarray:
+        return np.array(_kmeans(k, "point").fit(small).clusterCenters())
 
     try:
         with ThreadPool(AT_ONCE) as pool:
-            rows = pool.map(inheritable_thread_target(points.sparkSession)(score), ks)
+            centres = dict(zip(ks, pool.map(inheritable_thread_target(points.sparkSession)(centres_of), ks)))
     finally:
-        points.unpersist()
-    return points.sparkSession.createDataFrame(rows, "k int, silhouette double")
+        small.unpersist()
+    return centres, mean_silhouettes(points, columns, centres)
+
+
+def _as_rows(spark: SparkSession, scores: dict[int, float]) -> DataFrame:
+    return spark.createDataFrame(sorted(scores.items()), "k int, silhouette double")
+
+
+def silhouette_agreement(points: DataFrame, columns: tuple[str, ...], ks) -> DataFrame:
+    """(k, agrees): whether the silhouette from sums is that worked out for its centres by built-in functions."""
+    points = materialise(points, "silhouette-points")
+    centres, scores = fitted_silhouettes(points, columns, ks)
+    rows = []
+    for k, c in centres.items():
+        other = silhouettes_by_definition(points, columns, c).first()[0]
+        rows.append((k, other is not None and abs(other - scores[k]) < 1e-6 and -1 <= scores[k] <= 1))
+    return points.sparkSession.createDataFrame(rows, "k int, agrees boolean")
 
 
 def with_row_features(df: DataFrame) -> DataFrame:
@@ -209,9 +240,19 @@ def row_clusters(df: DataFrame, k: int = ROW_CLUSTERS) -> DataFrame:
     return fit_clusters(features, ROW_COLUMNS, k, key="transaction_id").assign(features)
 
 
-def row_silhouettes(df: DataFrame, ks=TRIED_CLUSTERS) -> DataFrame:
+def row_points(df: DataFrame) -> DataFrame:
+    """Every purchase as a weighted point of scaled columns."""
     features = materialise(with_row_features(df).select("transaction_id", *ROW_COLUMNS), "row-features")
-    return silhouettes(features, ROW_COLUMNS, ks, key="transaction_id")
+    return scaled_points(features, ROW_COLUMNS, "transaction_id")
+
+
+def row_silhouettes(df: DataFrame, ks=TRIED_CLUSTERS) -> DataFrame:
+    return _as_rows(df.sparkSession, fitted_silhouettes(row_points(df), ROW_COLUMNS, ks)[1])
+
+
+def time_points(df: DataFrame) -> DataFrame:
+    """The distinct purchase times as weighted points of scaled columns."""
+    return scaled_points(_with_clock(df), TIME_COLUMNS)
 
 
 def _with_clock(df: DataFrame) -> DataFrame:
@@ -272,7 +313,8 @@ def customer_clusters(space: BasketSpace, k: int = CUSTOMER_CLUSTERS) -> DataFra
 
 
 def customer_silhouettes(space: BasketSpace, ks=TRIED_CLUSTERS) -> DataFrame:
-    return _silhouettes(_customer_points(space), "point", ks)
+    points = space.scores.select(F.xxhash64("customer_id").alias("_key"), *COMPONENTS, F.lit(1.0).alias("weight"))
+    return _as_rows(points.sparkSession, fitted_silhouettes(points, COMPONENTS, ks)[1])
 
 
 def named_loadings(space: BasketSpace) -> DataFrame:
@@ -283,6 +325,28 @@ def named_loadings(space: BasketSpace) -> DataFrame:
     )
 
 
+def extremes_beyond(space: BasketSpace, rows: int = 10) -> DataFrame:
+    """``extreme_features`` with ``beyond``: how many terms of all come before each, counted for every one of them anew.
+
+    Right extremes have one less than their rank. The extremes are at most ``2 * rows`` per component, and go to the tasks.
+    """
+    ends = materialise(extreme_features(space, rows), "extremes")
+    wide = named_loadings(space)
+    counted = []
+    for r in ends.collect():
+        own = F.struct(F.lit(r["loading"]).alias("loading"), F.lit(r["feature"]).alias("feature"))
+        ahead = F.col(r["pc"]) > own["loading"] if r["side"] == "best" else F.col(r["pc"]) < own["loading"]
+        counted.append(F.struct(
+            F.lit(r["pc"]).alias("pc"), F.lit(r["side"]).alias("side"), F.lit(r["rank"]).alias("rank"),
+            F.count(F.when(ahead, 1)).alias("ahead"),
+            F.count(F.when(ahead | (F.col(r["pc"]) == own["loading"]), 1)).alias("level"),
+            F.max(F.when(F.col("feature") == own["feature"], F.col(r["pc"]))).alias("loading"), own["loading"].alias("listed"),
+        ))
+    found = wide.agg(F.array(*counted).alias("_found")).select(F.inline("_found"))
+    right = F.col("ahead").between(0, F.col("rank") - 1) & (F.col("level") >= F.col("rank")) & (F.col("loading") == F.col("listed"))
+    return found.select("pc", "side", "rank", right.alias("right"))
+
+
 def extreme_features(space: BasketSpace, rows: int = 10) -> DataFrame:
     """The ``rows`` best and the ``rows`` worst terms of each component."""
     wide = named_loadings(space)

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions import SEQUENCE_LENGTH, class_weight, hours_between, repurchase_flag
+from salescope.functions import SEQUENCE_LENGTH, class_weight, hours_between, repurchase_flag, wall_clock
 from salescope.operators.ordering import with_neighbours
 
 
@@ -42,6 +44,47 @@ def customer_profiles(df: DataFrame, horizon_hours: float = 1.0, features_until=
     return profiles.withColumn("class_weight", class_weight("futur_purchase"))
 
 
+def rolling_cuts(df: DataFrame, folds: int, horizon_hours: float) -> list[dt.datetime]:
+    """Up to ``folds`` midnights, evenly many days apart, the last one a horizon before the last purchase at least.
+
+    The first lies a step after the first purchase's day. Fewer, or none, if the purchases span too few days.
+    """
+    first, last = df.agg(F.min("timestamp"), F.max("timestamp")).first()
+    if first is None:
+        return []
+    start = first.replace(hour=0, minute=0, second=0, microsecond=0)
+    days = (last - dt.timedelta(hours=horizon_hours) - start).days
+    step = max(days // folds, 1)
+    return [start + dt.timedelta(days=step * i) for i in range(1, folds + 1) if step * i <= days]
+
+
+def rolling_profiles(df: DataFrame, cuts: list[dt.datetime], horizon_hours: float) -> DataFrame:
+    """One row per cut and customer that bought before it: the profile of the purchases before the cut, and as the label
+    whether the customer buys again at the cut or within the horizon after it.
+
+    One scan and one aggregate for all cuts: partial sums per customer hold a few numbers per cut, whatever its purchases.
+    """
+    if not cuts:
+        return customer_profiles(df.limit(0)).select(F.lit(None).cast("timestamp_ntz").alias("cut"), "*")
+    after = dt.timedelta(hours=horizon_hours)
+    aggregates = []
+    for cut in cuts:
+        before = F.col("timestamp") < wall_clock(cut)
+        soon = F.col("timestamp").between(wall_clock(cut), wall_clock(cut + after))
+        aggregates.append(F.struct(
+            wall_clock(cut).alias("cut"),
+            F.sum(F.when(before, F.col("total_amount"))).alias("total_spend"),
+            F.sum(F.when(before, F.col("quantity"))).alias("total_quantity"),
+            F.count(F.when(before, 1)).alias("nb_transaction"),
+            F.max(F.when(soon, 1).otherwise(0)).alias("futur_purchase"),
+            F.min(F.when(before, F.col("customer_type"))).alias("customer_type"),
+        ))
+    grouped = df.groupBy("customer_id").agg(F.array(*aggregates).alias("_cuts"))
+    rows = grouped.select("customer_id", F.inline("_cuts")).where(F.col("nb_transaction") > 0)
+    names = ["cut", "customer_id", *[c for c in rows.columns if c not in ("cut", "customer_id")]]
+    return rows.select(*names, class_weight("futur_purchase").alias("class_weight"))
+
+
 def class_balance(profiles: DataFrame) -> DataFrame:
     return profiles.groupBy("futur_purchase").agg(F.count(F.lit(1)).alias("n"))
 

@@ -83,6 +83,8 @@ class MinMax:
 
     def unscale(self, name: str, value: Column) -> Column:
         low, high = self.ranges[name]
+        if low is None:
+            return F.lit(None).cast("double")
         return value * ((high - low) or 1.0) + low
 
 

@@ -4,20 +4,28 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import RandomForestClassificationModel, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression, LinearRegressionModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from salescope.functions import SEQUENCE_LENGTH, prediction_error, probability_of_one
+from salescope.functions import SEQUENCE_LENGTH, hash_bucket, prediction_error, probability_of_one, wall_clock
 from salescope.operators.clustering import SEED, canonical_layout
 from salescope.operators.customers import sequence_columns
 from salescope.operators.encoding import MinMax, with_indexes
-from salescope.operators.sampling import hash_split, last_rows
+from salescope.operators.quality import area_under_roc
+from salescope.operators.recurrent import Network, fit, with_prediction
+from salescope.operators.sampling import TRAIN_TENTHS, hash_split, last_rows
 from salescope.sources.scratch import materialise
 
+#: The scaled amounts of a run, oldest first.
+SCALED_RUN = [f"scaled_amount_{i + 1}" for i in range(SEQUENCE_LENGTH)]
+
+#: Runs in a partition of the recurrent fit.
+RUNS_PER_PARTITION = 10_000
+
 # The profile columns the classifier learns from.
 PROFILE_FEATURES = ("total_spend", "total_quantity", "nb_transaction", "index_customer_type")
 
@@ -43,14 +51,13 @@ class RepurchaseForest:
         return self.scores().orderBy("customer_id").limit(rows)
 
     def quality(self) -> DataFrame:
-        """Area under the ROC curve (null if training saw class 0 only) and accuracy on the test customers."""
-        label = self.scored.withColumn("label", F.col("futur_purchase").cast("double"))
-        area = BinaryClassificationEvaluator().evaluate(label) if self.model.numClasses > 1 else None
-        accuracy = MulticlassClassificationEvaluator(metricName="accuracy").evaluate(label)
-        return label.agg(
+        """Exact area under the ROC curve (null if either class is missing) and accuracy on the test customers."""
+        area = area_under_roc(self.scores(), "predicted_probability", "futur_purchase") if self.model.numClasses > 1 else None
+        right = F.avg((F.col("prediction") == F.col("futur_purchase")).cast("double"))
+        return self.scored.agg(
             F.count(F.lit(1)).alias("customers"),
             F.lit(area).cast("double").alias("area_under_roc"),
-            F.lit(accuracy).alias("accuracy"),
+            right.alias("accuracy"),
         )
 
 
@@ -59,11 +66,37 @@ def fit_repurchase_forest(profiles: DataFrame) -> RepurchaseForest:
     features = with_indexes(materialise(profiles, "profiles"), {"customer_type": "index_customer_type"})
     vectors = VectorAssembler(inputCols=list(PROFILE_FEATURES), outputCol="features").transform(features)
     train, test = hash_split(vectors)
-    forest = RandomForestClassifier(
+    model = _forest().fit(canonical_layout(train, train.count(), "customer_id"))
+    return RepurchaseForest(model, model.transform(test))
+
+
+def backtest(profiles: DataFrame) -> DataFrame:
+    """A forest per cut of ``rolling_profiles``, fitted on that cut and judged on the next one.
+
+    By the next cut all labels of the one before are known, so that a fold uses nothing from after the time it forecasts
+    from. One row per fold: cut, customers and positives at that cut, exact area under the ROC curve, accuracy. Without
+    profiles at a cut, or at the one before, there is no fold.
+    """
+    profiles = materialise(profiles, "rolling-profiles")
+    indexed = materialise(with_indexes(profiles, {"customer_type": "index_customer_type"}), "rolling-profiles")
+    vectors = VectorAssembler(inputCols=list(PROFILE_FEATURES), outputCol="features").transform(indexed)
+    cuts = [r[0] for r in vectors.select("cut").distinct().orderBy("cut").collect()]
+    rows = []
+    for before, cut in zip(cuts, cuts[1:]):
+        known, now = (vectors.where(F.col("cut") == wall_clock(c)) for c in (before, cut))
+        model = _forest().fit(canonical_layout(known, known.count(), "customer_id"))
+        scored = RepurchaseForest(model, model.transform(now))
+        quality = scored.quality().first()
+        positives = now.where("futur_purchase = 1").count()
+        rows.append((cut, quality["customers"], positives, quality["area_under_roc"], quality["accuracy"]))
+    schema = "cut timestamp_ntz, customers bigint, positives bigint, area_under_roc double, accuracy double"
+    return profiles.sparkSession.createDataFrame(rows, schema)
+
+
+def _forest() -> RandomForestClassifier:
+    return RandomForestClassifier(
         featuresCol="features", labelCol="futur_purchase", weightCol="class_weight", seed=SEED
     )
-    model = forest.fit(canonical_layout(train, train.count(), "customer_id"))
-    return RepurchaseForest(model, model.transform(test))
 
 
 def scaled_sequences(sequences: DataFrame, ranges: MinMax) -> DataFrame:
@@ -87,10 +120,11 @@ class AmountForecast:
     model: LinearRegressionModel
     sequences: DataFrame
 
+    def _with_prediction(self, scaled: DataFrame) -> DataFrame:
+        return self.model.transform(VectorAssembler(inputCols=SCALED_RUN, outputCol="features").transform(scaled))
+
     def _predicted(self, rows: DataFrame) -> DataFrame:
-        names = [f"scaled_amount_{i + 1}" for i in range(SEQUENCE_LENGTH)]
-        vectors = VectorAssembler(inputCols=names, outputCol="features").transform(scaled_sequences(rows, self.ranges))
-        return self.model.transform(vectors).select(
+        return self._with_prediction(scaled_sequences(rows, self.ranges)).select(
             "customer_id",
             "timestamp",
             "transaction_id",
@@ -103,6 +137,10 @@ class AmountForecast:
         """The forecast for every customer with enough purchases."""
         return self._predicted(self.sequences.where(F.col("next_amount").isNull())).drop("actual_amount")
 
+    def known(self) -> DataFrame:
+        """Forecast and actual amount of all runs whose next amount is known."""
+        return self._predicted(_known(self.sequences))
+
     def latest_checks(self, rows: int = 10) -> DataFrame:
         """Forecast and actual amount of the latest runs of test customers whose next amount is known."""
         return self._predicted(last_rows(_known(hash_split(self.sequences)[1]), rows))
@@ -120,6 +158,32 @@ class AmountForecast:
         )
 
 
+def huber_slopes(forecast: AmountForecast) -> DataFrame:
+    """(rows, slope): the greatest slope of the regression's loss, by any coefficient, the intercept or the scale, at those
+    that were fitted; a right fit has none. The loss is the mean of s + s H((y - prediction) / s) with the fitted scale s."""
+    model = forecast.model
+    train = scaled_sequences(_known(hash_split(forecast.sequences)[0]), forecast.ranges)
+    error = (F.col("scaled_next_amount") - sum(
+        (F.col(c) * float(w) for c, w in zip(SCALED_RUN, model.coefficients)), F.lit(float(model.intercept))
+    )) / F.lit(float(model.scale))
+    bound = F.lit(float(model.getEpsilon()))
+    bent = F.greatest(F.least(error, bound), -bound)
+    # The slope by the scale: 1 plus the mean of H(z) - z H'(z), which is -z^2 within the bound and -bound^2 beyond it.
+    slopes = [F.abs(F.avg(2 * bent * F.col(c))) for c in SCALED_RUN]
+    slopes += [F.abs(F.avg(2 * bent)), F.abs(1 - F.avg(bent * bent))]
+    return train.agg(F.count(F.lit(1)).alias("rows"), F.greatest(*slopes).alias("slope"))
+
+
+@dataclass(frozen=True)
+class RecurrentForecast(AmountForecast):
+    """The forecast by a recurrent network; ``model`` is its shape and its weights."""
+
+    model: tuple[Network, np.ndarray]
+
+    def _with_prediction(self, scaled: DataFrame) -> DataFrame:
+        return with_prediction(scaled, SCALED_RUN, *self.model)
+
+
 def _known(sequences: DataFrame) -> DataFrame:
     return sequences.where(F.col("next_amount").isNotNull())
 
@@ -130,7 +194,22 @@ def fit_amount_forecast(sequences: DataFrame) -> AmountForecast:
     train = hash_split(sequences)[0]
     ranges = sequence_ranges(train)
     known = scaled_sequences(_known(train), ranges)
-    names = [f"scaled_amount_{i + 1}" for i in range(SEQUENCE_LENGTH)]
-    vectors = VectorAssembler(inputCols=names, outputCol="features").transform(known)
+    vectors = VectorAssembler(inputCols=SCALED_RUN, outputCol="features").transform(known)
     regression = LinearRegression(featuresCol="features", labelCol="scaled_next_amount", loss="huber")
     return AmountForecast(ranges, regression.fit(vectors.select("features", "scaled_next_amount")), sequences)
+
+
+def fit_recurrent_forecast(sequences: DataFrame, network: Network = Network()) -> RecurrentForecast:
+    """Fit a recurrent network with the Huber loss on the train customers' runs whose next amount is known.
+
+    A tenth of the customers, of the train ones, is left aside to tell when to stop. The runs are laid out and written
+    once; each pass of the fit reads them.
+    """
+    sequences = materialise(sequences, "sequences")
+    train = hash_split(sequences)[0]
+    ranges = sequence_ranges(train)
+    aside = (hash_bucket("customer_id") == TRAIN_TENTHS - 1).alias("aside")
+    known = scaled_sequences(_known(train), ranges).select(*SCALED_RUN, "scaled_next_amount", aside)
+    parts = known.count() // RUNS_PER_PARTITION + 1
+    laid = materialise(known.repartition(parts), "runs")
+    return RecurrentForecast(ranges, (network, fit(laid, network, parts)), sequences)

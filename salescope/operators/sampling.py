@@ -10,6 +10,10 @@ from salescope.operators.ordering import with_position
 from salescope.schema import PURCHASE_ORDER
 
 
+#: Tenths of the hash buckets that train.
+TRAIN_TENTHS = 8
+
+
 def every_nth(df: DataFrame, n: int, *order: str | Column) -> DataFrame:
     """Rows 0, n, 2n, ... of the order (by default, of the purchases in time)."""
     positioned = with_position(df, *(order or PURCHASE_ORDER), name="_position")
@@ -21,7 +25,7 @@ def last_rows(df: DataFrame, rows: int) -> DataFrame:
     return df.orderBy(*[F.desc(c) for c in PURCHASE_ORDER]).limit(rows)
 
 
-def hash_split(df: DataFrame, key: str = "customer_id", train_tenths: int = 8) -> tuple[DataFrame, DataFrame]:
+def hash_split(df: DataFrame, key: str = "customer_id", train_tenths: int = TRAIN_TENTHS) -> tuple[DataFrame, DataFrame]:
     """Train and test rows, decided by the hash of the key alone."""
     in_train = hash_bucket(key) < train_tenths
     return df.where(in_train), df.where(~in_train)

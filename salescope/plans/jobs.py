@@ -89,6 +89,7 @@ def clustering_reports(df: DataFrame, output: str) -> None:
     write_parquet(clustering.named_loadings(space), f"{output}/loadings")
     write_csv(clustering.extreme_features(space), f"{output}/extreme_features")
     write_csv(clustering.explained_variance(space), f"{output}/explained_variance")
+    write_csv(clustering.row_silhouettes(df), f"{output}/row_silhouettes")
     write_csv(clustering.time_silhouettes(df), f"{output}/time_silhouettes")
     write_csv(clustering.customer_silhouettes(space), f"{output}/customer_silhouettes")
 

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from salescope.operators.clustering import ROW_COLUMNS
 from salescope.operators.spending import QUANTITY_REPORTS
-from salescope.plans.registry import HORIZON, REPORT_CATEGORY
+from salescope.plans.registry import FOLD_HOURS, FOLDS, HORIZON, REPORT_CATEGORY
 
 _CUSTOMERS = """
 customers AS (
@@ -63,6 +63,24 @@ _EV = f"""WITH {_CUSTOMERS}, ev AS (
     SELECT * FROM following WHERE nth >= 5
 )"""
 
+_ROLLING = f"""{_EV}, days AS (
+    SELECT date_trunc('day', min("timestamp")) AS start,
+           CAST(floor(epoch(max("timestamp") - INTERVAL {FOLD_HOURS} HOUR - date_trunc('day', min("timestamp"))) / 86400) AS BIGINT) AS days
+    FROM ev
+), cuts AS (
+    SELECT i, start + to_days(CAST(greatest(days // {FOLDS}, 1) * i AS INTEGER)) AS cut
+    FROM days, range(1, {FOLDS} + 1) AS t(i) WHERE greatest(days // {FOLDS}, 1) * i <= days
+), rolling AS (
+    SELECT i, cut, customer_id,
+           sum(total_amount) FILTER ("timestamp" < cut) AS total_spend,
+           CAST(sum(quantity) FILTER ("timestamp" < cut) AS BIGINT) AS total_quantity,
+           count(*) FILTER ("timestamp" < cut) AS nb_transaction,
+           CAST(max(CASE WHEN "timestamp" >= cut AND "timestamp" <= cut + INTERVAL {FOLD_HOURS} HOUR THEN 1 ELSE 0 END) AS INTEGER)
+               AS futur_purchase,
+           min(customer_type) FILTER ("timestamp" < cut) AS customer_type
+    FROM ev, cuts GROUP BY ALL HAVING nb_transaction > 0
+)"""
+
 _IN_TRAIN = "CAST('0x' || substr(md5(CAST(customer_id AS VARCHAR)), 1, 8) AS BIGINT) % 10 < 8"
 _AMOUNTS = "amount_1, amount_2, amount_3, amount_4, amount_5"
 _SEQUENCE = f'customer_id, "timestamp", transaction_id, {_AMOUNTS}'
@@ -221,6 +239,9 @@ SELECT count(DISTINCT customer_id) AS rows, CAST(0 AS BIGINT) AS misplaced, 4 AS
 SELECT pc, count(*) AS features, CAST(1 AS DOUBLE) AS length, CAST(0 AS DOUBLE) AS overlap, CAST(0 AS DOUBLE) AS residual
 FROM vocabulary, (VALUES ('PC1'), ('PC2'), ('PC3')) AS pcs(pc) GROUP BY pc""",
     "time_silhouette_checks": "SELECT CAST(k AS INTEGER) AS k, TRUE AS in_range FROM range(3, 20) AS t(k)",
+    "silhouette_checks": """
+SELECT form, CAST(k AS INTEGER) AS k, TRUE AS agrees
+FROM (VALUES ('row', 3), ('row', 5), ('row', 12), ('time', 2), ('time', 8), ('time', 19)) AS t(form, k)""",
     "repurchase_checks": f"""{_EV}
 SELECT customer_id, futur_purchase, TRUE AS consistent FROM profiles WHERE NOT ({_IN_TRAIN})""",
     "forecast_checks": f"""{_EV}
@@ -230,4 +251,32 @@ SELECT CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS split, count(*) AS
 FROM sequences WHERE next_amount IS NOT NULL GROUP BY 1""",
     "next_amount_checks": f"""{_EV}
 SELECT customer_id, transaction_id, TRUE AS finite FROM sequences WHERE next_amount IS NULL""",
+    "backtest_inputs": f"""{_ROLLING}
+SELECT cut, customer_id, round(total_spend, 2) AS total_spend, total_quantity, nb_transaction, futur_purchase, customer_type,
+       CASE WHEN futur_purchase = 1 THEN CAST(1.0 AS DOUBLE) ELSE CAST(2.0 AS DOUBLE) END AS class_weight
+FROM rolling""",
+    "backtest_checks": f"""{_ROLLING}
+SELECT cut, count(*) AS customers, count(*) FILTER (futur_purchase = 1) AS positives, TRUE AS known
+FROM rolling WHERE cut > (SELECT min(cut) FROM rolling) GROUP BY cut""",
+    "unscaled_amounts": f"""{_EV}
+SELECT transaction_id, round(next_amount, 6) AS next_amount FROM sequences WHERE next_amount IS NOT NULL""",
+    "forecast_fit_checks": f"""{_EV}
+SELECT count(*) AS rows, TRUE AS flat FROM sequences WHERE next_amount IS NOT NULL AND {_IN_TRAIN}""",
+    "recurrent_checks": f"""{_EV}
+SELECT count(*) AS rows, TRUE AS as_good_as_a_constant FROM sequences WHERE next_amount IS NOT NULL AND {_IN_TRAIN}""",
+    "loading_checks": f"""{_TX}{_BASKETS}
+SELECT feature_id, kind || ': ' || term AS feature, TRUE AS within FROM vocabulary""",
+    "extreme_checks": f"""{_TX}{_BASKETS}
+SELECT pc, side, CAST(rank AS INTEGER) AS rank, TRUE AS "right"
+FROM (VALUES ('PC1'), ('PC2'), ('PC3')) AS pcs(pc), (VALUES ('best'), ('worst')) AS sides(side), range(1, 11) AS ranks(rank)
+WHERE rank <= (SELECT count(*) FROM vocabulary)""",
+    "first_score_checks": f"""{_EV}
+SELECT customer_id, futur_purchase FROM profiles WHERE NOT ({_IN_TRAIN}) ORDER BY customer_id LIMIT 100""",
+    "area_checks": f"""{_EV}, test AS (
+    SELECT round(total_spend, 0) AS score, futur_purchase FROM profiles WHERE NOT ({_IN_TRAIN})
+), pairs AS (
+    SELECT avg(CASE WHEN a.score > b.score THEN 1.0 WHEN a.score = b.score THEN 0.5 ELSE 0.0 END) AS area
+    FROM test AS a JOIN test AS b ON a.futur_purchase = 1 AND b.futur_purchase = 0
+)
+SELECT (SELECT count(*) FROM test) AS customers, round(CAST(area AS DOUBLE), 9) AS area FROM pairs""",
 }

@@ -18,6 +18,7 @@ from salescope.operators import (
     encoding,
     exploration,
     prediction,
+    quality,
     sampling,
     spending,
 )
@@ -36,6 +37,9 @@ from salescope.sources import (
 #: Hours within which a purchase counts as a quick repurchase. With 1 hour every customer of the events is one.
 HORIZON = 0.1
 
+#: Folds of the backtest, and hours after a cut within which a purchase counts.
+FOLDS, FOLD_HOURS = 4, 12
+
 #: The main category of the month-by-product report.
 REPORT_CATEGORY = "ECONOMY"
 
@@ -319,7 +323,34 @@ def latest_forecasts(spark, folder):
 
 
 def forecast_quality(spark, folder):
-    return prediction.fit_amount_forecast(_sequences(spark, folder)).quality()
+    sequences = _sequences(spark, folder)
+    linear = prediction.fit_amount_forecast(sequences).quality().withColumn("model", F.lit("linear"))
+    recurrent = prediction.fit_recurrent_forecast(sequences).quality().withColumn("model", F.lit("recurrent"))
+    return linear.unionByName(recurrent)
+
+
+def recurrent_forecast(spark, folder):
+    forecast = prediction.fit_recurrent_forecast(_sequences(spark, folder))
+    return _with_amounts(forecast.next_amounts(), "predicted_amount")
+
+
+def _rolling(spark, folder):
+    rows = ev(spark, folder)
+    return customers.rolling_profiles(rows, customers.rolling_cuts(rows, FOLDS, FOLD_HOURS), FOLD_HOURS)
+
+
+def backtest_inputs(spark, folder):
+    return _rounded(_rolling(spark, folder), total_spend=2)
+
+
+def backtest(spark, folder):
+    return prediction.backtest(_rolling(spark, folder))
+
+
+def backtest_checks(spark, folder):
+    folds = backtest(spark, folder)
+    known = F.col("accuracy").between(0, 1) & (F.col("area_under_roc").isNull() | F.col("area_under_roc").between(0, 1))
+    return folds.select("cut", "customers", "positives", known.alias("known"))
 
 
 def csv_round_trip(spark, folder):
@@ -370,6 +401,12 @@ def time_silhouette_checks(spark, folder):
     return time_silhouette_by_k(spark, folder).select("k", F.col("silhouette").between(-1, 1).alias("in_range"))
 
 
+def silhouette_checks(spark, folder):
+    rows = clustering.silhouette_agreement(clustering.row_points(tx(spark, folder)), clustering.ROW_COLUMNS, (3, 5, 12))
+    times = clustering.silhouette_agreement(clustering.time_points(ev(spark, folder)), clustering.TIME_COLUMNS, (2, 8, 19))
+    return rows.withColumn("form", F.lit("row")).unionByName(times.withColumn("form", F.lit("time")))
+
+
 def repurchase_checks(spark, folder):
     predicted = (F.col("predicted_probability") > 0.5).cast("double")
     consistent = (
@@ -385,15 +422,64 @@ def _finite(column: str) -> Column:
 
 
 def forecast_checks(spark, folder):
-    quality = forecast_quality(spark, folder).withColumn("finite", _finite("forecast_error"))
+    # The linear one alone, of which the slopes of the loss are checked as well.
+    forecast = prediction.fit_amount_forecast(_sequences(spark, folder))
+    quality = forecast.quality().withColumn("finite", _finite("forecast_error"))
     return _rounded(quality.drop("forecast_error"), run_mean_error=6)
 
 
+def forecast_fit_checks(spark, folder):
+    slopes = prediction.huber_slopes(prediction.fit_amount_forecast(_sequences(spark, folder)))
+    return slopes.select("rows", (F.col("slope") < 1e-3).alias("flat"))
+
+
 def next_amount_checks(spark, folder):
     rows = next_amount_forecast(spark, folder)
     return rows.select("customer_id", "transaction_id", _finite("predicted_amount").alias("finite"))
 
 
+def recurrent_checks(spark, folder):
+    """Of the runs whose next amount is known: how many there are, and that the network is no worse than a constant."""
+    forecast = prediction.fit_recurrent_forecast(_sequences(spark, folder))
+    error = F.abs(F.col("predicted_amount") - F.col("actual_amount"))
+    train = sampling.hash_split(forecast.known())[0]
+    middle = train.agg(F.avg("actual_amount")).first()[0]
+    constant = F.avg(F.abs(F.lit(middle) - F.col("actual_amount")))
+    return train.agg(F.count(F.lit(1)).alias("rows"), (F.avg(error) < 1.02 * constant).alias("as_good_as_a_constant"))
+
+
+def unscaled_amounts(spark, folder):
+    """Next amounts scaled and scaled back."""
+    rows = _sequences(spark, folder).where(F.col("next_amount").isNotNull())
+    ranges = prediction.sequence_ranges(rows)
+    scaled = prediction.scaled_sequences(rows, ranges)
+    back = ranges.unscale("next_amount", F.col("scaled_next_amount")).alias("next_amount")
+    return _rounded(scaled.select("transaction_id", back), next_amount=6)
+
+
+def loading_checks(spark, folder):
+    """Each term by its name, and whether its loadings are numbers within [-1, 1]."""
+    rows = clustering.named_loadings(clustering.basket_space(tx(spark, folder)))
+    within = [F.coalesce(F.col(c).between(-1, 1), F.lit(False)) for c in clustering.COMPONENTS]
+    return rows.select("feature_id", "feature", (within[0] & within[1] & within[2]).alias("within"))
+
+
+def extreme_checks(spark, folder):
+    return clustering.extremes_beyond(clustering.basket_space(tx(spark, folder)))
+
+
+def first_score_checks(spark, folder):
+    return first_repurchase_scores(spark, folder).select("customer_id", "futur_purchase")
+
+
+def area_checks(spark, folder):
+    """The area under the ROC curve of a score that SQL knows: the spend of the test customers."""
+    test = sampling.hash_split(_profiles(spark, folder))[1]
+    rows = materialise(test.select(F.round("total_spend", 0).alias("score"), "futur_purchase"), "scores")
+    area = quality.area_under_roc(rows, "score", "futur_purchase")
+    return rows.agg(F.count(F.lit(1)).alias("customers"), F.round(F.lit(area).cast("double"), 9).alias("area"))
+
+
 QUERIES = {
     "top_spenders": top_spenders,
     **{name: _quantity_report(*groups) for name, groups in spending.QUANTITY_REPORTS.items()},
@@ -451,6 +537,10 @@ QUERIES = {
     "next_amount_forecast": next_amount_forecast,
     "latest_forecasts": latest_forecasts,
     "forecast_quality": forecast_quality,
+    "recurrent_forecast": recurrent_forecast,
+    "backtest_inputs": backtest_inputs,
+    "backtest": backtest,
+    "unscaled_amounts": unscaled_amounts,
     "csv_round_trip": csv_round_trip,
     "ranked_spenders": ranked_spenders,
     "parsed_timestamps": parsed_timestamps,
@@ -461,7 +551,15 @@ QUERIES = {
     "customer_cluster_checks": customer_cluster_checks,
     "pca_checks": pca_checks,
     "time_silhouette_checks": time_silhouette_checks,
+    "silhouette_checks": silhouette_checks,
     "repurchase_checks": repurchase_checks,
     "forecast_checks": forecast_checks,
     "next_amount_checks": next_amount_checks,
+    "forecast_fit_checks": forecast_fit_checks,
+    "recurrent_checks": recurrent_checks,
+    "backtest_checks": backtest_checks,
+    "loading_checks": loading_checks,
+    "extreme_checks": extreme_checks,
+    "first_score_checks": first_score_checks,
+    "area_checks": area_checks,
 }

@@ -151,6 +151,53 @@ def test_wide_vocabulary_without_broadcast(spark, monkeypatch):
     assert loadings.count() == vocabulary.count()
 
 
+def test_products_shuffle_blocks_and_never_entries(space):
+    """Entries are read where they lie: the only exchange is of partial blocks, above the multiplication."""
+    ids = np.array(sorted(r.feature_id for r in space.vocabulary.collect()))
+    baskets = components.PackedBaskets.of(space.entries, ids)
+    assert baskets.customers == space.scores.count()
+    block = np.random.default_rng(1).normal(size=(len(ids), 5))
+    partial = baskets.partial_products(block, np.zeros(len(ids)))
+    text = partial.repartition(2, "chunk")._jdf.queryExecution().executedPlan().toString()
+    assert text.index("Exchange") < text.index("MapInArrow") < text.index("Scan parquet") and text.count("Exchange") == 1
+    assert partial.count() <= 2 * baskets.parts * (len(ids) // components.CHUNK_FEATURES + 1)
+
+
+def test_packed_product_equals_numpy_for_any_parts(spark, monkeypatch):
+    rng = np.random.default_rng(5)
+    matrix = (rng.random((90, 40)) < 0.2).astype(float)
+    matrix[:, 0] = 1
+    entries, _ = _entries(spark, [np.flatnonzero(r).tolist() for r in matrix])
+    block, means = rng.normal(size=(40, 3)), matrix.mean(axis=0)
+    want = np.cov(matrix.T) @ block
+    for part, packed, chunk, at_once in ((10**6, 10**6, 4096, 64), (7, 5, 16, 2), (60, 30, 40, 3)):
+        for name, value in (("PART_ENTRIES", part), ("PART_SHARE", 0), ("PACKED_ENTRIES", packed),
+                            ("CHUNK_FEATURES", chunk), ("PARTS_AT_ONCE", at_once)):
+            monkeypatch.setattr(components, name, value)
+        got = components.PackedBaskets.of(entries, np.arange(40)).times(block, means)
+        assert np.abs(got - want).max() < 1e-9
+
+
+def test_restarts_of_the_krylov_space(space, monkeypatch):
+    """A bound of four blocks: the space is rebuilt from its best vectors again and again, to the same end."""
+    monkeypatch.setattr(components, "EXTRA", 3)
+    monkeypatch.setattr(components, "DRIVER_BYTES", 8 * 6 * 8 * space.vocabulary.count())
+    again, share = components.principal_components(space.entries, space.vocabulary, 3)
+    assert share == pytest.approx(space.explained_variance, abs=1e-9)
+    a, b = ({r.feature_id: tuple(r)[1:] for r in frame.collect()} for frame in (again, space.loadings))
+    assert all(np.abs(np.subtract(a[f], b[f])).max() < 1e-4 for f in b)
+
+
+def test_large_vocabularies_stay_in_tables(space, monkeypatch):
+    monkeypatch.setattr(components, "DRIVER_BYTES", 0)
+    seen, original = [], components._of_tables
+    monkeypatch.setattr(components, "_of_tables", lambda *a: seen.append(1) or original(*a))
+    small = space.vocabulary.where("feature_id < 60")
+    entries = space.entries.where("feature_id < 60")
+    loadings, share = components.principal_components(entries, small, 2)
+    assert seen and loadings.count() == small.count() and share[0] > share[1] > 0
+
+
 def test_extreme_features(space):
     wide = clustering.named_loadings(space).collect()
     got = clustering.extreme_features(space).collect()

@@ -4,9 +4,10 @@ import datetime as dt
 import random
 
 import pytest
+from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import functions as F
 
-from salescope.operators import customers, prediction, sampling
+from salescope.operators import customers, prediction, quality, sampling
 from salescope.operators.encoding import MinMax
 from salescope.plans.registry import ev
 
@@ -105,3 +106,83 @@ def test_forecast_follows_a_simple_rule(spark):
 def test_no_model_beats_a_constant_on_independent_amounts(spark, sf):
     forecast = prediction.fit_amount_forecast(customers.amount_sequences(ev(spark, sf)))
     assert max(abs(c) for c in forecast.model.coefficients) < 0.2
+
+
+@pytest.mark.parametrize("parts", [1, 5])
+def test_area_equals_the_share_of_pairs(spark, parts):
+    rng = random.Random(9)
+    rows = [(round(rng.gauss(label, 1), 1), label) for label in [0] * 130 + [1] * 70] + [(None, 1), (0.5, None)]
+    frame = spark.createDataFrame(rows, "score double, label int").repartition(parts)
+    ones, zeros = ([s for s, l in rows if l == label and s is not None] for label in (1, 0))
+    want = sum((a > b) + 0.5 * (a == b) for a in ones for b in zeros) / (len(ones) * len(zeros))
+    assert quality.area_under_roc(frame, "score", "label") == pytest.approx(want, abs=1e-12)
+    binned = BinaryClassificationEvaluator(rawPredictionCol="score").evaluate(frame.where("label is not null and score is not null"))
+    assert want == pytest.approx(binned, abs=1e-3)
+    assert quality.area_under_roc(frame.where("label = 1"), "score", "label") is None
+    assert quality.area_under_roc(frame.limit(0), "score", "label") is None
+
+
+def _purchases(spark, rows):
+    schema = "customer_id long, timestamp timestamp_ntz, transaction_id string, quantity int, total_amount double, customer_type string"
+    return spark.createDataFrame([(c, t, f"T{i}", 1, 10.0, "B2B") for i, (c, t) in enumerate(rows)], schema)
+
+
+def test_cuts_are_midnights_with_a_horizon_ahead(spark):
+    start = dt.datetime(2024, 3, 1, 15, 30)
+    rows = _purchases(spark, [(1, start + dt.timedelta(hours=7 * i)) for i in range(60)])
+    cuts = customers.rolling_cuts(rows, 3, 24)
+    assert cuts == [dt.datetime(2024, 3, 1) + dt.timedelta(days=5 * i) for i in (1, 2, 3)]
+    last = start + dt.timedelta(hours=7 * 59)
+    assert all(c + dt.timedelta(hours=24) <= last for c in cuts)
+    assert customers.rolling_cuts(rows.limit(1), 3, 24) == customers.rolling_cuts(rows.limit(0), 3, 24) == []
+    assert customers.rolling_profiles(rows, [], 24).count() == 0
+
+
+def test_no_feature_sees_its_labels_time_and_no_label_the_features(spark):
+    rng = random.Random(2)
+    start, cut = dt.datetime(2024, 3, 1), dt.datetime(2024, 3, 8)
+    rows = [(c, start + dt.timedelta(minutes=rng.randrange(20_000))) for c in range(30) for _ in range(9)]
+    rows += [(1, cut), (2, cut + dt.timedelta(hours=24)), (3, cut + dt.timedelta(hours=24, seconds=1))]
+    features = ["customer_id", "total_spend", "total_quantity", "nb_transaction", "customer_type"]
+
+    def profiles(kept):
+        return {r.customer_id: r for r in customers.rolling_profiles(_purchases(spark, kept), [cut], 24).collect()}
+
+    whole, earlier = profiles(rows), profiles([r for r in rows if r[1] < cut])
+    assert [[whole[c][f] for f in features] for c in sorted(whole)] == [[earlier[c][f] for f in features] for c in sorted(earlier)]
+    assert {r.futur_purchase for r in earlier.values()} == {0}
+    for c, r in whole.items():
+        times = [t for i, t in rows if i == c]
+        assert r.nb_transaction == sum(t < cut for t in times)
+        assert r.futur_purchase == int(any(cut <= t <= cut + dt.timedelta(hours=24) for t in times))
+
+
+def test_backtest_folds(spark):
+    """Customers who bought much buy again: later folds must tell them apart."""
+    rng = random.Random(4)
+    start, rows = dt.datetime(2024, 3, 1), []
+    for c in range(200):
+        busy = c % 2
+        rows += [(c, start + dt.timedelta(days=rng.uniform(0, 20))) for _ in range(60 if busy else 3)]
+    df = _purchases(spark, rows)
+    cuts = customers.rolling_cuts(df, 3, 24)
+    folds = prediction.backtest(customers.rolling_profiles(df, cuts, 24)).collect()
+    assert [r.cut for r in folds] == cuts[1:]
+    assert all(r.area_under_roc > 0.9 and r.customers >= 150 and 0 < r.positives < r.customers for r in folds)
+    assert prediction.backtest(customers.rolling_profiles(df, cuts[:1], 24)).count() == 0
+
+
+def test_slopes_of_the_fitted_loss_are_flat_and_others_are_not(spark, sf):
+    forecast = prediction.fit_amount_forecast(customers.amount_sequences(ev(spark, sf)))
+    assert prediction.huber_slopes(forecast).first().slope < 1e-3
+
+    class Other:
+        coefficients, intercept, scale, getEpsilon = [0.1] * 5, 0.3, 0.2, forecast.model.getEpsilon
+
+    other = prediction.AmountForecast(forecast.ranges, Other, forecast.sequences)
+    assert prediction.huber_slopes(other).first().slope > 0.05
+
+
+def test_scaling_back_of_nothing(spark):
+    empty = MinMax({"a": (None, None)})
+    assert spark.range(1).select(empty.unscale("a", F.lit(1.0))).first()[0] is None
