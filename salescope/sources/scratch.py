@@ -41,4 +41,15 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
         df.write.parquet(path)
     finally:
         spark.conf.set(_CLEAN_UP, before)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Delete a table of ``materialise`` that nothing will read again."""
+    path = getattr(table, "scratch_path", None)
+    if path:
+        context = table.sparkSession.sparkContext
+        place = context._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
