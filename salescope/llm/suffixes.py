@@ -11,13 +11,14 @@ suffixes travel as runs of windows (fragments) instead of one by one.
 1. For each block of documents, the distinct first digits go to cells, which tell each block those that stand in a
    second text. Whole copies of a text count as one text.
 2. Blocks send the fragments with these digits, once for all documents of the block. Equal fragments are one to begin with.
-3. Cells sort the windows of their fragments by the further digits, eight bytes at a time, and report for each fragment
-   the least document of each window. A digit with very many fragments is not sorted in one task: its windows are grouped
-   by a shuffle of their own.
+3. Fragments go once, with the places they come from, to cells in proportion to the windows found. Equal ones collapse
+   there, windows are sorted by the further digits, eight bytes at a time, and each place is told the least document of
+   each of its windows. A digit with very many windows is not sorted in one task: they are grouped by a shuffle of their own.
+   A long run of one digit, such as a repeated pattern, is cut into fragments of ``MOST_WINDOWS`` windows.
 4. What starts in a document with a smaller id than one's own is removed.
 
 Contract: a null text is empty; texts are read whole as UTF-8 bytes, one at a time, and matches never cross documents; a
-text shorter than a window keeps all its bytes; a row without an id neither removes nor loses anything; rows that share an
+text shorter than a window keeps all its bytes; ids are whole numbers; a row without an id neither removes nor loses anything; rows that share an
 id do not remove from each other; repeated rows each get their result; extra columns stay; an empty table gives no rows.
 """
 
@@ -31,14 +32,14 @@ from pyspark.sql import functions as F
 
 from salescope.llm.common import ship
 from salescope.llm.minhash import mixed
-from salescope.sources.scratch import materialise
+from salescope.sources.scratch import discard, materialise
 
 ship(__name__)
 
 # Bytes of a repeated window, and of the grams whose least hash is the first digit.
 WINDOW, GRAM = 50, 16
-# Bytes of text in a block, and fragments of a digit that one task sorts.
-BLOCK_BYTES, HOT_FRAGMENTS = 8_000_000, 200_000
+# Bytes of text in a block, windows of a fragment and, about, of a cell, and windows of a digit that one task sorts.
+BLOCK_BYTES, MOST_WINDOWS, CELL_WINDOWS, HOT_WINDOWS = 8_000_000, 4096, 1_000_000, 2_000_000
 # Bits of a digit that go to its cell's members; further bits name the cell.
 _LOW_BITS = 32
 
@@ -70,8 +71,8 @@ def text_bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def least_documents(pieces: list[bytes], digits: np.ndarray, documents: np.ndarray) -> list[np.ndarray]:
-    """For each window of each piece, the least document of a piece that has it too.
+def least_documents(pieces: list[bytes], digits: np.ndarray, documents: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each window of each piece, one after the other, the least document of a piece that has it too; and its piece.
 
     The radix sort: windows start in groups by ``digits``; each pass splits the groups by eight more bytes, and windows
     whose group has one document only drop out.
@@ -110,7 +111,7 @@ def least_documents(pieces: list[bytes], digits: np.ndarray, documents: np.ndarr
         alive, group = alive[stay], number[stay]
         if not len(alive):
             break
-    return np.split(least, ends[:-1])
+    return least, owner
 
 
 def _sizes(docs: DataFrame) -> tuple[int, int]:
@@ -178,7 +179,7 @@ def _shared_digits(docs: DataFrame, cells: int) -> DataFrame:
 
 
 def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int) -> DataFrame:
-    """(key, digit, bytes, doc_ids, text_keys, starts) of the distinct fragments of each block whose digit is shared.
+    """(digit, bytes, doc_ids, text_keys, starts) of the distinct fragments of each block whose digit is shared.
 
     ``copies``: (block, row keys) of the documents that repeat a text as a whole; they are left out.
     """
@@ -186,7 +187,7 @@ def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int
     told = shared.select("block", "cell", "digits", F.lit(None).cast("array<bigint>").alias("copies")).union(
         copies.select("block", F.lit(-1).cast("bigint"), F.lit(None).cast("binary"), "copies")
     )
-    schema = "key binary, digit bigint, bytes binary, doc_ids array<bigint>, text_keys array<bigint>, starts array<int>"
+    schema = "digit bigint, bytes binary, doc_ids array<bigint>, text_keys array<bigint>, starts array<int>"
 
     def of_block(texts: pa.Table, told: pa.Table) -> pa.Table:
         known, gone = [np.zeros(0, np.uint64)], set()
@@ -210,14 +211,14 @@ def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int
             at = np.minimum(np.searchsorted(known, names), len(known) - 1)
             raw = data.tobytes()
             for i in np.flatnonzero(known[at] == names) if len(names) else ():
-                piece = raw[starts[i]:ends[i] + WINDOW - 1]
-                entry = found.setdefault(piece, (int(digits[i].view(np.int64)), [], [], []))
-                entry[1].append(doc)
-                entry[2].append(key)
-                entry[3].append(int(starts[i]))
+                for start in range(starts[i], ends[i], MOST_WINDOWS):
+                    piece = raw[start:min(start + MOST_WINDOWS, ends[i]) + WINDOW - 1]
+                    entry = found.setdefault(piece, (int(digits[i].view(np.int64)), [], [], []))
+                    entry[1].append(doc)
+                    entry[2].append(key)
+                    entry[3].append(start)
         pieces = list(found)
         return pa.table({
-            "key": pa.array([xxhash.xxh3_128_digest(p) for p in pieces], pa.binary()),
             "digit": pa.array([found[p][0] for p in pieces], pa.int64()),
             "bytes": pa.array(pieces, pa.binary()),
             "doc_ids": pa.array([found[p][1] for p in pieces], pa.list_(pa.int64())),
@@ -228,67 +229,82 @@ def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int
     return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(of_block, schema)
 
 
-def _least(fragments: DataFrame, cells: int, hot_fragments: int) -> DataFrame:
-    """(key, counts, least): of each fragment the least documents of its windows, as runs; where one may lose bytes."""
-    distinct = materialise(fragments.groupBy("key").agg(
-        F.first("digit").alias("digit"), F.first("bytes").alias("bytes"),
-        F.min(F.array_min("doc_ids")).alias("low"), F.max(F.array_max("doc_ids")).alias("high"),
-    ), "fragments-distinct")
-    # One row for each ``hot_fragments`` fragments at most: small enough to broadcast, and mostly empty.
-    hot = F.broadcast(distinct.groupBy("digit").count().where(F.col("count") > hot_fragments).select("digit"))
-    schema = "key binary, counts array<bigint>, least array<bigint>"
+def _least(fragments: DataFrame, hot_windows: int) -> DataFrame:
+    """(doc_ids, text_keys, starts, counts, least): the places of each fragment, and the least documents of its windows as
+    runs; of the fragments where a place may lose bytes."""
+    windows_of = F.octet_length("bytes") - WINDOW + 1
+    total = fragments.agg(F.sum(windows_of)).first()[0] or 0
+    cells = total // CELL_WINDOWS + 1
+    # One row for each ``hot_windows`` windows at most: small enough to broadcast, and mostly empty.
+    hot = fragments.groupBy("digit").agg(F.sum(windows_of).alias("n")).where(F.col("n") > hot_windows).select("digit")
+    hot = F.broadcast(hot)
+    places = ["doc_ids", "text_keys", "starts"]
+    schema = "doc_ids array<bigint>, text_keys array<bigint>, starts array<int>, counts array<bigint>, least array<bigint>"
 
     def of_cell(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        low, high = table.column("low").to_numpy(), table.column("high").to_numpy()
-        found = least_documents(table.column("bytes").to_pylist(), table.column("digit").to_numpy(), low)
-        keys, counts, least = [], [], []
-        for key, own, last, windows in zip(table.column("key").to_pylist(), low, high, found):
-            if last > own or (windows < own).any():
-                starts, ends = runs_of(windows)
-                keys.append(key)
-                counts.append(ends - starts)
-                least.append(windows[starts])
+        ids = table.column("doc_ids").combine_chunks()
+        offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
+        # Fragments that several blocks have are one piece.
+        number, piece_of = {}, []
+        for piece in table.column("bytes").to_pylist():
+            piece_of.append(number.setdefault(piece, len(number)))
+        piece_of = np.array(piece_of)
+        low, high = np.full(len(number), np.iinfo(np.int64).max), np.full(len(number), np.iinfo(np.int64).min)
+        np.minimum.at(low, piece_of, np.minimum.reduceat(values, offsets[:-1]))
+        np.maximum.at(high, piece_of, np.maximum.reduceat(values, offsets[:-1]))
+        digits = np.zeros(len(number), np.int64)
+        digits[piece_of] = table.column("digit").to_numpy()
+        windows, owner = least_documents(list(number), digits, low)
+        edges = np.concatenate([[True], (windows[1:] != windows[:-1]) | (owner[1:] != owner[:-1])])
+        first = np.flatnonzero(edges)
+        counts, least, piece = np.diff(np.append(first, len(windows))), windows[first], owner[first]
+        ends = np.concatenate([[0], np.cumsum(np.bincount(piece, minlength=len(number)))])
+        loses = np.bincount(piece, least < high[piece], minlength=len(number)) > 0
+        chosen = pa.array(np.flatnonzero(loses[piece_of]))
+        lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (counts, least)]
+        pieces = pa.array(piece_of[loses[piece_of]])
         return pa.table({
-            "key": pa.array(keys, pa.binary()), "counts": pa.array(counts, pa.list_(pa.int64())),
-            "least": pa.array(least, pa.list_(pa.int64())),
+            **{n: table.column(n).take(chosen) for n in places}, "counts": lists[0].take(pieces), "least": lists[1].take(pieces),
         })
 
-    cold = distinct.join(hot, "digit", "left_anti").withColumn("_cell", F.pmod("digit", F.lit(cells)))
-    sorted_ones = cold.groupBy("_cell").applyInArrow(of_cell, schema)
-    windows = distinct.join(hot, "digit", "left_semi").select(
-        "key", "low", F.posexplode(F.transform(
-            F.sequence(F.lit(1), F.octet_length("bytes") - WINDOW + 1),
-            lambda i: F.substring("bytes", i, F.lit(WINDOW)),
+    cold = fragments.join(hot, "digit", "left_anti").withColumn("_cell", F.pmod(F.xxhash64("digit"), F.lit(cells)))
+    sorted_ones = cold.drop("id").groupBy("_cell").applyInArrow(of_cell, schema)
+    frequent = fragments.join(hot, "digit", "left_semi")
+    windows = frequent.select(
+        "id", F.array_min("doc_ids").alias("low"), F.posexplode(F.transform(
+            F.sequence(F.lit(1), windows_of), lambda i: F.substring("bytes", i, F.lit(WINDOW)),
         )).alias("at", "window"),
     )
     least = windows.groupBy("window").agg(F.min("low").alias("least"))
-    grouped = windows.join(least, "window").groupBy("key").agg(
+    grouped = windows.join(least, "window").groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("at", "least"))).alias("all")
     )
-    return sorted_ones.union(grouped.select(
-        "key", F.transform("all", lambda x: F.lit(1).cast("bigint")), F.transform("all", lambda x: x["least"])
+    return sorted_ones.union(frequent.join(grouped, "id").select(
+        *places, F.transform("all", lambda x: F.lit(1).cast("bigint")), F.transform("all", lambda x: x["least"])
     ))
 
 
-def repeated_spans(docs: DataFrame, hot_fragments: int = HOT_FRAGMENTS) -> DataFrame:
+def repeated_spans(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """(doc_id, text_key, spans) of the documents that lose bytes; ``spans`` are (start, end) in bytes, in any order."""
     usable = docs.where("doc_id is not null and text is not null").select(
         F.col("doc_id").cast("bigint"), F.xxhash64("text").alias("text_key"), "text"
     )
     usable = usable.where(F.octet_length("text") >= WINDOW)
     blocks, cells = _sizes(usable)
-    block = F.pmod(F.xxhash64("doc_id"), F.lit(blocks))
+    row_key = F.xxhash64("doc_id", "text_key")
+    # By text as well: rows that share an id are not all one block's.
+    block = F.pmod(row_key, F.lit(blocks))
     thin = usable.select("doc_id", "text_key", F.md5("text").alias("_md5"), F.octet_length("text").alias("size"))
     thin = materialise(thin.distinct(), "suffix-texts")
     least = thin.groupBy("_md5").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
     copied = thin.join(least.where("_first < _last"), "_md5").where("doc_id > _first")
-    row_key = F.xxhash64("doc_id", "text_key")
     placed = usable.withColumn("block", block).withColumn("row_key", row_key)
     shared = materialise(_shared_digits(placed, cells), "suffix-digits")
     copies = copied.groupBy(block.alias("block")).agg(F.collect_set(row_key).alias("copies"))
-    fragments = materialise(_fragments(placed, shared, copies, cells), "fragments")
-    least = _least(fragments, cells, hot_fragments)
+    fragments = _fragments(placed, shared, copies, cells).withColumn("id", F.monotonically_increasing_id())
+    fragments = materialise(fragments, "fragments")
+    discard(shared)
 
     def flat(lists):
         return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
@@ -315,15 +331,17 @@ def repeated_spans(docs: DataFrame, hot_fragments: int = HOT_FRAGMENTS) -> DataF
                 names=["doc_id", "text_key", "start", "end"],
             )
 
-    lost = fragments.select("key", "doc_ids", "text_keys", "starts").join(least, "key").drop("key")
-    lost = lost.mapInArrow(spans_of, "doc_id bigint, text_key bigint, start bigint, end bigint")
+    lost = _least(fragments, hot_windows).mapInArrow(spans_of, "doc_id bigint, text_key bigint, start bigint, end bigint")
     whole = copied.select("doc_id", "text_key", F.lit(0).cast("bigint"), F.col("size").cast("bigint"))
-    return lost.union(whole).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = lost.union(whole).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+    spans = materialise(spans, "repeats")
+    discard(fragments)
+    return spans
 
 
-def remove_repeats(docs: DataFrame, hot_fragments: int = HOT_FRAGMENTS) -> DataFrame:
+def remove_repeats(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame:
     """``docs`` with n_bytes, n_removed, n_spans, kept_bytes: what is left of each text (not always valid UTF-8)."""
-    spans = materialise(repeated_spans(docs, hot_fragments), "repeats").withColumnsRenamed(
+    spans = repeated_spans(docs, hot_windows).withColumnsRenamed(
         {"doc_id": "_doc", "text_key": "_key", "spans": "_spans"}
     )
     keyed = docs.drop("n_bytes", "n_removed", "n_spans", "kept_bytes").withColumn("_own", F.xxhash64("text"))

@@ -331,7 +331,7 @@ def test_op10_query(spark, sf):
     assert got == plain.repeats([(r.doc_id, r.text) for r in _documents(spark, sf).collect()])
 
 
-@pytest.mark.parametrize("hot", [suffixes.HOT_FRAGMENTS, 2])
+@pytest.mark.parametrize("hot", [suffixes.HOT_WINDOWS, 2])
 def test_repeats_of_built_texts(spark, hot):
     rng = np.random.default_rng(6)
     passages = ["".join(rng.choice(list("abcdefé "), 80)) for _ in range(4)]
@@ -341,7 +341,7 @@ def test_repeats_of_built_texts(spark, hot):
         noise = ["".join(rng.choice(list("ghijkl"), rng.integers(0, 30))) for _ in range(4)]
         rows.append((i, "".join(a + b for a, b in zip(noise, [*picked, ""] * 4))))
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
-    assert _cut(docs, hot_fragments=hot) == plain.repeats(rows)
+    assert _cut(docs, hot_windows=hot) == plain.repeats(rows)
 
 
 def test_repeats_of_odd_documents(spark):
@@ -354,6 +354,25 @@ def test_repeats_of_odd_documents(spark):
     assert suffixes.remove_repeats(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("pattern", ["=", "abcdefg"])
+def test_long_run_of_a_pattern_in_small_pieces(spark, pattern):
+    """30 MB of one pattern: its windows travel in pieces that collapse, and no task holds them all."""
+    n = 30_000_000 // len(pattern)
+    docs = spark.createDataFrame([(1, pattern * 60), (2, pattern * n), (3, "own text " + pattern * 9)], "doc_id long, text string")
+    got = {r.doc_id: (r.n_bytes, r.n_removed) for r in suffixes.remove_repeats(docs).select("doc_id", "n_bytes", "n_removed").collect()}
+    assert got[1][1] == 0 and got[2] == (len(pattern) * n,) * 2
+    assert got[3][1] == (0 if pattern == "=" else 63)
+
+
+def test_small_pieces_and_cells_lose_nothing(spark, sf, monkeypatch):
+    monkeypatch.setattr(suffixes, "MOST_WINDOWS", 7)
+    monkeypatch.setattr(suffixes, "CELL_WINDOWS", 900)
+    monkeypatch.setattr(suffixes, "BLOCK_BYTES", 40_000)
+    rows = [(r.doc_id, r.text) for r in _documents(spark, sf).collect()]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _cut(docs) == plain.repeats(rows)
+
+
 def test_rows_that_share_an_id_lose_bytes_by_their_own_text(spark):
     a, b = "".join(f"{i}, " for i in range(40)), "".join(f"{i}; " for i in range(40))
     docs = spark.createDataFrame([(1, a), (2, b), (3, a), (3, b + a[:60] + b), (3, "own " * 20)], "doc_id long, text string")
