@@ -8,18 +8,23 @@ from pyspark.sql import functions as F
 from salescope.operators import cleaning, clustering, customers, exploration, prediction, sampling, spending
 from salescope.schema import CORRUPT_COLUMN
 from salescope.sources import (
+    read_by_month,
     read_parquet,
     read_transactions,
     rejected_rows,
-    save_profiles,
+    save_indexed_profiles,
     top_saved_profiles,
     write_by_category,
+    write_by_month,
     write_csv,
     write_parquet,
     write_ranked_csv,
 )
 
 
+#: Folds of the repurchase backtest.
+FOLDS = 4
+
 # The main category of the month-by-product report, if none is given.
 REPORT_CATEGORY = "Books"
 
@@ -27,15 +32,15 @@ REPORT_CATEGORY = "Books"
 def prepare(spark: SparkSession, source: str, output: str) -> DataFrame:
     """Copy the raw rows, set rejected rows aside, and write the clean, enriched table that all reports read.
 
-    Removing copies compares all columns. As a written Parquet table the result is computed once, and each report scans
-    only the columns it uses.
+    Removing copies compares all columns. As a written Parquet table, with a folder per year and month, the result is
+    computed once, and each report scans only the columns it uses, and of a range of time only its months.
     """
     rows = read_transactions(spark, source, keep_rejected=True)
     write_csv(rejected_rows(rows), f"{output}/rejected")
     rows = rows.drop(CORRUPT_COLUMN)
     write_csv(rows, f"{output}/raw")
-    write_parquet(cleaning.enrich(cleaning.clean(rows)), f"{output}/transactions")
-    return read_parquet(spark, f"{output}/transactions")
+    write_by_month(cleaning.enrich(cleaning.clean(rows)), f"{output}/transactions")
+    return read_by_month(spark, f"{output}/transactions")
 
 
 def spending_reports(df: DataFrame, output: str) -> None:
@@ -96,7 +101,7 @@ def clustering_reports(df: DataFrame, output: str) -> None:
 
 def prediction_reports(df: DataFrame, output: str, horizon_hours: float = 1.0) -> None:
     spark = df.sparkSession
-    save_profiles(customers.customer_profiles(df, horizon_hours), f"{output}/profiles")
+    save_indexed_profiles(customers.customer_profiles(df, horizon_hours), f"{output}/profiles")
     profiles = read_parquet(spark, f"{output}/profiles")
     write_csv(top_saved_profiles(spark, f"{output}/profiles"), f"{output}/top_profiles")
     write_csv(customers.class_balance(profiles), f"{output}/class_balance")
@@ -108,6 +113,11 @@ def prediction_reports(df: DataFrame, output: str, horizon_hours: float = 1.0) -
     write_parquet(forecast.next_amounts(), f"{output}/next_amounts")
     write_parquet(forecast.latest_checks(), f"{output}/latest_forecasts")
     write_csv(forecast.quality(), f"{output}/forecast_quality")
+    recurrent = prediction.fit_recurrent_forecast(customers.amount_sequences(df))
+    write_parquet(recurrent.next_amounts(), f"{output}/recurrent_next_amounts")
+    write_csv(recurrent.quality(), f"{output}/recurrent_forecast_quality")
+    cuts = customers.rolling_cuts(df, FOLDS, horizon_hours)
+    write_csv(prediction.backtest(customers.rolling_profiles(df, cuts, horizon_hours)), f"{output}/repurchase_backtest")
 
 
 def run(spark: SparkSession, source: str, output: str, horizon_hours: float = 1.0, category: str = REPORT_CATEGORY) -> None:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from salescope.operators.clustering import ROW_COLUMNS
 from salescope.operators.spending import QUANTITY_REPORTS
-from salescope.plans.registry import FOLD_HOURS, FOLDS, HORIZON, REPORT_CATEGORY
+from salescope.plans.registry import FOLD_HOURS, FOLDS, HORIZON, RANGE, REPORT_CATEGORY
 
 _CUSTOMERS = """
 customers AS (
@@ -279,4 +279,19 @@ SELECT customer_id, futur_purchase FROM profiles WHERE NOT ({_IN_TRAIN}) ORDER B
     FROM test AS a JOIN test AS b ON a.futur_purchase = 1 AND b.futur_purchase = 0
 )
 SELECT (SELECT count(*) FROM test) AS customers, round(CAST(area AS DOUBLE), 9) AS area FROM pairs""",
+    "incremental_spenders": f"""{_TX}
+SELECT customer_id, customer_name, customer_type, round(sum(total_amount), 2) AS total_spent FROM tx
+GROUP BY customer_id, customer_name, customer_type ORDER BY sum(total_amount) DESC, customer_id LIMIT 20""",
+    "spenders_in_range": f"""{_TX}
+SELECT customer_id, customer_name, customer_type, round(sum(total_amount), 2) AS total_spent FROM tx
+WHERE CAST("timestamp" AS DATE) BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'
+GROUP BY customer_id, customer_name, customer_type ORDER BY sum(total_amount) DESC, customer_id LIMIT 20""",
+    "sketched_median_checks": f"""{_TX}
+SELECT customer_type, count(*) AS purchases, count(*) AS rows, TRUE AS within FROM tx
+WHERE CAST("timestamp" AS DATE) BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}' GROUP BY customer_type""",
+    "clean_in_range": f"""{_TX}
+SELECT * FROM enriched WHERE "timestamp" >= TIMESTAMP '1996-03-05' AND "timestamp" < TIMESTAMP '1996-07-01'""",
+    "profile_lookup": f"""{_EV}
+SELECT {_PROFILE} FROM profiles WHERE customer_id IN (3, 14, 15, 92, 141)""",
 }
+ORACLE["incremental_quantities"] = ORACLE["quantity_reports"]

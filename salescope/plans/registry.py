@@ -7,14 +7,17 @@ a table that has both.
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.functions import clock_parts, date_parts, file_label, parse_timestamp
+from salescope.functions import clock_parts, date_parts, file_label, parse_timestamp, wall_clock
 from salescope.operators import (
     cleaning,
     clustering,
     customers,
+    daily,
     encoding,
     exploration,
     prediction,
@@ -25,11 +28,15 @@ from salescope.operators import (
 from salescope.sources import (
     events_as_transactions,
     lineitems_as_transactions,
+    lookup_profiles,
     materialise,
+    read_by_month,
     read_transactions,
+    save_indexed_profiles,
     save_profiles,
     scratch_path,
     top_saved_profiles,
+    write_by_month,
     write_csv,
     write_ranked_csv,
 )
@@ -353,6 +360,71 @@ def backtest_checks(spark, folder):
     return folds.select("cut", "customers", "positives", known.alias("known"))
 
 
+def _loaded(spark, folder, load) -> str:
+    """A state that three loads filled: the second repeats months of the first, the third brings the second's last year again."""
+    rows = materialise(_enriched(spark, folder), "enriched")
+    path = scratch_path(spark, "state")
+    for first, before in ((None, 1998), (1997, 2000), (1999, None)):
+        part = rows
+        if first:
+            part = part.where(F.col("timestamp") >= wall_clock(dt.datetime(first, 1, 1)))
+        if before:
+            part = part.where(F.col("timestamp") < wall_clock(dt.datetime(before, 1, 1)))
+        load(part, path)
+    return path
+
+
+def incremental_spenders(spark, folder):
+    state = daily.read_state(spark, _loaded(spark, folder, daily.load_sums))
+    return _rounded(spending.top_spenders(state), total_spent=2)
+
+
+def incremental_quantities(spark, folder):
+    state = daily.read_state(spark, _loaded(spark, folder, daily.load_sums))
+    return _rounded(spending.quantity_reports(state), mean_quantity=6)
+
+
+#: The days of the reports over a range.
+RANGE = (dt.date(1996, 3, 5), dt.date(1998, 7, 20))
+
+
+def spenders_in_range(spark, folder):
+    state = daily.read_state(spark, _loaded(spark, folder, daily.load_sums))
+    return _rounded(spending.top_spenders(daily.between(state, *RANGE)), total_spent=2)
+
+
+def _sketched(spark, folder):
+    state = daily.read_state(spark, _loaded(spark, folder, daily.load_sketches))
+    return daily.sketched_quantile(daily.between(state, *RANGE), 0.5, "median_amount", "customer_type")
+
+
+def sketched_medians(spark, folder):
+    return _sketched(spark, folder)
+
+
+def sketched_median_checks(spark, folder):
+    """Per customer type the purchases of the range, and whether the sketched median's exact rank is within twice its bound."""
+    medians = materialise(_sketched(spark, folder), "medians")
+    rows = tx(spark, folder).where(F.to_date("timestamp").between(*[F.lit(d) for d in RANGE]))
+    within = daily.rank_is_within(F.col("median_amount"), F.col("total_amount"), 0.5, 2 * daily.RANK_ERROR)
+    joined = rows.join(F.broadcast(medians), "customer_type").groupBy("customer_type", "purchases")
+    return joined.agg(F.count(F.lit(1)).alias("rows"), within.alias("within")).select(
+        "customer_type", "purchases", "rows", "within"
+    )
+
+
+def clean_in_range(spark, folder):
+    path = scratch_path(spark, "by-month")
+    write_by_month(_enriched(spark, folder), path)
+    return read_by_month(spark, path, dt.datetime(1996, 3, 5), dt.datetime(1996, 7, 1))
+
+
+def profile_lookup(spark, folder):
+    path = scratch_path(spark, "profiles")
+    save_indexed_profiles(_profiles(spark, folder), path)
+    return _rounded(lookup_profiles(spark, path, [3, 14, 15, 92, 141, 10**12]), total_spend=2)
+
+
 def csv_round_trip(spark, folder):
     path = scratch_path(spark, "csv")
     write_csv(tx(spark, folder), path)
@@ -541,6 +613,13 @@ QUERIES = {
     "backtest_inputs": backtest_inputs,
     "backtest": backtest,
     "unscaled_amounts": unscaled_amounts,
+    "incremental_spenders": incremental_spenders,
+    "incremental_quantities": incremental_quantities,
+    "spenders_in_range": spenders_in_range,
+    "sketched_medians": sketched_medians,
+    "sketched_median_checks": sketched_median_checks,
+    "clean_in_range": clean_in_range,
+    "profile_lookup": profile_lookup,
     "csv_round_trip": csv_round_trip,
     "ranked_spenders": ranked_spenders,
     "parsed_timestamps": parsed_timestamps,

@@ -46,10 +46,21 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return table
 
 
+def _file_system(spark: SparkSession, path: str):
+    context = spark.sparkContext
+    place = context._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(context._jsc.hadoopConfiguration()), place
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is something at ``path``, in whatever store it lies."""
+    files, place = _file_system(spark, path)
+    return files.exists(place)
+
+
 def discard(table: DataFrame) -> None:
     """Delete a table of ``materialise`` that nothing will read again."""
     path = getattr(table, "scratch_path", None)
     if path:
-        context = table.sparkSession.sparkContext
-        place = context._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
+        files, place = _file_system(table.sparkSession, path)
+        files.delete(place, True)
