@@ -5,6 +5,11 @@ by where it stands (inside a menu, footer, form, advert and the like it is out),
 density of stop words. Blocks too short for that are left open. The second pass settles them: an open block takes the
 label of the nearest decided blocks before and after it; where these differ, it is kept only beside text and unlinked.
 
+A form may be a part of the page or wrap all of it: like other wrappers it is out unless it holds most of the text. The header
+of an article is the article's own, that of the page is not. The end of the page's head need not be marked. Embedded
+elements that are never closed hide nothing; scripts, styles and the like do, to the end of the page. Every tag is read in a
+bounded number of steps, however broken the page: a tag that the next ``<`` interrupts is text.
+
 Contract: a null or empty page has an empty text; pages are read whole; markup that is broken is text, or ends with the
 page; character references are decoded, white space inside a block is one blank, blocks are joined by one blank; repeated
 rows each get their result; extra columns stay out of the way; an empty table gives no rows.
@@ -24,8 +29,10 @@ from salescope.llm.common import ship
 ship(__name__)
 
 # Elements whose content is no text, elements apart from the article, and those that end a block.
-NO_TEXT = frozenset("script style noscript template textarea iframe svg math canvas object audio video head title".split())
-APART = frozenset("nav header footer aside form menu select button dialog".split())
+NO_TEXT = frozenset("script style noscript template textarea iframe svg math canvas object audio video title".split())
+APART = frozenset("nav header footer aside menu select button dialog".split())
+# Of the elements without text, those whose text runs to the end of the page if they are not closed.
+RAW_TEXT = frozenset("script style textarea title".split())
 BLOCK_TAGS = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre section summary table tbody td "
@@ -60,8 +67,8 @@ SHORT, LONG = 70, 200
 MOST_LINKED, STOP_HIGH, STOP_LOW = 0.4, 0.15, 0.03
 
 _TAG = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>",
+    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^<>]*>"
+    r"|<(/?)([a-zA-Z][^\s/<>]*)((?:[^<>\"']|\"[^\"]*\"|'[^']*')*+)>",
     re.DOTALL,
 )
 _MARKS = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
@@ -89,12 +96,14 @@ def _is_apart(name: str, attributes: str) -> int:
     """Whether an element stands apart from the article, by its name or by its marks: 2 surely, 1 perhaps, 0 not."""
     if name in APART:
         return 2
+    least = int(name == "form")
     if not attributes or name in ("html", "body", "main"):
-        return 0
+        return least
     if _HIDDEN.search(attributes):
         return 2
     words = (w for found in _MARKS.findall(attributes) for w in "".join(found).lower().split())
     most = max(map(_marked_apart, words), default=0)
+    most = max(most, least)
     # An article is never apart by a part of a class.
     return 0 if name == "article" and most < 2 else most
 
@@ -113,8 +122,10 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool, int]]:
 
     The wrapper is the number of the outermost open element that is perhaps apart, or 0.
     """
-    done, stack, at, block = [], [], 0, _Block(False, False, False, 0)
-    wrappers = []
+    done, at, block = [], 0, _Block(False, False, False, 0)
+    # The names of the open elements, and the places among them of each name, of block-level tags, and of those apart.
+    names, places, levels, marks = [], {}, [], []
+    wrappers, unclosed = [], set()
     apart = articles = links = 0
 
     def add(raw: str) -> None:
@@ -132,15 +143,21 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool, int]]:
         block = _Block(heading, articles > 0, apart > 0, wrappers[0] if wrappers else 0)
 
     def close(index: int) -> None:
-        """Close the element at ``index`` of the stack, and all it holds."""
+        """Close the element at ``index`` of the open ones, and all it holds."""
         nonlocal apart, articles, links
-        for name, is_apart in stack[index:]:
-            apart -= is_apart == 2
-            if is_apart == 1:
+        while marks and marks[-1][0] >= index:
+            if marks.pop()[1] == 2:
+                apart -= 1
+            else:
                 wrappers.pop()
+        while levels and levels[-1] >= index:
+            levels.pop()
+        for name in reversed(names[index:]):
+            if name:
+                places[name].pop()
             articles -= name in ("article", "main")
             links -= name == "a"
-        del stack[index:]
+        del names[index:]
 
     while match := _TAG.search(page, at):
         add(page[at:match.start()])
@@ -152,38 +169,54 @@ def blocks_of(page: str) -> list[tuple[str, float, bool, bool, bool, int]]:
             continue
         name = name.lower()
         if closing:
-            index = next((i for i in range(len(stack) - 1, -1, -1) if stack[i][0] == name), None)
+            index = places[name][-1] if places.get(name) else None
             if name in BLOCK_TAGS:
                 if index is not None:
                     close(index)
                 cut()
-            elif index is not None and not any(n in BLOCK_TAGS for n, _ in stack[index:]):
+            elif index is not None and not (levels and levels[-1] >= index):
                 close(index)
             elif index is not None and name == "a":
                 # A link across blocks: only the link ends.
                 links -= 1
-                stack[index] = ("", stack[index][1])
+                names[index] = ""
+                places[name].pop()
             continue
         if name in NO_TEXT:
-            if not attributes.rstrip().endswith("/"):
+            if not attributes.rstrip().endswith("/") and name not in unclosed:
                 end = re.compile(rf"</{re.escape(name)}\s*>", re.IGNORECASE).search(page, at)
-                at = end.end() if end else len(page)
-            if name == "head" or name == "title":
+                if end:
+                    at = end.end()
+                elif name in RAW_TEXT:
+                    at = len(page)
+                else:
+                    unclosed.add(name)
+            if name == "title":
                 cut()
             continue
+        if name == "head":
+            cut()
+            continue
         if name == "br":
             add(" ")
             continue
         is_apart = _is_apart(name, attributes)
-        if name in ("article", "main") and not is_apart and (apart or wrappers) and not any(n in ("article", "main") for n, _ in stack):
+        if name == "header" and articles:
+            is_apart = 0
+        if name in ("article", "main") and not is_apart and (apart or wrappers) and not articles:
             # An article does not begin inside a menu: what stood apart was never closed.
-            stack[:] = [(n, 0) for n, _ in stack]
             apart = 0
+            marks.clear()
             wrappers.clear()
-        if name in ("p", "li") and stack and stack[-1][0] == name:
-            close(len(stack) - 1)
+        if name in ("p", "li") and names and names[-1] == name:
+            close(len(names) - 1)
         if name not in VOID and not attributes.rstrip().endswith("/"):
-            stack.append((name, is_apart))
+            places.setdefault(name, []).append(len(names))
+            if name in BLOCK_TAGS:
+                levels.append(len(names))
+            if is_apart:
+                marks.append((len(names), is_apart))
+            names.append(name)
             apart += is_apart == 2
             if is_apart == 1:
                 wrappers.append(at)
