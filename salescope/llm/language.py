@@ -39,27 +39,48 @@ _LETTER = re.compile(r"[^\W\d_]")
 _NOT_LETTERS = re.compile(r"[\W\d_]+")
 
 
-def subwords(text: str) -> np.ndarray:
-    """The buckets of all runs of 1 to 3 characters, blanks at both ends included."""
-    codes = np.frombuffer(f" {_NOT_LETTERS.sub(' ', text.lower()).strip()} ".encode("utf-32-le", "surrogatepass"), "<u4")
+def runs_of(codes: np.ndarray, new: int) -> np.ndarray:
+    """The buckets of the runs of 1 to 3 code points that end in the last ``new`` places."""
+    old = len(codes) - new
     one = codes * np.uint32(0x9E3779B1)
     two = (one[:-1] ^ (one[:-1] >> np.uint32(15))) * np.uint32(0x85EBCA6B) + codes[1:] * np.uint32(0xC2B2AE35)
     three = (two[:-1] ^ (two[:-1] >> np.uint32(13))) * np.uint32(0x27D4EB2F) + codes[2:] * np.uint32(0x165667B1)
-    runs = np.concatenate([one, two, three])
+    runs = np.concatenate([one[old:], two[max(old - 1, 0):], three[max(old - 2, 0):]])
     return (runs ^ (runs >> np.uint32(16))) & np.uint32(BUCKETS - 1)
 
 
 def blocks(text: str):
-    """Parts of a text that bound what is in memory at a time; they overlap by what a run needs."""
-    for start in range(0, max(len(text), 1), BLOCK):
-        yield text[start:start + BLOCK]
+    """The buckets of all runs of 1 to 3 characters of a text, blanks at both its ends included, a part of it at a time.
+
+    Parts are cut where there is no letter, and each begins with the last two characters of the one before: what is in memory
+    at a time is bounded, but for a single word, and the runs are those of the whole text.
+    """
+    before, at = np.array([ord(" ")], "<u4"), 0
+    first = True
+    while at < len(text):
+        end = min(at + BLOCK, len(text))
+        while end < len(text) and not _NOT_LETTERS.match(text, end, end + 1):
+            end += 1
+        words = _NOT_LETTERS.sub(" ", text[at:end].lower()).strip()
+        at = end
+        if words:
+            new = np.frombuffer(f"{words} ".encode("utf-32-le", "surrogatepass"), "<u4")
+            codes = np.concatenate([before, new])
+            yield runs_of(codes, len(codes) if first else len(new))
+            before, first = codes[-2:], False
+    if first:
+        yield runs_of(np.array([ord(" ")] * 2, "<u4"), 2)
+
+
+def subwords(text: str) -> np.ndarray:
+    """``blocks`` of a whole text."""
+    return np.concatenate(list(blocks(text)))
 
 
 def class_scores(text: str, table: np.ndarray) -> np.ndarray:
     """The mean class scores of all runs of a text."""
     total, n = np.zeros(table.shape[1]), 0
-    for block in blocks(text):
-        ids = subwords(block)
+    for ids in blocks(text):
         counts = np.bincount(ids, minlength=BUCKETS) if len(ids) > BUCKETS else None
         total += counts @ table if counts is not None else table[ids].sum(axis=0)
         n += len(ids)
@@ -95,7 +116,7 @@ def examples(docs: DataFrame, most: int = MOST_DOCS) -> list:
                     pieces.append(text[start:start + length])
                 for piece in pieces:
                     if _LETTER.search(piece):
-                        counts = sum(np.bincount(subwords(b), minlength=BUCKETS) for b in blocks(piece))
+                        counts = sum(np.bincount(ids, minlength=BUCKETS) for ids in blocks(piece))
                         seen = np.flatnonzero(counts)
                         langs.append(lang)
                         orders.append(at)
