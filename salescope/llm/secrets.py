@@ -168,19 +168,37 @@ def _spans(rule: Rule, order: int) -> Column:
         tested,
         lambda s, t: F.struct(s["gap"].alias("gap"), s["length"].alias("length"), F.length(t).alias("tested")),
     )
-    span = "struct<start:int,order:int,end:int,kind:string>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
-
-    def step(done: Column, s: Column) -> Column:
-        begin = done["at"] + s["gap"]
-        end = begin + s["length"]
-        here = F.array(F.struct(
-            begin.alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")
-        ))
-        kept = F.when(s["tested"] >= rule.least, here).otherwise(F.array().cast(f"array<{span}>"))
-        return F.struct(end.alias("at"), F.concat(done["spans"], kept).alias("spans"))
-
-    return F.aggregate(steps, start, step, lambda done: done["spans"])
+    def placed(steps: Column) -> Column:
+        ends = _running(F.transform(steps, lambda s: s["gap"] + s["length"]))
+        spans = F.zip_with(steps, ends, lambda s, end: F.when(s["tested"] >= rule.least, F.struct(
+            (end - s["length"]).alias("start"), F.lit(order).alias("order"), end.alias("end"), F.lit(rule.kind).alias("kind")
+        )))
+        return F.array_compact(spans)
+
+    return _with(steps, placed)
+
+
+def _with(value: Column, body) -> Column:
+    """``body(value)``, with the value worked out once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _running(numbers: Column) -> Column:
+    """The sums of all numbers up to each one: as many passes as the number of them has bits, each adding what stands twice
+    as far ahead as the pass before. No array grows element by element."""
+
+    def summed(numbers: Column) -> Column:
+        n = F.size(numbers)
+
+        def add(sums: Column, k: Column) -> Column:
+            by = F.pow(F.lit(2), k).cast("int")
+            ahead = F.concat(F.array_repeat(F.lit(0), by), F.slice(sums, F.lit(1), n - by))
+            return F.zip_with(sums, ahead, lambda a, b: a + b)
+
+        passes = F.sequence(F.lit(0), F.ceil(F.log2(n)).cast("int") - 1)
+        return F.when(n > 1, F.aggregate(passes, numbers, add)).otherwise(numbers)
+
+    return _with(numbers, summed)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:

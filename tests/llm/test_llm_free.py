@@ -1,5 +1,6 @@
 """Near duplicates, mixing, language, licences, pages, repeats, the pipeline: against plain Python."""
 
+import time
 import zlib
 
 import numpy as np
@@ -206,12 +207,15 @@ def test_language_of_odd_documents(spark):
 
 def test_long_texts_are_read_whole():
     table = np.random.default_rng(0).normal(size=(language.BUCKETS, 2))
-    text = "abc déf " * 40_000
+    text = "abc déf, 12 Xy!! " * 4_000
     whole = language.subwords(text)
+    cleaned = " " + " ".join(["abc déf xy"] * 4_000) + " "
+    assert len(whole) == 3 * len(cleaned) - 3
     monkey = language.BLOCK
     try:
-        language.BLOCK = 1000
-        assert np.allclose(language.class_scores(text, table), table[whole].mean(axis=0), atol=0.05)
+        for language.BLOCK in (1, 7, 1000):
+            assert sorted(np.concatenate(list(language.blocks(text)))) == sorted(whole)
+            assert np.allclose(language.class_scores(text, table), table[whole].mean(axis=0), atol=1e-9)
     finally:
         language.BLOCK = monkey
 
@@ -311,6 +315,42 @@ def test_pages_with_marks_that_only_tell_the_layout(page, want):
     assert html.main_text(page) == want
 
 
+@pytest.mark.parametrize("page, want", [
+    (f"<html><head><title>T</title><meta x=y><body><p>{LONG}</p>", LONG.strip()),
+    (f"<head><title>T</title><style>p</style><p>{LONG}</p><p>{LONG}</p>", f"{LONG * 2}".strip()),
+    (f"<article><p>{LONG}<svg><path d=x><p>{LONG}</p><video src=x><p>{LONG}</p><object><canvas><p>{LONG}</p></article>", f"{LONG * 4}".strip()),
+    (f"<article><p>{LONG}</p><svg><text>no</text></svg><video>no</video><p>{LONG}</p></article>", f"{LONG * 2}".strip()),
+    (f"<body><form method=post><nav>{LONG}</nav><p>{LONG}</p><p>{LONG}</p><footer>{LONG}</footer></form>", f"{LONG * 2}".strip()),
+    (f"<p>{LONG * 2}</p><form><p>{LONG}</p><input name=x></form>", f"{LONG * 2}".strip()),
+    (f"<form class=search><p>{LONG * 2}</p></form><p>{LONG}</p>", LONG.strip()),
+    (f"<header><p>{LONG}</p></header><article><header><h1>Title</h1></header><p>{LONG}</p></article>", f"Title {LONG}".strip()),
+    (f"<article><p>{LONG} 1 <2 and 3> 2 <b>bold</b></p></article>", f"{LONG} 1 <2 and 3> 2 bold".replace("  ", " ")),
+])
+def test_pages_with_missing_ends_forms_and_own_headers(page, want):
+    assert html.main_text(page) == want
+
+
+@pytest.mark.parametrize("unit", ["<a ", "</b>", "<b></i>", "<svg>", "<!", "<div><i></b>", "<nav><article></article>", "<a '", "<p><b>", "<form>x"])
+def test_broken_pages_take_seconds(unit):
+    begin = time.time()
+    html.main_text(unit * (1_000_000 // len(unit)))
+    assert time.time() - begin < 20
+
+
+def test_pages_without_article_tags_keep_most_of_their_text(spark):
+    import re
+
+    folder = "/root/testdata/sf0.01"
+    pages = spark.read.parquet(f"{folder}/pages.parquet").limit(120)
+    whole = {r.page_id: r.text for r in html.extract(pages).collect()}
+    bare = pages.withColumn("html", F.regexp_replace("html", "</?article>", ""))
+    found, wanted, got = 0, 0, 0
+    for r in html.extract(bare).collect():
+        want, have = set(whole[r.page_id].split()), set(r.text.split())
+        found, wanted, got = found + len(want & have), wanted + len(want), got + len(have)
+    assert found / wanted > 0.9 and found / max(got, 1) > 0.9, (found / wanted, found / max(got, 1))
+
+
 def test_pages_with_nulls_and_clashing_columns(spark):
     pages = spark.createDataFrame([(1, None, None, "t", 5), (None, "u", f"<p>{LONG}</p>", "t", 5), (1, None, None, "t", 5)],
                                   "page_id long, url string, html string, text string, n_chars int")

@@ -1,6 +1,7 @@
 """Secrets, decontamination, sharding, quality: against DuckDB and plain Python, odd rows included."""
 
 import hashlib
+import time
 import zlib
 from collections import Counter
 
@@ -49,6 +50,18 @@ def test_odd_documents_as_sql(spark, tmp_path):
     assert compare(QUERIES["op4_decontamination"](spark, folder), con, ORACLE["op4_decontamination"]) == ""
 
 
+def test_many_spans_of_one_text(spark):
+    """A text with 60,000 secrets, each found at its place, in seconds."""
+    n, unit = 60_000, "é token=abcdefgh1 "
+    docs = spark.createDataFrame([(1, unit * n), (2, "x")], "doc_id long, text string")
+    base = tuple(r for r in secrets.RULES if r.kind == "assign")
+    begin = time.time()
+    row = secrets.scan(docs, base).where("doc_id = 1").select(
+        F.size("spans").alias("n"), F.aggregate("spans", F.lit(0), lambda a, s: a + F.when(
+            (s["start"] % len(unit) == 2) & (s["end"] - s["start"] == 15), 1).otherwise(0)).alias("right")).first()
+    assert (row.n, row.right) == (n, n) and time.time() - begin < 60
+
+
 def test_empty_tables(spark, tmp_path):
     folder, con = _as_tables(spark, tmp_path, plain.odd_documents(spark).limit(0))
     spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
