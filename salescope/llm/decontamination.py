@@ -25,22 +25,24 @@ SET_WINDOWS = 50_000
 
 
 def benchmark_windows(benchmark: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Rows (hash, length, words, item_ids) of the distinct windows; items of fewer words are a window as a whole."""
+    """Rows (number, check, hash, length, words, item_id), one per window and item; items of fewer words are a window as a
+    whole. ``number`` and ``check`` name the window. Written once: the windows and their items are read apart."""
     items = benchmark.select("item_id", item_words(text_of()).alias("words")).where(F.size("words") > 0)
     length = F.least(F.size("words"), F.lit(window))
     found = items.select(
-        "item_id",
+        F.col("item_id").cast("string").alias("item_id"),
         length.alias("length"),
         F.explode(F.transform(
             F.sequence(F.lit(1), F.size("words") - length + 1),
             lambda i: F.array_join(F.slice("words", i, length), " "),
         )).alias("words"),
-    )
-    distinct = found.groupBy("length", "words").agg(F.collect_set(F.col("item_id").cast("string")).alias("item_ids"))
+    ).distinct()
     runs = {f"_of{n}": n for n in range(1, window + 1)}
-    hashed = with_run_hashes(distinct.withColumn("_words", F.split("words", " ")), "_words", runs)
+    hashed = with_run_hashes(found.withColumn("_words", F.split("words", " ")), "_words", runs)
     own = F.coalesce(*[F.when(F.col("length") == n, F.element_at(name, 1)) for name, n in runs.items()])
-    return hashed.select("length", "words", "item_ids", own.alias("hash"))
+    number, check = (F.xxhash64("words", F.lit(seed)) for seed in (71, 72))
+    rows = hashed.select(number.alias("number"), check.alias("check"), own.alias("hash"), "length", "words", "item_id")
+    return materialise(rows, "benchmark-windows")
 
 
 def _place_if(length: int, known: list[int] | None):
@@ -55,10 +57,12 @@ def _place_if(length: int, known: list[int] | None):
 
 
 def hits(docs: DataFrame, windows: DataFrame, set_windows: int = SET_WINDOWS) -> DataFrame:
-    """One row per document and verified place of a window: doc_id, text_key, n_words, start, length, item_ids.
+    """One row per document and verified place of a window: doc_id, text_key, n_words, start, length, number, check.
 
     Every document also has one row whose start is null, so that none is lost.
     """
+    # Without their items, of which one window may have any number.
+    windows = windows.select("number", "check", "hash", "length", "words").distinct()
     # Lengths (at most the window's) and, within the bound, hashes: the only things that reach the driver.
     lengths = sorted(r[0] for r in windows.select("length").distinct().collect())
     few = windows.limit(set_windows + 1).count() <= set_windows
@@ -78,20 +82,31 @@ def hits(docs: DataFrame, windows: DataFrame, set_windows: int = SET_WINDOWS) ->
         places = F.concat(places, F.array_compact(found))
     scanned = words.select("doc_id", "text_key", F.size("_words").alias("n_words"), F.explode(places).alias("_at"))
     scanned = scanned.select("doc_id", "text_key", "n_words", "_at.*")
-    windows = windows.select("hash", "length", "words", "item_ids")
     found = scanned.join(F.broadcast(windows) if few else windows, ["hash", "length", "words"], "left")
-    return found.where(F.col("start").isNull() | F.col("item_ids").isNotNull()).drop("hash", "words")
+    return found.where(F.col("start").isNull() | F.col("number").isNotNull()).drop("hash", "words")
+
 
+def hit_counts(found: DataFrame, windows: DataFrame) -> DataFrame:
+    """One row per document: n_words, n_hit (words in any place), item_ids, places (distinct, by start).
 
-def hit_counts(found: DataFrame) -> DataFrame:
-    """One row per document: n_words, n_hit (words in any place), item_ids, places (distinct, by start)."""
+    ``found`` are the hits of ``windows``. Items meet the distinct windows of each document in a shuffled join.
+    """
+    window = F.when(F.col("start").isNotNull(), F.struct("number", "check"))
     place = F.when(F.col("start").isNotNull(), F.struct("start", "length"))
     grouped = found.groupBy("doc_id", "text_key").agg(
         F.max("n_words").cast("bigint").alias("n_words"),
         F.sum(F.when(F.col("start").isNull(), 1).otherwise(0)).alias("_copies"),
         F.array_sort(F.collect_set(place)).alias("places"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("item_ids")))).alias("item_ids"),
+        F.collect_set(window).alias("_windows"),
     )
+    named = grouped.select("doc_id", "text_key", F.inline("_windows"))
+    items = named.join(windows.select("number", "check", "item_id"), ["number", "check"]).groupBy("doc_id", "text_key")
+    items = items.agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
+    items = items.withColumnsRenamed({"doc_id": "_item_doc", "text_key": "_item_key"})
+    same = grouped["doc_id"].eqNullSafe(items["_item_doc"]) & (grouped["text_key"] == items["_item_key"])
+    none = F.array().cast("array<string>")
+    grouped = grouped.join(items, same, "left").withColumn("item_ids", F.coalesce("item_ids", none))
+    grouped = grouped.drop("_windows", "_item_doc", "_item_key")
     # Places come by start: each adds what reaches beyond the furthest end so far.
     start = F.struct(F.lit(0).alias("end"), F.lit(0).alias("n"))
     covered = F.aggregate("places", start, lambda s, p: F.struct(
@@ -104,8 +119,8 @@ def hit_counts(found: DataFrame) -> DataFrame:
 
 def remove_documents(docs: DataFrame, benchmark: DataFrame, max_share: float = 0.0, **kwargs) -> DataFrame:
     """``docs`` without those of which more than ``max_share`` of the words are hit. Columns stay as they are."""
-    windows = materialise(benchmark_windows(benchmark), "benchmark-windows")
-    counts = hit_counts(hits(docs, windows, **kwargs))
+    windows = benchmark_windows(benchmark)
+    counts = hit_counts(hits(docs, windows, **kwargs), windows)
     bad = counts.where((F.col("n_hit") > 0) & (F.col("n_hit") > max_share * F.col("n_words")))
     bad = bad.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
     same = docs["doc_id"].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == bad["_bad_key"])
@@ -114,8 +129,8 @@ def remove_documents(docs: DataFrame, benchmark: DataFrame, max_share: float = 0
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
     """``docs`` with the hit words, and what stands between them, cut out of ``text``. Columns stay as they are."""
-    windows = materialise(benchmark_windows(benchmark), "benchmark-windows")
-    counts = hit_counts(hits(docs, windows, **kwargs)).where("n_hit > 0")
+    windows = benchmark_windows(benchmark)
+    counts = hit_counts(hits(docs, windows, **kwargs), windows).where("n_hit > 0")
     found = counts.select(
         F.col("doc_id").alias("_hit_id"), F.col("text_key").alias("_hit_key"), F.col("places").alias("_places")
     ).dropDuplicates(["_hit_id", "_hit_key"])
@@ -143,11 +158,9 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, **kwargs) -> DataFrame:
 
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per document its words, hit words and benchmark items found in it."""
-    windows = materialise(
-        benchmark_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet")), "benchmark-windows"
-    )
+    windows = benchmark_windows(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    return hit_counts(hits(docs, windows)).select(
+    return hit_counts(hits(docs, windows), windows).select(
         "doc_id",
         "n_words",
         "n_hit",
