@@ -38,6 +38,8 @@ MOST_LABELS = 12_000
 BUCKETS, EPOCHS, BATCH, RATE = 1 << 17, 6, 16, 0.3
 # The pull of the rates to 1, the residual that is good enough (of all tokens), and the most passes.
 RIDGE, TOLERANCE, MOST_PASSES = 1e-5, 1e-4, 80
+# What may be left of a residual that documents could serve when the passes run out.
+LEFT = 1e-2
 # The weights of the registered query and of the pipeline, by (quality, toxic).
 TARGETS = {"quality1-toxic0": 0.92, "quality0-toxic0": 0.07, "quality1-toxic1": 0.008, "quality0-toxic1": 0.002}
 
@@ -165,11 +167,15 @@ def _summed(table: DataFrame, of_batch, size: int) -> np.ndarray:
 
 
 def solve(table: DataFrame, weights: list[float], epochs: float = 1.0) -> tuple[list[np.ndarray], np.ndarray]:
-    """The steps whose replay gives the rates, and the last residual per domain (as shares of all tokens)."""
+    """The steps whose replay gives the rates, and the last residual per domain (as shares of all tokens).
+
+    The residual is what is supplied beyond the target; a domain that no document has keeps a negative one. An error says so
+    if the passes run out with more than ``LEFT`` that documents could serve.
+    """
     k = len(weights)
 
     tokens = _summed(table, lambda batch: np.array([_arrays(batch, k)[0].sum()]), 1)[0]
-    target, steps, residual, size, last = np.array(weights) * epochs, [], np.zeros(k), 1.0, np.inf
+    target, steps, residual, size, last, left = np.array(weights) * epochs, [], np.zeros(k), 1.0, np.inf, 0.0
     for _ in range(MOST_PASSES if tokens else 0):
         taken = list(steps)
 
@@ -190,9 +196,16 @@ def solve(table: DataFrame, weights: list[float], epochs: float = 1.0) -> tuple[
         # A step that led away was too long, one that led nearer may have been too short.
         size, last = (size / 2 if left > last else min(1.0, size * 1.5)), left
         steps.append(size * move)
+    if left > LEFT:
+        raise RuntimeError(f"mixing did not settle in {MOST_PASSES} passes: {left:.4f} of all tokens off its targets")
     return steps, residual
 
 
+def short_domains(domains: list[str], residual: np.ndarray) -> dict[str, float]:
+    """The domains that are off their targets by more than the tolerance, with their gaps (shares of all tokens)."""
+    return {d: float(r) for d, r in zip(domains, residual) if abs(r) > 10 * TOLERANCE}
+
+
 def mix(docs: DataFrame, labels: DataFrame, targets: dict[str, float], epochs: float = 1.0, seed: int = 17) -> DataFrame:
     """(doc_id, row, n_tokens, posteriors (by sorted domain), rate, copies): the rate rounded up or down by a hash.
 
@@ -230,16 +243,19 @@ def resample(docs: DataFrame, labels: DataFrame, targets: dict[str, float] | Non
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document its tokens, likeliest domain, posteriors, rate and copies."""
+    """Per document its tokens, likeliest domain, posteriors, rate and copies, and by how much the domain misses its target (0
+    if by no more than the tolerance)."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     domains = sorted(TARGETS)
     table = materialise(with_posteriors(docs, fit(docs, labels, domains)).drop("text"), "posteriors")
-    steps, _ = solve(table, [TARGETS[d] for d in domains])
+    steps, residual = solve(table, [TARGETS[d] for d in domains])
+    gaps = short_domains(domains, residual)
     likeliest = F.element_at(F.array(*[F.lit(d) for d in domains]),
                              F.array_position("posteriors", F.array_max("posteriors")).cast("int"))
-    return _rated(table, steps, 17).select(
-        "doc_id", "n_tokens", likeliest.alias("domain"),
+    gap = F.coalesce(*[F.when(F.col("domain") == d, F.lit(gaps.get(d, 0.0))) for d in domains], F.lit(0.0))
+    return _rated(table, steps, 17).withColumn("domain", likeliest).select(
+        "doc_id", "n_tokens", "domain",
         *[F.element_at("posteriors", i + 1).alias(f"p_{d.replace('-', '_')}") for i, d in enumerate(domains)],
-        "rate", "copies",
+        "rate", "copies", gap.alias("domain_gap"),
     )
