@@ -269,18 +269,20 @@ def _least(fragments: DataFrame, hot_windows: int) -> DataFrame:
         })
 
     cold = fragments.join(hot, "digit", "left_anti").withColumn("_cell", F.pmod(F.xxhash64("digit"), F.lit(cells)))
-    sorted_ones = cold.drop("id").groupBy("_cell").applyInArrow(of_cell, schema)
+    sorted_ones = cold.groupBy("_cell").applyInArrow(of_cell, schema)
+    # Equal fragments of all blocks are one before their windows are; a common passage is one row, not one a block.
     frequent = fragments.join(hot, "digit", "left_semi")
-    windows = frequent.select(
-        "id", F.array_min("doc_ids").alias("low"), F.posexplode(F.transform(
+    distinct = frequent.groupBy("bytes").agg(F.min(F.array_min("doc_ids")).alias("low"))
+    windows = distinct.select(
+        "bytes", "low", F.posexplode(F.transform(
             F.sequence(F.lit(1), windows_of), lambda i: F.substring("bytes", i, F.lit(WINDOW)),
         )).alias("at", "window"),
     )
     least = windows.groupBy("window").agg(F.min("low").alias("least"))
-    grouped = windows.join(least, "window").groupBy("id").agg(
+    grouped = windows.join(least, "window").groupBy("bytes").agg(
         F.array_sort(F.collect_list(F.struct("at", "least"))).alias("all")
     )
-    return sorted_ones.union(frequent.join(grouped, "id").select(
+    return sorted_ones.union(frequent.join(grouped, "bytes").select(
         *places, F.transform("all", lambda x: F.lit(1).cast("bigint")), F.transform("all", lambda x: x["least"])
     ))
 
@@ -302,8 +304,7 @@ def repeated_spans(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame
     placed = usable.withColumn("block", block).withColumn("row_key", row_key)
     shared = materialise(_shared_digits(placed, cells), "suffix-digits")
     copies = copied.groupBy(block.alias("block")).agg(F.collect_set(row_key).alias("copies"))
-    fragments = _fragments(placed, shared, copies, cells).withColumn("id", F.monotonically_increasing_id())
-    fragments = materialise(fragments, "fragments")
+    fragments = materialise(_fragments(placed, shared, copies, cells), "fragments")
     discard(shared)
 
     def flat(lists):

@@ -164,6 +164,43 @@ def test_replayed_rates_are_those_of_a_solver_that_stores_them():
     assert np.allclose(mixing.replay(p, steps), rates) and np.abs(rates * n @ p / n.sum() - target).max() < 1e-3
 
 
+def _nonnegative_least_squares(a, target, weight, sweeps=4000):
+    """min |a r - target|^2 + sum weight (r - 1)^2 over r >= 0, one coordinate at a time."""
+    rates = np.ones(a.shape[1])
+    left = a @ rates - target
+    for _ in range(sweeps):
+        for i in range(len(rates)):
+            best = max(0.0, rates[i] - (a[:, i] @ left + weight[i] * (rates[i] - 1)) / (a[:, i] @ a[:, i] + weight[i]))
+            left += a[:, i] * (best - rates[i])
+            rates[i] = best
+    return rates, left
+
+
+@pytest.mark.parametrize("target", [[0.7, 0.25, 0.05], [0.2, 0.2, 0.6]])
+def test_mixing_against_an_independent_solution(spark, target):
+    rng = np.random.default_rng(7)
+    p, n = rng.dirichlet([0.4] * 3, 60), rng.integers(5, 90, 60)
+    table = spark.createDataFrame([(int(c), x.tolist()) for c, x in zip(n, p)], "n_tokens long, posteriors array<double>").repartition(3)
+    steps, residual = mixing.solve(table, target)
+    a = (p * n[:, None]).T / n.sum()
+    _, left = _nonnegative_least_squares(a, np.array(target), np.full(60, 1e-9))
+    rates = mixing.replay(p, steps)
+    assert np.abs(left).max() < 1e-3 and np.abs(a @ rates - target).max() < 1e-3 and (rates >= 0).all()
+    assert np.abs(a @ rates - target - residual).max() < 1e-3 and mixing.short_domains(["a", "b", "c"], residual) == {}
+
+
+def test_mixing_shows_a_domain_that_nothing_supplies_and_passes_that_run_out(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    p = np.column_stack([rng.dirichlet([0.5] * 2, 50), np.zeros(50)])
+    rows = [(10, x.tolist()) for x in p]
+    table = spark.createDataFrame(rows, "n_tokens long, posteriors array<double>")
+    _, residual = mixing.solve(table, [0.5, 0.4, 0.1])
+    assert mixing.short_domains(["a", "b", "c"], residual) == {"c": pytest.approx(-0.1, abs=1e-3)}
+    monkeypatch.setattr(mixing, "MOST_PASSES", 1)
+    with pytest.raises(RuntimeError, match="did not settle in 1 passes"):
+        mixing.solve(table, [0.95, 0.05, 0.0])
+
+
 def test_mixing_odd_documents(spark):
     docs = plain.odd_documents(spark)
     labels = spark.createDataFrame([(7, 1, 0), (10, 0, 0), (99, 1, 1), (None, 1, 0), (2, None, 0)], "doc_id long, quality int, toxic int")

@@ -89,11 +89,23 @@ def test_candidates_are_never_fewer_than_matches(spark):
 def test_large_benchmark_takes_the_join(spark):
     docs = plain.odd_documents(spark).select("doc_id", "text")
     windows = decontamination.benchmark_windows(spark.createDataFrame(ITEMS, "item_id long, text string"))
-    few = decontamination.hit_counts(decontamination.hits(docs, windows))
-    many = decontamination.hit_counts(decontamination.hits(docs, windows, set_windows=0))
+    few = decontamination.hit_counts(decontamination.hits(docs, windows), windows)
+    many = decontamination.hit_counts(decontamination.hits(docs, windows, set_windows=0), windows)
     assert sorted(map(str, few.collect())) == sorted(map(str, many.collect()))
 
 
+def test_items_of_a_frequent_passage_are_not_broadcast(spark):
+    """A passage in 3,000 items: what is broadcast has one row for each of its windows, and all items are found."""
+    passage = " ".join(f"p{i}" for i in range(12))
+    items = spark.createDataFrame([(i, passage) for i in range(3000)] + [(3000, "own words")], "item_id long, text string")
+    windows = decontamination.benchmark_windows(items)
+    docs = spark.createDataFrame([(1, f"x {passage} y"), (1, f"x {passage} y"), (2, "own words"), (3, "none")], "doc_id long, text string")
+    found = decontamination.hits(docs, windows)
+    assert "item_id" not in found.columns and found.where("start is not null").count() == 7
+    rows = sorted((r.doc_id, r.n_hit, len(r.item_ids)) for r in decontamination.hit_counts(found, windows).collect())
+    assert rows == [(1, 12, 3000), (1, 12, 3000), (2, 2, 1), (3, 0, 0)]
+
+
 def test_spans_and_documents_are_removed(spark):
     docs = plain.odd_documents(spark, [(30, "A b. One TWO; c", "en", "s", 1)])
     items = spark.createDataFrame(ITEMS[:5], "item_id long, text string")
