@@ -3,8 +3,10 @@
 Each task replaces its links by a forest of its own (union-find), which has fewer links and the same components. Then
 rounds follow until all links are (least node of the component, node): a link whose upper node hangs on a lesser one moves
 there, a node with several upper nodes joins them to the least, and the tasks make forests again. Links are dealt by their
-lower end, of which a node has one per task at most, so that a node with any number of links is no burden to one task. Each
-round is written to the shared folder, and only its row count and checksum reach the driver.
+lower end, of which a node has one per task at most, so that a node with any number of links is no burden to one task. The
+upper nodes that hang on others are told to the links where they lie, if they are counted to be ``MOST_TOLD`` at most; more
+meet them in a join, which Spark splits where one has very many links. Each round is written to the shared folder, and
+only row counts and a checksum reach the driver.
 """
 
 from __future__ import annotations
@@ -20,6 +22,8 @@ ship(__name__)
 
 # Rounds after which something must be wrong: they grow with the logarithm of a component's size.
 MOST_ROUNDS = 60
+# Upper nodes on the move that are broadcast (two numbers each).
+MOST_TOLD = 1_000_000
 
 
 class Groups:
@@ -66,7 +70,11 @@ def components(links: DataFrame) -> DataFrame:
     for _ in range(MOST_ROUNDS):
         # Only the least of a node's upper nodes: one row for each link comes out, however many forests name the node.
         upper = edges.groupBy(F.col("b").alias("a")).agg(F.min("a").alias("upper"))
-        moved = edges.join(upper, "a", "left").select(F.coalesce("upper", "a").alias("a"), "b")
+        moving = materialise(upper.join(edges.select("a").distinct(), "a", "left_semi"), "moving")
+        if moving.count() <= MOST_TOLD:
+            moved = edges.join(F.broadcast(moving), "a", "left").select(F.coalesce("upper", "a").alias("a"), "b")
+        else:
+            moved = edges.join(moving, "a", "left").select(F.coalesce("upper", "a").alias("a"), "b")
         least = moved.withColumn("least", F.min("a").over(Window.partitionBy("b")))
         hung = F.explode(F.array(F.struct("b", "least"), F.struct(F.col("a").alias("b"), "least")))
         hung = least.select(hung.alias("x")).select(F.col("x.least").alias("a"), F.col("x.b").alias("b")).where("a <> b")

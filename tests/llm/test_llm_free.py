@@ -128,7 +128,9 @@ def test_bands_miss_one_in_a_million(percent):
     assert (1 - (percent / 100) ** rows) ** count <= 1e-6
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("told", [10**6, 0])
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, told):
+    monkeypatch.setattr(components, "MOST_TOLD", told)
     chain = [(i, i + 1) for i in range(100, 160)]
     star = [(500, i) for i in range(501, 600)]
     links = chain + star + [(7, 7), (9, 8), (8, 9), (3, 1), (2, 3), (None, 4)]
