@@ -293,5 +293,20 @@ WHERE CAST("timestamp" AS DATE) BETWEEN DATE '{RANGE[0]}' AND DATE '{RANGE[1]}'
 SELECT * FROM enriched WHERE "timestamp" >= TIMESTAMP '1996-03-05' AND "timestamp" < TIMESTAMP '1996-07-01'""",
     "profile_lookup": f"""{_EV}
 SELECT {_PROFILE} FROM profiles WHERE customer_id IN (3, 14, 15, 92, 141)""",
+    "month_product_wide": f"""{_TX}, long AS (
+    SELECT month, clean_product, count(*) AS n FROM named WHERE clean_category = '{REPORT_CATEGORY}' GROUP BY ALL
+), chosen AS (
+    SELECT clean_product, row_number() OVER (ORDER BY sum(n) DESC, clean_product) AS place FROM long GROUP BY clean_product
+)
+SELECT month, {", ".join(f"CAST(coalesce(sum(n) FILTER (place = {i}), 0) AS BIGINT) AS {name}"
+                         for i, name in enumerate(("first", "second", "third"), 1))}
+FROM long JOIN chosen USING (clean_product) GROUP BY month""",
+    "schema_listing": """
+SELECT CAST(position AS INTEGER) AS position, name, type FROM (VALUES
+    (0, 'transaction_id', 'string'), (1, 'timestamp', 'timestamp_ntz'), (2, 'customer_id', 'bigint'), (3, 'customer_name', 'string'),
+    (4, 'city', 'string'), (5, 'customer_type', 'string'), (6, 'product_name', 'string'), (7, 'category', 'string'),
+    (8, 'price', 'double'), (9, 'quantity', 'int'), (10, 'total_amount', 'double')) AS t(position, name, type)""",
+    "preview_checks": f"{_EV}\nSELECT least(count(*), 5) AS rows, least(count(*), 5) AS known FROM ev",
+    "text_arrays": f"{_EV}\nSELECT transaction_id, customer_id || '|' || quantity AS elements FROM ev",
 }
 ORACLE["incremental_quantities"] = ORACLE["quantity_reports"]

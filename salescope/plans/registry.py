@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from salescope.functions import clock_parts, date_parts, file_label, parse_timestamp, wall_clock
+from salescope.functions import clock_parts, date_parts, file_label, parse_timestamp, strings_of, wall_clock
 from salescope.operators import (
     cleaning,
     clustering,
@@ -30,10 +30,12 @@ from salescope.sources import (
     lineitems_as_transactions,
     lookup_profiles,
     materialise,
+    preview,
     read_by_month,
     read_transactions,
     save_indexed_profiles,
     save_profiles,
+    schema_of,
     scratch_path,
     top_saved_profiles,
     write_by_month,
@@ -360,6 +362,36 @@ def backtest_checks(spark, folder):
     return folds.select("cut", "customers", "positives", known.alias("known"))
 
 
+def month_product_wide(spark, folder):
+    """Months by the three most frequent products of the report's category."""
+    rows = tx(spark, folder)
+    counts = exploration.month_product_counts(rows, REPORT_CATEGORY).groupBy("clean_product").agg(F.sum("n").alias("n"))
+    chosen = [r["clean_product"] for r in counts.orderBy(F.desc("n"), "clean_product").limit(3).collect()]
+    table = exploration.month_product_table(rows, REPORT_CATEGORY, chosen)
+    return table.withColumnsRenamed(dict(zip(chosen, ("first", "second", "third"))))
+
+
+def schema_listing(spark, folder):
+    """The columns of the transactions with their types, in order."""
+    rows = [(i, name, kind) for i, (name, kind) in enumerate(schema_of(tx(spark, folder)))]
+    return spark.createDataFrame(rows, "position int, name string, type string")
+
+
+def preview_checks(spark, folder):
+    """How many rows a preview has, and how many of them the table has."""
+    rows = preview(ev(spark, folder), 5)
+    every = ev(spark, folder).select("transaction_id", F.lit(True).alias("known"))
+    return rows.join(every, "transaction_id", "left").agg(
+        F.count(F.lit(1)).alias("rows"), F.count("known").alias("known")
+    )
+
+
+def text_arrays(spark, folder):
+    """Customer and quantity as an array, its elements cast to text."""
+    elements = strings_of(F.array("customer_id", F.col("quantity").cast("bigint")))
+    return ev(spark, folder).select("transaction_id", F.array_join(elements, "|").alias("elements"))
+
+
 def _loaded(spark, folder, load) -> str:
     """A state that three loads filled: the second repeats months of the first, the third brings the second's last year again."""
     rows = materialise(_enriched(spark, folder), "enriched")
@@ -613,6 +645,10 @@ QUERIES = {
     "backtest_inputs": backtest_inputs,
     "backtest": backtest,
     "unscaled_amounts": unscaled_amounts,
+    "month_product_wide": month_product_wide,
+    "schema_listing": schema_listing,
+    "preview_checks": preview_checks,
+    "text_arrays": text_arrays,
     "incremental_spenders": incremental_spenders,
     "incremental_quantities": incremental_quantities,
     "spenders_in_range": spenders_in_range,
