@@ -21,7 +21,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from salescope.llm.common import ship
@@ -31,8 +31,9 @@ from salescope.sources.scratch import materialise
 
 ship(__name__)
 
-# Characters of text that a chunk of a family holds, and that a task works on at a time.
-CHUNK_CHARS, BATCH_CHARS = 24_000_000, 8_000_000
+# Characters of text, and documents, that a chunk of a family holds, and characters that a task works on at a time. All pairs
+# of a chunk may be compared, so that short texts are bounded by their number.
+CHUNK_CHARS, CHUNK_DOCS, BATCH_CHARS = 24_000_000, 20_000, 8_000_000
 # Deviations by which a signature may fall short of the wanted similarity.
 SIGMAS = 6
 
@@ -155,6 +156,11 @@ def _distinct(table: pa.Table, *names: str) -> pa.Table:
     return table.filter(pa.array(np.concatenate([[True], np.any(keys[1:] != keys[:-1], axis=1)])))
 
 
+def _chunks(chars: Column, docs: Column) -> Column:
+    """The chunks that so many characters, and documents, take."""
+    return F.greatest(F.ceil(chars / CHUNK_CHARS), F.ceil(docs / CHUNK_DOCS)).cast("int")
+
+
 def _within_chunks(placed: DataFrame, texts: DataFrame, total: int, words: int, percent: int) -> DataFrame:
     """Links inside each chunk; the least document of a family is in all of its chunks, so that copies of it are joined."""
     homes = F.when(F.col("doc_id") == F.col("_hub"), F.sequence(F.lit(0), F.col("_parts") - 1)).otherwise(F.array("chunk"))
@@ -190,10 +196,13 @@ def _between_chunks(placed: DataFrame, joined: DataFrame, texts: DataFrame, word
         .withColumn("component", F.coalesce("component", F.col("doc_id").cast("bigint"))).drop("_chars", "_hub"),
         "spread",
     )
-    weight = spread.groupBy("family", "component").agg(F.sum("n_chars").alias("_chars"))
+    weight = spread.groupBy("family", "component").agg(
+        F.sum("n_chars").alias("_chars"), F.count(F.lit(1)).alias("_docs")
+    )
+    largest = F.max(F.struct("_chars", "component", "_docs"))
     main = weight.groupBy("family").agg(
-        F.max_by("component", F.struct("_chars", "component")).alias("_main"),
-        F.ceil((F.sum("_chars") - F.max("_chars")) / CHUNK_CHARS).cast("int").alias("_guests"),
+        largest["component"].alias("_main"),
+        _chunks(F.sum("_chars") - largest["_chars"], F.sum("_docs") - largest["_docs"]).alias("_guests"),
     ).where("_guests > 0")
     left = spread.join(main, "family").withColumn("minor", F.col("component") != F.col("_main"))
     stay = left.select(
@@ -227,9 +236,10 @@ def _grouped(families: DataFrame, docs: DataFrame, words: int, percent: int) ->
 
     ``families``: (doc_id, text_key, n_chars, n_shingles, fingerprint, family).
     """
-    parts = F.greatest(F.ceil(F.col("_chars") / CHUNK_CHARS).cast("int"), F.lit(1))
-    weight = families.groupBy("family").agg(F.sum("n_chars").alias("_chars"), F.min("doc_id").alias("_hub"))
-    weight = weight.withColumn("_parts", parts)
+    weight = families.groupBy("family").agg(
+        F.sum("n_chars").alias("_chars"), F.count(F.lit(1)).alias("_docs"), F.min("doc_id").alias("_hub")
+    )
+    weight = weight.withColumn("_parts", F.greatest(_chunks(F.col("_chars"), F.col("_docs")), F.lit(1))).drop("_docs")
     total, most = weight.agg(F.sum("_chars"), F.max("_parts")).first()
     placed = families.join(weight, "family").withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text_key"), "_parts").cast("int"))
     texts = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")

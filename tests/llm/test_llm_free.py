@@ -43,9 +43,10 @@ def test_groups_of_families_in_any_chunks(spark, monkeypatch):
     rows = [(1000 - 7 * i, t) for i, t in enumerate(texts)]
     want = plain.groups(rows, 3, 85)
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    for chars in (10**7, 2000):
+    for chars, most in ((10**7, 10**6), (2000, 10**6), (10**7, 7)):
         # Small chunks make families of several chunks, which meet pair by pair.
         monkeypatch.setattr(neardup, "CHUNK_CHARS", chars)
+        monkeypatch.setattr(neardup, "CHUNK_DOCS", most)
         monkeypatch.setattr(neardup, "BATCH_CHARS", chars)
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.group(docs, 3, 85).collect()}
         assert got == want
