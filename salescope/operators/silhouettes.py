@@ -36,9 +36,11 @@ def coreset(points: DataFrame, columns: tuple[str, ...], draws: int = CORESET) -
     sums = points.agg(F.count(F.lit(1)).alias("_n"), F.sum("weight").alias("_weight"), *weighted).first()
     if sums["_n"] <= draws:
         return points.select(*columns, "weight")
-    distance = _distance({c: sums[c] / sums["_weight"] for c in columns})
-    spread = points.agg(F.sum(F.col("weight") * distance)).first()[0]
-    q = F.col("weight") / (2 * sums["_weight"])
+    # Tasks add up in any order, which moves the last digits; without them, the same points are drawn with the same weights.
+    total = _settled(sums["_weight"])
+    distance = _distance({c: _settled(sums[c] / total) for c in columns})
+    spread = _settled(points.agg(F.sum(F.col("weight") * distance)).first()[0])
+    q = F.col("weight") / (2 * total)
     q = q + (F.col("weight") * distance / (2 * spread) if spread else q)
     key = [F.col("_key")] if "_key" in points.columns else []
     uniform = (F.pmod(F.xxhash64(*columns, *key, F.lit(29)), F.lit(1 << 53)) + 0.5) / float(1 << 53)
@@ -49,6 +51,10 @@ def coreset(points: DataFrame, columns: tuple[str, ...], draws: int = CORESET) -
     return drawn.select(*columns, (F.col("weight") * F.col("_taken") / F.col("_q")).alias("weight"))
 
 
+def _settled(value: float) -> float:
+    return float(f"{value:.12g}")
+
+
 def _distance(centre: dict[str, float]) -> Column:
     parts = [(F.col(c) - F.lit(float(x))) ** 2 for c, x in centre.items()]
     return sum(parts[1:], parts[0])
@@ -150,12 +156,15 @@ def silhouettes_by_definition(points: DataFrame, columns: tuple[str, ...], centr
         within = r["_square"] - sum(r[c] ** 2 for c in columns)
         return _distance({c: r[c] for c in columns}) + within
 
-    score = F.lit(None).cast("double")
-    for at, r in clusters.items():
-        rest = F.lit(r["_size"]) - F.col("weight")
-        inside = mean_distance(r) * r["_size"] / F.nullif(rest, F.lit(0.0))
-        others = [mean_distance(o) for b, o in clusters.items() if b != at]
-        outside = F.least(*others) if len(others) > 1 else others[0]
-        here = F.coalesce((outside - inside) / F.nullif(F.greatest(inside, outside), F.lit(0.0)), F.lit(0.0))
-        score = F.when(F.col("_own") == at, here).otherwise(score)
-    return placed.agg((F.sum(score * F.col("weight")) / F.sum("weight")).alias("silhouette"))
+    # Null for a cluster without points; the own cluster is left out of the others by its place.
+    nothing = F.lit(None).cast("double")
+    places = range(1, len(centres) + 1)
+    means = F.array(*[mean_distance(clusters[at]) if at in clusters else nothing for at in places])
+    sizes = F.array(*[F.lit(clusters[at]["_size"]) if at in clusters else nothing for at in places])
+    scored = placed.withColumns({"_means": means, "_rest": F.element_at(sizes, F.col("_own")) - F.col("weight")})
+    inside = F.element_at("_means", F.col("_own")) * (F.col("_rest") + F.col("weight")) / F.nullif(F.col("_rest"), F.lit(0.0))
+    outside = F.array_min(F.transform("_means", lambda mean, at: F.when(at + 1 != F.col("_own"), mean)))
+    scored = scored.withColumns({"_inside": inside, "_outside": outside})
+    larger = F.nullif(F.greatest("_inside", "_outside"), F.lit(0.0))
+    score = F.when(F.col("_inside").isNull(), 0.0).otherwise(F.coalesce((F.col("_outside") - F.col("_inside")) / larger, F.lit(0.0)))
+    return scored.agg((F.sum(score * F.col("weight")) / F.sum("weight")).alias("silhouette"))
