@@ -99,6 +99,8 @@ def hit_counts(found: DataFrame, windows: DataFrame) -> DataFrame:
         F.array_sort(F.collect_set(place)).alias("places"),
         F.collect_set(window).alias("_windows"),
     )
+    # One thin row per document, read twice below: the texts are scanned once.
+    grouped = materialise(grouped, "hit-counts")
     named = grouped.select("doc_id", "text_key", F.inline("_windows"))
     items = named.join(windows.select("number", "check", "item_id"), ["number", "check"]).groupBy("doc_id", "text_key")
     items = items.agg(F.array_sort(F.collect_set("item_id")).alias("item_ids"))
