@@ -2,10 +2,12 @@
 
 Documents with equal sets are one to begin with. Of each bucket of a band, all documents join the least one: that makes
 families of documents that may be similar, without any pair of a bucket being listed. A family then meets in a task. A
-large one is dealt to chunks of bounded size, each of which is compared by itself and with the family's least document;
-after that, the documents outside the family's main group go to the other chunks as guests, so that every two members of
-different groups meet somewhere. Documents that are in one group already are not compared again; the others are, if sizes
-and signatures allow the wanted similarity, on their whole sets. The components of the links found are the groups.
+large one is dealt to chunks of bounded size, each of which is compared by itself and with the family's least document.
+What the chunks of such a family left in several groups meets once more by bucket: fingerprints of the documents outside
+the main group and of the others in the bucket, in parts of bounded size. Only documents of which a fingerprint may be
+similar to one of another chunk and group go, with their texts, as guests to that chunk. Being of one family is no reason
+to compare: two documents are if they share a bucket, are not in one group already, and sizes and signatures allow the
+wanted similarity; then their whole sets decide. The components of the links found are the groups.
 
 Two sets just similar enough share no band with a probability of one in a million (``band_rows``), less if they are more
 similar. A signature turns a pair away only if it lies ``SIGMAS`` deviations below the wanted similarity.
@@ -32,8 +34,10 @@ from salescope.sources.scratch import materialise
 ship(__name__)
 
 # Characters of text, and documents, that a chunk of a family holds, and characters that a task works on at a time. All pairs
-# of a chunk may be compared, so that short texts are bounded by their number.
+# of a bucket may be compared, so that short texts are bounded by their number.
 CHUNK_CHARS, CHUNK_DOCS, BATCH_CHARS = 24_000_000, 20_000, 8_000_000
+# Members up to which a family is one bucket: sorting them into buckets would cost more than to compare them.
+ONE_BUCKET = 256
 # Deviations by which a signature may fall short of the wanted similarity.
 SIGMAS = 6
 
@@ -80,64 +84,135 @@ def least_matches(percent: int, registers: int) -> float:
     return registers * (share - SIGMAS * math.sqrt(share * (1 - share) / registers))
 
 
+def _registers(prints, percent: int) -> tuple[np.ndarray, float]:
+    """A row of registers for each fingerprint, filled up to whole words, and the equal ones that two rows need.
+
+    The filling is equal everywhere, and is added to what is needed.
+    """
+    table = np.frombuffer(b"".join(prints), np.uint8).reshape(len(prints), -1)
+    filling = -table.shape[1] % 8
+    return np.pad(table, ((0, 0), (0, filling))), least_matches(percent, table.shape[1]) + filling
+
+
 def _fits(prints, sizes, own_print, own_size, least: float, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The equal registers of each row and one document, and whether they and the sizes allow the wanted similarity."""
-    near = (prints == own_print).sum(axis=1)
+    # Eight comparisons are the bytes of a word; a product adds up the bytes of the sum of words (at most 21 each).
+    words = (prints == own_print).view(np.uint64).sum(axis=1)
+    near = ((words * np.uint64(0x0101010101010101)) >> np.uint64(56)).astype(np.int16)
     return near, (near >= least) & (100 * np.minimum(sizes, own_size) >= percent * np.maximum(sizes, own_size))
 
 
 def _verified(x: int, candidates, near, sets, group, percent: int):
-    """The rows of ``candidates`` that are similar to row ``x`` and not yet in its group, which they join."""
+    """The rows of ``candidates`` that are similar to row ``x`` and not yet in its group, which they join.
+
+    ``near``: the equal registers of each candidate.
+    """
     # The likeliest first: once linked, the rest of that group need not be looked at.
-    for y in candidates[np.argsort(-near[candidates], kind="stable")]:
-        if group[y] == group[x]:
-            continue
+    left = candidates[np.argsort(-near, kind="stable")]
+    left = left[group[left] != group[x]]
+    while len(left):
+        y, left = left[0], left[1:]
         both = common(sets[x], sets[y])
         if 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both):
             yield y
             group[group == group[x]] = group[y]
+            left = left[group[left] != group[x]]
+
+
+def _buckets(table, rows: int, count: int):
+    """(bands before it, members) of each bucket: members agree in the registers of a band. A small family is one bucket."""
+    if len(table) <= ONE_BUCKET:
+        yield 0, np.arange(len(table))
+        return
+    for band in range(count):
+        which = np.unique(table[:, band * rows:(band + 1) * rows], axis=0, return_inverse=True)[1].ravel()
+        order = np.argsort(which, kind="stable")
+        for members in np.split(order, np.flatnonzero(np.diff(which[order])) + 1):
+            if len(members) > 1:
+                yield band, members
 
 
 def link_family(ids, texts, prints, words: int, percent: int):
-    """Links (a, b) that join the similar ones of a family or of one of its chunks."""
-    count = len(ids)
+    """Links (a, b) that join the similar ones of a family or of one of its chunks, bucket by bucket."""
+    rows, count = band_rows(percent)
     sets = [shingle_set(t, words) for t in texts]
     sizes = np.array([len(s) for s in sets])
-    table = np.frombuffer(b"".join(prints), np.uint8).reshape(count, -1)
-    least = least_matches(percent, table.shape[1])
-    group = np.arange(count)
-    for x in range(1, count):
-        near, fits = _fits(table[:x], sizes[:x], table[x], sizes[x], least, percent)
-        for y in _verified(x, np.flatnonzero(fits & (group[:x] != group[x])), near, sets, group, percent):
-            yield ids[x], ids[y]
-
-
-def _meetings(table: pa.Table, percent: int):
-    """(guest, hosts, equal registers) of each guest of a chunk that may be similar to a host of another group.
-
-    Two documents outside the main group meet twice; the guest from the lesser chunk is the one that counts.
+    table, least = _registers(prints, percent)
+    group = np.arange(len(ids))
+    for done, members in _buckets(table, rows, count):
+        parts, which, many = np.unique(group[members], return_inverse=True, return_counts=True)
+        if len(parts) == 1:
+            continue
+        # Those outside the largest group, one after the other, with that group and with those before them.
+        outside = which != many.argmax()
+        members = np.concatenate([members[~outside], members[outside]])
+        own, own_sizes = table[members], sizes[members]
+        for at in range(many.max(), len(members)):
+            x, before = members[at], members[:at]
+            near, fits = _fits(own[:at], own_sizes[:at], own[at], own_sizes[at], least, percent)
+            found = np.flatnonzero(fits & (group[before] != group[x]))
+            if done and len(found):
+                # What shares an earlier bucket was compared there.
+                same = (own[found, :done * rows] == own[at, :done * rows]).reshape(len(found), done, rows)
+                found = found[~same.all(axis=2).any(axis=1)]
+            for y in _verified(x, before[found], near[found], sets, group, percent):
+                yield ids[x], ids[y]
+
+
+class _Meetings:
+    """A table of guests and hosts, from which the guests' possible links are drawn."""
+
+    def __init__(self, table: pa.Table, percent: int):
+        self.percent = percent
+        self.guest, self.minor, self.group, self.chunk, self.sizes = (
+            table.column(n).to_numpy() for n in ("guest", "minor", "component", "chunk", "n_shingles")
+        )
+        self.prints, self.least = _registers(table.column("fingerprint").to_pylist(), percent)
+
+    def among(self, rows):
+        """(guest, hosts, equal registers) of each guest of ``rows`` that may be similar to a host there.
+
+        Hosts of the guest's own group or chunk are left out. Two documents outside the main group meet twice; the guest
+        from the lesser chunk is the one that counts.
+        """
+        hosts = rows[~self.guest[rows]]
+        prints, sizes, group, chunk, minor = (
+            a[hosts] for a in (self.prints, self.sizes, self.group, self.chunk, self.minor)
+        )
+        for x in rows[self.guest[rows]]:
+            near, fits = _fits(prints, sizes, self.prints[x], self.sizes[x], self.least, self.percent)
+            fits &= (group != self.group[x]) & ((chunk > self.chunk[x]) | (~minor & (chunk != self.chunk[x])))
+            if fits.any():
+                yield x, hosts[fits], near[fits]
+
+
+def possible_guests(table: pa.Table, percent: int) -> pa.Table:
+    """The rows of buckets that may be similar to one of another chunk, once for each chunk (``home``) where they shall meet.
+
+    A guest and its hosts meet in the hosts' chunk, in the guest's ``part``.
     """
-    guest, minor, part, chunk, home = (
-        table.column(n).to_numpy() for n in ("guest", "minor", "component", "chunk", "home")
-    )
-    sizes = table.column("n_shingles").to_numpy()
-    prints = np.frombuffer(b"".join(table.column("fingerprint").to_pylist()), np.uint8).reshape(len(sizes), -1)
-    least = least_matches(percent, prints.shape[1])
-    hosts = np.flatnonzero(~guest)
-    for x in np.flatnonzero(guest):
-        near, fits = _fits(prints[hosts], sizes[hosts], prints[x], sizes[x], least, percent)
-        fits &= (part[hosts] != part[x]) & (~minor[hosts] | (chunk[x] < home[x]))
-        if fits.any():
-            yield x, hosts[fits], near[fits]
+    # (row, home, part, whether as a guest), each once and in order.
+    meetings, found = _Meetings(table, percent), {}
+    keys, part = table.column("_meeting").to_numpy(), table.column("part").to_numpy()
+    order = np.argsort(keys, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(keys[order])) + 1):
+        for x, hosts, _ in meetings.among(rows):
+            homes = meetings.chunk[hosts]
+            found.update(dict.fromkeys((x, home, part[x], 1) for home in np.unique(homes)))
+            found.update(dict.fromkeys((y, home, part[x], 0) for y, home in zip(hosts, homes)))
+    row, home, part, guest = np.array(list(found), np.int64).reshape(-1, 4).T
+    kept = ["family", "doc_id", "text_key", "n_shingles", "fingerprint", "component", "chunk", "minor"]
+    table = table.select(kept).take(pa.array(row))
+    for name, values in (("home", home.astype(np.int32)), ("part", part.astype(np.int32)), ("guest", guest == 1)):
+        table = table.append_column(name, pa.array(values))
+    return table
 
 
 def link_guests(table: pa.Table, words: int, percent: int):
     """Links (a, b) of the guests of a chunk with its hosts, as far as they join groups."""
     ids, sets = table.column("doc_id").to_pylist(), [shingle_set(t, words) for t in table.column("text").to_pylist()]
     group = np.unique(table.column("component").to_numpy(), return_inverse=True)[1]
-    for x, hosts, equal in _meetings(table, percent):
-        near = np.zeros(len(ids), np.int64)
-        near[hosts] = equal
+    for x, hosts, near in _Meetings(table, percent).among(np.arange(len(ids))):
         for y in _verified(x, hosts, near, sets, group, percent):
             yield ids[x], ids[y]
 
@@ -184,16 +259,66 @@ def _within_chunks(placed: DataFrame, texts: DataFrame, total: int, words: int,
     return keyed.groupBy("_batch").applyInArrow(of_batch, "a bigint, b bigint")
 
 
+def _meet_by_bucket(left: DataFrame, percent: int) -> DataFrame:
+    """The documents of ``left`` that shall meet in a chunk; see ``possible_guests``. No text travels here.
+
+    Buckets are those of the bands, told by the bytes of the fingerprint: documents that share a band share them.
+    """
+    rows, count = band_rows(percent)
+    bucket = F.transform(
+        F.sequence(F.lit(0), F.lit(count - 1)),
+        lambda band: F.xxhash64("family", band, F.substring("fingerprint", band * rows + 1, F.lit(rows))),
+    )
+    banded = left.withColumn("bucket", F.explode(bucket))
+    # Of interest are buckets with several groups, and parts of a bucket for so many hosts and guests.
+    buckets = materialise(
+        banded.groupBy("bucket").agg(
+            F.count(F.lit(1)).alias("_docs"), F.sum(F.col("minor").cast("long")).alias("_minor"),
+            F.min("component").alias("_least"), F.max("component").alias("_most"),
+        ).where("_minor > 0 and _least < _most").select(
+            "bucket", "_docs", F.ceil(F.col("_docs") / CHUNK_DOCS).cast("int").alias("_hosts"),
+            F.ceil(F.col("_minor") / CHUNK_DOCS).cast("int").alias("_visits"),
+        ),
+        "buckets",
+    )
+    total = buckets.agg(F.sum("_docs")).first()[0] or 0
+    met = banded.join(buckets, "bucket")
+    stay = met.select(
+        "*", F.lit(False).alias("guest"),
+        F.pmod(F.xxhash64("doc_id", "text_key"), "_hosts").cast("int").alias("_host"),
+        F.explode(F.sequence(F.lit(0), F.col("_visits") - 1)).alias("_visit"),
+    )
+    go = met.where("minor").select(
+        "*", F.lit(True).alias("guest"), F.explode(F.sequence(F.lit(0), F.col("_hosts") - 1)).alias("_host"),
+        F.pmod(F.xxhash64("text_key", "doc_id"), "_visits").cast("int").alias("_visit"),
+    )
+    meeting = F.xxhash64("bucket", "_host", "_visit")
+    # Parts of a large bucket have a task call of their own; smaller buckets share one.
+    few = F.pmod("bucket", F.lit(max(1, total // CHUNK_DOCS)))
+    met = stay.unionByName(go).select(
+        "family", "doc_id", "text_key", "n_shingles", "fingerprint", "component", "chunk", "part", "minor", "guest",
+        meeting.alias("_meeting"), F.when(F.col("_hosts") * F.col("_visits") > 1, meeting).otherwise(few).alias("_batch"),
+    )
+    return met.groupBy("_batch").applyInArrow(
+        lambda table: possible_guests(table, percent),
+        "family bigint, doc_id bigint, text_key bigint, n_shingles bigint, fingerprint binary, component bigint, chunk int, "
+        "minor boolean, home int, part int, guest boolean",
+    )
+
+
 def _between_chunks(placed: DataFrame, joined: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """Links between the chunks of large families whose chunks (``joined``: node, component) left several groups.
 
     Of two documents in different groups, one at least is outside the family's main group. Only those go to other chunks, as
-    guests in parts of a chunk's size; sizes and fingerprints go first, and texts only of those that may be similar.
+    guests in parts of a chunk's size, and only where their fingerprints met that of a possible partner.
     """
     groups = joined.select(F.col("node").alias("doc_id"), "component")
     spread = materialise(
-        placed.where("_parts > 1").join(groups, "doc_id", "left")
-        .withColumn("component", F.coalesce("component", F.col("doc_id").cast("bigint"))).drop("_chars", "_hub"),
+        placed.where("_parts > 1").join(groups, "doc_id", "left").select(
+            F.col("doc_id").cast("bigint").alias("doc_id"), "text_key", "n_chars", "n_shingles", "fingerprint",
+            F.col("family").cast("bigint").alias("family"), "chunk",
+            F.coalesce("component", F.col("doc_id").cast("bigint")).alias("component"),
+        ),
         "spread",
     )
     weight = spread.groupBy("family", "component").agg(
@@ -204,30 +329,20 @@ def _between_chunks(placed: DataFrame, joined: DataFrame, texts: DataFrame, word
         largest["component"].alias("_main"),
         _chunks(F.sum("_chars") - largest["_chars"], F.sum("_docs") - largest["_docs"]).alias("_guests"),
     ).where("_guests > 0")
-    left = spread.join(main, "family").withColumn("minor", F.col("component") != F.col("_main"))
-    stay = left.select(
-        "*", F.lit(False).alias("guest"), F.col("chunk").alias("home"),
-        F.explode(F.sequence(F.lit(0), F.col("_guests") - 1)).alias("part"),
-    )
-    go = left.where("minor").select(
-        "*", F.lit(True).alias("guest"), F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)).alias("home"),
-        F.pmod(F.xxhash64("doc_id", "text_key"), F.col("_guests")).cast("int").alias("part"),
-    ).where("home <> chunk")
-    rows = stay.unionByName(go).select(
-        F.xxhash64("family", "home", "part").alias("_batch"), F.col("doc_id").cast("bigint").alias("doc_id"), "text_key",
-        "n_shingles", "fingerprint", "component", "chunk", "home", "guest", "minor",
+    left = materialise(
+        spread.join(main, "family").select(
+            "family", "doc_id", "text_key", "n_shingles", "fingerprint", "component", "chunk",
+            (F.col("component") != F.col("_main")).alias("minor"),
+            F.pmod(F.xxhash64("doc_id", "text_key"), "_guests").cast("int").alias("part"),
+        ),
+        "outside",
     )
 
-    def candidates(table: pa.Table) -> pa.Table:
-        wanted = np.zeros(len(table), bool)
-        for x, hosts, _ in _meetings(table, percent):
-            wanted[x] = wanted[hosts] = True
-        return table.filter(pa.array(wanted))
-
     def of_batch(table: pa.Table) -> pa.Table:
         return _as_links(link_guests(_distinct(table, "guest", "doc_id", "text_key"), words, percent))
 
-    wanted = rows.groupBy("_batch").applyInArrow(candidates, rows.schema)
+    wanted = _meet_by_bucket(left, percent).dropDuplicates(["family", "home", "part", "guest", "doc_id", "text_key"])
+    wanted = wanted.withColumn("_batch", F.xxhash64("family", "home", "part"))
     return wanted.join(texts, ["doc_id", "text_key"]).groupBy("_batch").applyInArrow(of_batch, "a bigint, b bigint")
 
 

@@ -74,6 +74,37 @@ def test_task_input_does_not_grow_with_the_family(spark, monkeypatch):
     assert max(sizes) <= 4 * 9000 and sum(sizes) <= 4 * sum(map(len, texts))
 
 
+def _order_notes(count, seed=5):
+    """Short texts from one template, alike enough to share buckets and not to be linked; every fifth has a near copy."""
+    rng, texts = np.random.default_rng(seed), []
+    for i in range(count):
+        a, b, c = (f"{x:x}" for x in rng.integers(0, 16**5, 3))
+        note = f"your order number {a} for {b} has been shipped today and should reach you at {c} soon"
+        texts += [note, note + " x"] if i % 5 == 0 else [note]
+    return texts
+
+
+def test_links_of_a_family_by_bucket_are_those_of_all_its_pairs():
+    texts = _order_notes(400) + _family(31, 200, 3) + _family(32, 40, 9)
+    ids, signed = list(range(len(texts))), []
+    rows, count = minhash.band_rows(85)
+    for text in texts:
+        signed.append(minhash.fingerprint(minhash.signature(minhash.shingle_set(text, 3), rows * count)))
+    assert len(texts) > neardup.ONE_BUCKET
+    got = {i: i for i in ids}
+    for a, b in neardup.link_family(ids, texts, signed, 3, 85):
+        got = {i: min(got[a], got[b]) if got[i] in (got[a], got[b]) else got[i] for i in ids}
+    assert got == {i: component for i, (_, component) in plain.groups(list(zip(ids, texts)), 3, 85).items()}
+
+
+def test_a_family_of_texts_that_are_not_alike_enough(spark, monkeypatch):
+    """Many buckets, many chunks, hardly a link: only fingerprints that share a bucket are compared between chunks."""
+    rows = list(enumerate(_order_notes(700)))
+    monkeypatch.setattr(neardup, "CHUNK_DOCS", 60)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in neardup.group(spark.createDataFrame(rows, "doc_id long, text string"), 3, 85).collect()}
+    assert got == plain.groups(rows, 3, 85)
+
+
 def test_rows_that_share_an_id_are_linked_by_each_of_their_texts(spark):
     (a, b), (c, d) = _family(21, 2, 1), _family(22, 2, 1)
     docs = spark.createDataFrame([(5, a), (5, c), (9, b + " end"), (8, d + " end")], "doc_id long, text string")
