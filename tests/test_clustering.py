@@ -295,3 +295,9 @@ print("customers", space.scores.count())
     env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
     done = subprocess.run([sys.executable, "-c", script], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
     assert "customers 150" in done.stdout, done.stderr[-2000:]
+
+
+def test_a_large_fit_has_few_results_for_the_driver():
+    """As many partitions as ever for a small table; for a large one each holds twenty times the rows."""
+    assert [clustering.partitions_for(n) for n in (0, 9_999, 10_000, 600_000, 4_000_000)] == [1, 1, 2, 61, 401]
+    assert clustering.partitions_for(36_000_000) < 600 and clustering.partitions_for(216_000_000) < 1500
