@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Tasks that sort the customers' sums. So many, as Spark would put together partitions by their compressed size.
+CUSTOMER_PARTITIONS = 128
+
 # The groups over which mean customer quantities are reported.
 QUANTITY_REPORTS = {
     "mean_qty_type_main": ("customer_type", "main_category"),
@@ -39,21 +42,37 @@ def mean_customer_quantity(df: DataFrame, *groups: str, quantity: str = "quantit
 def quantity_reports(df: DataFrame) -> DataFrame:
     """All quantity reports at once, one row per report and group; columns that are no part of a report are null.
 
-    Purchases are summed once by customer and all columns; the grouping sets of the six reports multiply those sums, never
-    the purchases.
+    A group's mean is its quantity divided by its number of customers. Purchases are summed once by customer and all
+    columns. These sums meet by customer, once, and one row of each customer and group of each report counts for it; so
+    what the six reports multiply is combined within its task, and no report shuffles customers of its own. A customer
+    with very many purchases has one row there for each combination of the columns at most.
     """
     columns = list(dict.fromkeys(c for groups in QUANTITY_REPORTS.values() for c in groups))
     finest = df.groupBy("customer_id", *columns).agg(F.sum("quantity").alias("quantity_sum"))
-    sets = [["customer_id", *groups] for groups in QUANTITY_REPORTS.values()]
+    # A customer whose quantities are all null in a group does not count there.
+    counted = finest.repartition(CUSTOMER_PARTITIONS, "customer_id").withColumn("_known", F.col("quantity_sum").isNotNull())
+    # A report with the sub-category and the one without it are sorted alike, so that they share a sort.
+    for name, groups in sorted(QUANTITY_REPORTS.items(), key=lambda r: _by_main(r[1])):
+        order = _by_main(groups)
+        rest = [c for c in columns if c not in ("sub_category", *order)]
+        own = Window.partitionBy("customer_id", "_known", *order).orderBy(
+            *[c for c in ("sub_category",) if c not in order], rest[0]
+        )
+        first = F.col("_known") & (F.row_number().over(own) == 1)
+        counted = counted.withColumn(f"_{name}", first.cast("int"))
     left_out = F.concat(*[F.grouping(c).cast("string") for c in columns])
-    per_customer = finest.groupingSets(sets, "customer_id", *columns).agg(
-        F.sum("quantity_sum").alias("quantity_sum"), left_out.alias("_left_out")
+    summed = counted.groupingSets([list(groups) for groups in QUANTITY_REPORTS.values()], *columns).agg(
+        F.sum("quantity_sum").alias("_quantity"), left_out.alias("_left_out"),
+        *[F.sum(f"_{name}").alias(f"_{name}") for name in QUANTITY_REPORTS],
     )
-    report = F.lit(None).cast("string")
+    report, customers = F.lit(None).cast("string"), F.lit(None).cast("bigint")
     for name, groups in QUANTITY_REPORTS.items():
-        pattern = "".join("0" if c in groups else "1" for c in columns)
-        report = F.when(F.col("_left_out") == pattern, name).otherwise(report)
-    return (
-        per_customer.groupBy(report.alias("report"), *columns)
-        .agg(F.avg("quantity_sum").alias("mean_quantity"))
-    )
+        chosen = F.col("_left_out") == "".join("0" if c in groups else "1" for c in columns)
+        report, customers = F.when(chosen, name).otherwise(report), F.when(chosen, F.col(f"_{name}")).otherwise(customers)
+    mean = F.col("_quantity") / F.nullif(customers, F.lit(0))
+    return summed.select(report.alias("report"), *columns, mean.cast("double").alias("mean_quantity"))
+
+
+def _by_main(groups: tuple[str, ...]) -> tuple[str, ...]:
+    """The columns of a report with the sub-category last."""
+    return tuple(sorted(groups, key="sub_category".__eq__))

@@ -181,3 +181,18 @@ def test_baskets_are_sets(spark):
     df = frame(spark, row(), row(transaction_id="T2"), row(transaction_id="T3", product_name=None))
     got = sorted(tuple(r) for r in customers.basket_terms(df).collect())
     assert got == [(1, "Category", "Home > Light"), (1, "Product", "Lamp Product_12")]
+
+
+def test_quantity_reports_with_unknown_quantities_and_customers(spark, sf):
+    """Customers whose quantities are all null in a group do not count there; the group stays. No customer is one customer."""
+    df = cleaning.enrich(tx(spark, sf))
+    known = (F.pmod("customer_id", F.lit(3)) > 0) & (F.col("main_category") != "PROMO")
+    df = df.withColumns({"quantity": F.when(known, F.col("quantity")), "weekday": F.when(F.col("weekday") != 3, F.col("weekday"))})
+    df = df.withColumn("customer_id", F.when(F.pmod("customer_id", F.lit(5)) > 0, F.col("customer_id"))).persist()
+    every = spending.quantity_reports(df).persist()
+    for name, groups in spending.QUANTITY_REPORTS.items():
+        single = spending.mean_customer_quantity(df, *groups)
+        part = every.where(F.col("report") == name).select(*groups, "mean_quantity")
+        assert single.count() == part.count() and single.exceptAll(part).count() == 0
+    every.unpersist()
+    df.unpersist()

@@ -97,3 +97,10 @@ def test_facts_are_never_broadcast(spark, sf):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "100m")
     text = plan(tx(spark, sf))
     assert "SortMergeJoin [l_orderkey" in text
+
+
+def test_quantity_reports_shuffle_customers_before_they_multiply_rows(written):
+    every = plan(spending.quantity_reports(written))
+    assert "customer_id" not in every[:every.index("Expand")]
+    # A report and the one by sub-category share a sort.
+    assert every.count("Sort [customer_id") == 3
