@@ -104,3 +104,9 @@ def test_quantity_reports_shuffle_customers_before_they_multiply_rows(written):
     assert "customer_id" not in every[:every.index("Expand")]
     # A report and the one by sub-category share a sort.
     assert every.count("Sort [customer_id") == 3
+
+
+def test_purchases_are_dealt_out_before_their_terms(written):
+    text = plan(customers.basket_terms(written))
+    assert re.search(r"hashpartitioning\(customer_id.*, %d\), REPARTITION_BY_NUM" % customers.TERM_PARTITIONS, text)
+    assert text.index("Generate") < text.index("REPARTITION_BY_NUM")
