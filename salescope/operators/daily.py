@@ -2,8 +2,8 @@
 
 The state has one row per day, customer and category with its sums, in one folder per month. A load brings whole days. Days
 that the state has already are replaced by those of the load, so that a load that is run again counts once; other days of
-the months it touches are kept, and folders of other months are not read. The merged months are written to the shared
-folder first and take their place by dynamic partition overwrite: a run that is lost half-way is run again.
+the months it touches are kept, and folders of other months are not read. The load and the days kept are written to the
+shared folder first and take their place by dynamic partition overwrite: a run that is lost half-way is run again.
 
 Sums of sums are sums, so that the spending reports read the state as they read purchases. Medians need more: the state of
 ``load_sketches`` has a quantile sketch per day and customer type, which merge for any range of days.
@@ -25,6 +25,10 @@ from salescope.sources.scratch import discard, materialise, path_exists
 STATE_GROUPS = ("customer_id", "customer_name", "customer_type", "main_category", "sub_category", "month", "weekday")
 UNDATED = "undated"
 
+# The columns of purchases that the two states are made from.
+SUM_COLUMNS = ("timestamp", *STATE_GROUPS, "quantity", "total_amount")
+SKETCH_COLUMNS = ("timestamp", "customer_type", "total_amount")
+
 #: The size of a quantile sketch, and the share of ranks that its quantiles are off by with it (99 % sure).
 SKETCH_SIZE = 400
 RANK_ERROR = 2.296 / SKETCH_SIZE**0.9723
@@ -59,19 +63,19 @@ def _merge(new: DataFrame, path: str) -> None:
     periods = [r[0] for r in new.select("period").distinct().collect()]
     if not periods:
         return
-    merged = new
+    merged, kept = new, None
     if path_exists(spark, path):
         # The periods are partitions: only theirs are read. One row a day is broadcast.
         old = read_state(spark, path, new).where(F.col("period").isin(periods))
         days = F.broadcast(new.select(F.col("day").alias("_day")).distinct())
-        kept = old.join(days, F.col("day").eqNullSafe(F.col("_day")), "left_anti")
-        merged = materialise(new.unionByName(kept), "months")
+        kept = materialise(old.join(days, F.col("day").eqNullSafe(F.col("_day")), "left_anti"), "kept-days")
+        merged = new.unionByName(kept)
     # Small months end up in one file, large ones in several.
     laid = merged.hint("rebalance", "period")
     laid.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("period").parquet(path)
     discard(new)
-    if merged is not new:
-        discard(merged)
+    if kept is not None:
+        discard(kept)
 
 
 def read_state(spark: SparkSession, path: str, like: DataFrame | None = None) -> DataFrame:

@@ -142,3 +142,22 @@ def test_indexed_profiles_are_the_profiles(spark, sf, tmp_path):
     profiles = customers.customer_profiles(ev(spark, sf))
     sources.save_indexed_profiles(profiles, str(tmp_path / "p"))
     assert _sorted(sources.read_parquet(spark, str(tmp_path / "p"))) == _sorted(profiles)
+
+
+def test_a_load_writes_itself_once_and_only_the_days_it_keeps(spark, rows, tmp_path, monkeypatch):
+    written, original = [], daily.materialise
+    monkeypatch.setattr(daily, "materialise", lambda df, name: written.append((t := original(df, name)).count()) or t)
+    path = str(tmp_path / "state")
+    daily.load_sums(_year(rows, 1995, 1998), path)
+    daily.load_sums(_year(rows, 1997, 2000), path)
+    assert len(written) == 3 and written[2] == 0
+
+
+def test_loads_read_only_the_columns_of_the_state(spark, sf, monkeypatch):
+    from salescope.plans import registry
+
+    columns, original = [], registry.materialise
+    monkeypatch.setattr(registry, "materialise", lambda df, name: columns.append(df.columns) or original(df, name))
+    registry.spenders_in_range(spark, sf)
+    registry.sketched_medians(spark, sf)
+    assert columns == [list(daily.SUM_COLUMNS), list(daily.SKETCH_COLUMNS)]
