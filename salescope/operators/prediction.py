@@ -188,9 +188,14 @@ def _known(sequences: DataFrame) -> DataFrame:
     return sequences.where(F.col("next_amount").isNotNull())
 
 
+def _written(sequences: DataFrame) -> DataFrame:
+    """A table of ``materialise`` as it is, anything else written."""
+    return sequences if hasattr(sequences, "scratch_path") else materialise(sequences, "sequences")
+
+
 def fit_amount_forecast(sequences: DataFrame) -> AmountForecast:
     """Fit a linear regression with the Huber loss on the train customers' runs whose next amount is known."""
-    sequences = materialise(sequences, "sequences")
+    sequences = _written(sequences)
     train = hash_split(sequences)[0]
     ranges = sequence_ranges(train)
     known = scaled_sequences(_known(train), ranges)
@@ -205,7 +210,7 @@ def fit_recurrent_forecast(sequences: DataFrame, network: Network = Network()) -
     A tenth of the customers, of the train ones, is left aside to tell when to stop. The runs are laid out and written
     once; each pass of the fit reads them.
     """
-    sequences = materialise(sequences, "sequences")
+    sequences = _written(sequences)
     train = hash_split(sequences)[0]
     ranges = sequence_ranges(train)
     aside = (hash_bucket("customer_id") == TRAIN_TENTHS - 1).alias("aside")

@@ -84,3 +84,36 @@ def test_forecast_of_nothing_and_of_nulls(spark, sf):
     network = Network(3, 1)
     rows = recurrent.with_prediction(frame, ["a", "b"], network, network.start()).collect()
     assert rows[0].prediction is not None and rows[1].prediction is None
+
+
+def test_rows_are_taken_some_at_a_time(monkeypatch):
+    rng, network = np.random.default_rng(2), Network()
+    weights, x, y = network.start(), rng.uniform(-1, 1, (23, 5)), rng.normal(0, 2, 23)
+    loss, gradient = network.loss_and_gradient(weights, x, y)
+    monkeypatch.setattr(recurrent, "ROWS_AT_ONCE", 4)
+    parts, original = [], Network.forward
+    monkeypatch.setattr(Network, "forward", lambda self, w, x: parts.append(len(x)) or original(self, w, x))
+    again = network.loss_and_gradient(weights, x, y)
+    assert parts == [4, 4, 4, 4, 4, 3] and again[0] == pytest.approx(loss) and np.allclose(again[1], gradient)
+
+
+def test_states_stay_numbers_at_any_weight():
+    """The exponential of a large number is infinite; the gates and the cells are not."""
+    network = Network()
+    found = network.forward(1e4 * network.start(), np.full((3, 5), -1.0))[0]
+    assert np.isfinite(found).all()
+
+
+def test_both_forecasts_share_one_layout(spark, sf, monkeypatch):
+    from salescope.operators import ordering
+    from salescope.plans.registry import QUERIES
+
+    names, original = [], ordering.materialise
+    monkeypatch.setattr(ordering, "materialise", lambda df, name: names.append(name) or original(df, name))
+    monkeypatch.setattr(recurrent, "MOST_PASSES", 2)
+    reads = []
+    written = prediction._written
+    monkeypatch.setattr(prediction, "_written", lambda df: reads.append(df) or written(df))
+    models = {r.model for r in QUERIES["forecast_quality"](spark, sf).collect()}
+    assert models == {"linear", "recurrent"}
+    assert names == ["chunks"] and reads[0].scratch_path == reads[1].scratch_path
