@@ -40,6 +40,8 @@ ship(__name__)
 WINDOW, GRAM = 50, 16
 # Bytes of text in a block, windows of a fragment and, about, of a cell, and windows of a digit that one task sorts.
 BLOCK_BYTES, MOST_WINDOWS, CELL_WINDOWS, HOT_WINDOWS = 8_000_000, 4096, 1_000_000, 2_000_000
+# Fragments whose lost stretches are found at a time.
+ROWS_AT_ONCE = 500
 # Bits of a digit that go to its cell's members; further bits name the cell.
 _LOW_BITS = 32
 
@@ -82,8 +84,8 @@ def least_documents(pieces: list[bytes], digits: np.ndarray, documents: np.ndarr
     data = np.frombuffer(b"".join(pieces) + b"\0" * 8, np.uint8)
     ends = np.cumsum(counts)
     owner = np.repeat(np.arange(len(pieces)), counts)
-    within = np.arange(ends[-1]) - (ends - counts)[owner]
-    starts = (np.cumsum(lengths) - lengths)[owner] + within
+    starts = np.arange(ends[-1])
+    starts += (np.cumsum(lengths) - lengths - (ends - counts))[owner]
     least = documents[owner]
     alive, group = np.arange(len(owner)), digits[owner]
     # The last digit overlaps the one before, as windows are no multiple of eight bytes.
@@ -114,6 +116,44 @@ def least_documents(pieces: list[bytes], digits: np.ndarray, documents: np.ndarr
     return least, owner
 
 
+def lost_spans(
+    ids: np.ndarray, of_row: np.ndarray, starts: np.ndarray, counts: np.ndarray, runs: np.ndarray, least: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(place, start, end) of each maximal stretch of windows that a place of a fragment loses.
+
+    Fragment by fragment, ``ids`` and ``starts`` are its ``of_row`` places; ``counts`` and ``least`` its ``runs`` runs of
+    windows with their least documents. A stretch starts at a run for the documents above its least one that are not
+    above that of the run before, and ends likewise: both are a range of the fragment's places by document, so that places
+    and runs meet only where there is a stretch.
+    """
+    values, ranks = np.unique(np.concatenate([ids, least]), return_inverse=True)
+    base, ranks, low = len(values) + 1, ranks[:len(ids)], ranks[len(ids):]
+    keys = np.repeat(np.arange(len(of_row)), of_row) * base + ranks
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    own = np.repeat(np.arange(len(runs)), runs) * base
+    opening = np.unique(own, return_index=True)[1]
+    border = opening[1:]
+    # Before the first run of a fragment and after its last one nothing is lost.
+    before, after = np.append(base - 1, low[:-1]), np.append(low[1:], base - 1)
+    before[border], after[border - 1] = base - 1, base - 1
+    above = np.searchsorted(keys, own + low, "right")
+
+    def edges(beside: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n = np.maximum(np.searchsorted(keys, own + beside[:len(own)], "right") - above, 0)
+        run = np.repeat(np.arange(len(n)), n)
+        at = above[run] + np.arange(len(run)) - (np.cumsum(n) - n)[run]
+        by_place = np.lexsort((run, at))
+        return at[by_place], run[by_place]
+
+    (at, first), (_, last) = edges(before), edges(after)
+    # Where each run ends among the windows of its fragment.
+    ends = np.cumsum(counts)
+    ends -= np.repeat((ends - counts)[opening], runs[runs > 0])
+    place = order[at]
+    return place, starts[place] + (ends - counts)[first], starts[place] + ends[last] + WINDOW - 1
+
+
 def _sizes(docs: DataFrame) -> tuple[int, int]:
     """Numbers of blocks and cells, both in proportion to the bytes of text."""
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -310,24 +350,14 @@ def repeated_spans(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame
         return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
 
     def spans_of(batches):
-        for batch in batches:
+        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
             ids, of_row = flat(batch.column(0))
             keys, starts = (flat(batch.column(i))[0] for i in (1, 2))
             counts, runs = flat(batch.column(3))
             least = flat(batch.column(4))[0]
-            # Where each run ends among the windows of its fragment.
-            ends = np.cumsum(counts)
-            first = np.cumsum(runs) - runs
-            ends -= np.repeat(ends[first] - counts[first] if len(counts) else ends, runs)
-            # Each document of a fragment meets each run of it.
-            row = np.repeat(np.arange(len(of_row)), of_row)
-            place = np.repeat(np.arange(len(ids)), runs[row])
-            run = first[row[place]] + np.arange(len(place)) - np.repeat(np.cumsum(runs[row]) - runs[row], runs[row])
-            lost = least[run] < ids[place]
-            place, run = place[lost], run[lost]
-            end = starts[place] + ends[run]
+            place, start, end = lost_spans(ids, of_row, starts, counts, runs, least)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x.astype(np.int64)) for x in (ids[place], keys[place], end - counts[run], end + WINDOW - 1)],
+                [pa.array(x.astype(np.int64)) for x in (ids[place], keys[place], start, end)],
                 names=["doc_id", "text_key", "start", "end"],
             )
 

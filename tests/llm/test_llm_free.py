@@ -491,6 +491,27 @@ def test_rows_that_share_an_id_lose_bytes_by_their_own_text(spark):
     assert got == {(1, a): 0, (2, b): 0, (3, a): len(a), (3, b + a[:60] + b): 2 * len(b) + 60, (3, "own " * 20): 0}
 
 
+def test_places_and_runs_meet_only_where_something_is_lost():
+    """The stretches of each place, against every window of every place; one of a fragment for each place that loses all."""
+    rng = np.random.default_rng(3)
+    for _ in range(100):
+        rows = rng.integers(0, 5)
+        of_row, runs = rng.integers(1, 6, rows), rng.integers(1, 7, rows)
+        ids, starts = rng.integers(-3, 9, of_row.sum()), rng.integers(0, 50, of_row.sum())
+        counts, least = rng.integers(1, 5, runs.sum()), rng.integers(-3, 9, runs.sum())
+        want, row_of_run = [], np.repeat(np.arange(rows), runs)
+        for place, row in enumerate(np.repeat(np.arange(rows), of_row)):
+            mine = row_of_run == row
+            lost = np.repeat(least[mine], counts[mine]) < ids[place]
+            edges = np.diff(np.concatenate([[0], lost.astype(int), [0]]))
+            ends = np.flatnonzero(edges == -1) + suffixes.WINDOW - 1
+            want += [(place, starts[place] + a, starts[place] + b) for a, b in zip(np.flatnonzero(edges == 1), ends)]
+        assert sorted(zip(*suffixes.lost_spans(ids, of_row, starts, counts, runs, least))) == sorted(want)
+    n = 3000
+    places = suffixes.lost_spans(np.arange(n) + n, np.array([n]), np.zeros(n, int), np.ones(n, int), np.array([n]), np.arange(n))
+    assert np.array_equal(places[0], np.arange(n)) and set(places[2]) == {n + suffixes.WINDOW - 1}
+
+
 def test_equal_windows_have_equal_first_digits():
     rng = np.random.default_rng(8)
     shared = rng.integers(97, 100, 120).astype(np.uint8)
