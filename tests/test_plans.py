@@ -110,3 +110,25 @@ def test_purchases_are_dealt_out_before_their_terms(written):
     text = plan(customers.basket_terms(written))
     assert re.search(r"hashpartitioning\(customer_id.*, %d\), REPARTITION_BY_NUM" % customers.TERM_PARTITIONS, text)
     assert text.index("Generate") < text.index("REPARTITION_BY_NUM")
+
+
+def test_merging_terms_takes_more_tasks_than_the_session_has_partitions(spark, tmp_path):
+    """Of few partitions each would hold a share of all terms, however many there are."""
+    rows = spark.range(400_000).selectExpr(
+        "id % 90000 as customer_id", "cast(id % 7 as string) as category", "sha2(cast(id as string), 256) as product_name",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as timestamp",
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    settings = {"spark.sql.adaptive.enabled": "true", "spark.sql.shuffle.partitions": "2"}
+    advisory = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = {n: spark.conf.get(n) for n in (*settings, advisory)}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        terms = customers.written_basket_terms(spark.read.parquet(str(tmp_path / "rows")))
+        assert len(terms.inputFiles()) > 2 and terms.count() == 2 * 400_000
+        assert spark.conf.get(advisory) == before[advisory]
+        assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None) is None
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
