@@ -24,6 +24,8 @@ id do not remove from each other; repeated rows each get their result; extra col
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -269,9 +271,30 @@ def _fragments(docs: DataFrame, shared: DataFrame, copies: DataFrame, cells: int
     return docs.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(of_block, schema)
 
 
-def _least(fragments: DataFrame, hot_windows: int) -> DataFrame:
-    """(doc_ids, text_keys, starts, counts, least): the places of each fragment, and the least documents of its windows as
-    runs; of the fragments where a place may lose bytes."""
+def _spans_of(rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """(doc_id, text_key, start, end) of what is lost at the places of fragments: lists of doc_ids, text_keys and starts, and
+    the least documents of the windows as runs, counts and least."""
+
+    def flat(lists):
+        return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
+
+    for batch in (rows.slice(at, ROWS_AT_ONCE) for at in range(0, rows.num_rows, ROWS_AT_ONCE)):
+        ids, of_row = flat(batch.column(0))
+        keys, starts = (flat(batch.column(i))[0] for i in (1, 2))
+        counts, runs = flat(batch.column(3))
+        least = flat(batch.column(4))[0]
+        place, start, end = lost_spans(ids, of_row, starts, counts, runs, least)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(x.astype(np.int64)) for x in (ids[place], keys[place], start, end)],
+            names=["doc_id", "text_key", "start", "end"],
+        )
+
+
+def _lost(fragments: DataFrame, hot_windows: int) -> DataFrame:
+    """(doc_id, text_key, start, end): what is lost at the places of the fragments.
+
+    Cells give spans at once: a second Python operator on their rows would be a second Python process in each task.
+    """
     windows_of = F.octet_length("bytes") - WINDOW + 1
     total = fragments.agg(F.sum(windows_of)).first()[0] or 0
     cells = total // CELL_WINDOWS + 1
@@ -279,10 +302,10 @@ def _least(fragments: DataFrame, hot_windows: int) -> DataFrame:
     hot = fragments.groupBy("digit").agg(F.sum(windows_of).alias("n")).where(F.col("n") > hot_windows).select("digit")
     hot = F.broadcast(hot)
     places = ["doc_ids", "text_keys", "starts"]
-    schema = "doc_ids array<bigint>, text_keys array<bigint>, starts array<int>, counts array<bigint>, least array<bigint>"
+    schema = "doc_id bigint, text_key bigint, start bigint, end bigint"
 
-    def of_cell(table: pa.Table) -> pa.Table:
-        table = table.combine_chunks()
+    def of_cell(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(batches).combine_chunks()
         ids = table.column("doc_ids").combine_chunks()
         offsets, values = ids.offsets.to_numpy(), ids.values.to_numpy()
         # Fragments that several blocks have are one piece.
@@ -304,9 +327,12 @@ def _least(fragments: DataFrame, hot_windows: int) -> DataFrame:
         chosen = pa.array(np.flatnonzero(loses[piece_of]))
         lists = [pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(v, pa.int64())) for v in (counts, least)]
         pieces = pa.array(piece_of[loses[piece_of]])
-        return pa.table({
-            **{n: table.column(n).take(chosen) for n in places}, "counts": lists[0].take(pieces), "least": lists[1].take(pieces),
-        })
+        found = [table.column(n).combine_chunks() for n in places]
+        del table, number, windows, owner, edges
+        for at in range(0, len(chosen), ROWS_AT_ONCE):
+            rows, own = chosen.slice(at, ROWS_AT_ONCE), pieces.slice(at, ROWS_AT_ONCE)
+            columns = [*(x.take(rows) for x in found), *(x.take(own) for x in lists)]
+            yield from _spans_of(pa.RecordBatch.from_arrays(columns, names=[*places, "counts", "least"]))
 
     cold = fragments.join(hot, "digit", "left_anti").withColumn("_cell", F.pmod(F.xxhash64("digit"), F.lit(cells)))
     sorted_ones = cold.drop("id").groupBy("_cell").applyInArrow(of_cell, schema)
@@ -320,9 +346,11 @@ def _least(fragments: DataFrame, hot_windows: int) -> DataFrame:
     grouped = windows.join(least, "window").groupBy("id").agg(
         F.array_sort(F.collect_list(F.struct("at", "least"))).alias("all")
     )
-    return sorted_ones.union(frequent.join(grouped, "id").select(
-        *places, F.transform("all", lambda x: F.lit(1).cast("bigint")), F.transform("all", lambda x: x["least"])
-    ))
+    told = frequent.join(grouped, "id").select(
+        *places, F.transform("all", lambda x: F.lit(1).cast("bigint")).alias("counts"),
+        F.transform("all", lambda x: x["least"]).alias("least"),
+    )
+    return sorted_ones.union(told.mapInArrow(lambda batches: (x for b in batches for x in _spans_of(b)), schema))
 
 
 def repeated_spans(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame:
@@ -338,7 +366,9 @@ def repeated_spans(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame
     thin = usable.select("doc_id", "text_key", F.md5("text").alias("_md5"), F.octet_length("text").alias("size"))
     thin = materialise(thin.distinct(), "suffix-texts")
     least = thin.groupBy("_md5").agg(F.min("doc_id").alias("_first"), F.max("doc_id").alias("_last"))
-    copied = thin.join(least.where("_first < _last"), "_md5").where("doc_id > _first")
+    # Written, so that both sides are shuffled for the join and Spark can split a text with very many copies.
+    least = materialise(least.where("_first < _last"), "suffix-copied")
+    copied = thin.join(least, "_md5").where("doc_id > _first")
     placed = usable.withColumn("block", block).withColumn("row_key", row_key)
     shared = materialise(_shared_digits(placed, cells), "suffix-digits")
     copies = copied.groupBy(block.alias("block")).agg(F.collect_set(row_key).alias("copies"))
@@ -346,22 +376,7 @@ def repeated_spans(docs: DataFrame, hot_windows: int = HOT_WINDOWS) -> DataFrame
     fragments = materialise(fragments, "fragments")
     discard(shared)
 
-    def flat(lists):
-        return lists.flatten().to_numpy(zero_copy_only=False), lists.value_lengths().to_numpy(zero_copy_only=False)
-
-    def spans_of(batches):
-        for batch in (b.slice(at, ROWS_AT_ONCE) for b in batches for at in range(0, b.num_rows, ROWS_AT_ONCE)):
-            ids, of_row = flat(batch.column(0))
-            keys, starts = (flat(batch.column(i))[0] for i in (1, 2))
-            counts, runs = flat(batch.column(3))
-            least = flat(batch.column(4))[0]
-            place, start, end = lost_spans(ids, of_row, starts, counts, runs, least)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x.astype(np.int64)) for x in (ids[place], keys[place], start, end)],
-                names=["doc_id", "text_key", "start", "end"],
-            )
-
-    lost = _least(fragments, hot_windows).mapInArrow(spans_of, "doc_id bigint, text_key bigint, start bigint, end bigint")
+    lost = _lost(fragments, hot_windows)
     whole = copied.select("doc_id", "text_key", F.lit(0).cast("bigint"), F.col("size").cast("bigint"))
     spans = lost.union(whole).groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     spans = materialise(spans, "repeats")

@@ -484,6 +484,21 @@ def test_small_pieces_and_cells_lose_nothing(spark, sf, monkeypatch):
     assert _cut(docs) == plain.repeats(rows)
 
 
+def test_one_python_process_in_each_task_of_the_cells(spark, sf, monkeypatch):
+    """The spans come from the cells' own function: no Python operator stands upon another in a task."""
+    plans, original = {}, suffixes.materialise
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return original(df, name)
+
+    monkeypatch.setattr(suffixes, "materialise", noted)
+    suffixes.repeated_spans(_documents(spark, sf))
+    assert plans["repeats"].index("FlatMapGroupsInArrow") < plans["repeats"].index("MapInArrow")
+    # A text with very many copies meets its first one in a join whose sides are both shuffled just for it.
+    assert "suffix-copied" in plans
+
+
 def test_rows_that_share_an_id_lose_bytes_by_their_own_text(spark):
     a, b = "".join(f"{i}, " for i in range(40)), "".join(f"{i}; " for i in range(40))
     docs = spark.createDataFrame([(1, a), (2, b), (3, a), (3, b + a[:60] + b), (3, "own " * 20)], "doc_id long, text string")
