@@ -1,13 +1,15 @@
 """What the physical plans must and must not contain."""
 
 import re
+import uuid
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from salescope.operators import cleaning, customers, exploration, sampling, spending
+from salescope.operators import cleaning, clustering, components, customers, exploration, sampling, spending
 from salescope.plans.registry import QUERIES, ev, tx
-from salescope.sources import read_parquet, write_parquet
+from salescope.sources import materialise, read_parquet, scratch, write_parquet
 
 
 def plan(df):
@@ -132,3 +134,61 @@ def test_merging_terms_takes_more_tasks_than_the_session_has_partitions(spark, t
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
+
+
+def _most_tasks(spark, work) -> int:
+    """The tasks of the largest stage of what ``work`` runs."""
+    context = spark.sparkContext
+    group = f"tasks-{uuid.uuid4().hex}"
+    context.setJobGroup(group, group)
+    try:
+        work()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    tracker = context.statusTracker()
+    stages = [s for job in tracker.getJobIdsForGroup(group) for s in tracker.getJobInfo(job).stageIds]
+    return max(info.numTasks for info in map(tracker.getStageInfo, stages) if info)
+
+
+@pytest.fixture(scope="module")
+def basket_files(spark, tmp_path_factory):
+    """A small basket space over forty files of entries, of which a task may read one at a time."""
+    path = str(tmp_path_factory.mktemp("baskets") / "entries")
+    rows = spark.range(8000).selectExpr("id % 400 as customer_id", "cast(pmod(hash(id), 30) as int) as feature_id")
+    rows.distinct().repartition(40, "customer_id", "feature_id").write.parquet(path)
+    entries = spark.read.parquet(path)
+    loadings = spark.range(30).selectExpr(
+        "cast(id as int) as feature_id", *[f"sin(id + {i}) as PC{i + 1}" for i in range(3)]
+    )
+    scores = materialise(components.project(entries, loadings), "test-scores")
+    return clustering.BasketSpace(entries, None, loadings, [], scores)
+
+
+@pytest.mark.parametrize("step", [
+    lambda space: components.PackedBaskets.of(space.entries, np.arange(30)),
+])
+def test_tasks_that_deal_out_entries_read_little(spark, basket_files, monkeypatch, step):
+    """What such a task holds in memory is all that it reads, and must not grow with the entries."""
+    monkeypatch.setattr(scratch, "SMALL_TASK_BYTES", "64k")
+    files = len(basket_files.entries.inputFiles())
+    assert files >= 30 and _most_tasks(spark, lambda: step(basket_files)) >= files
+
+
+def test_entries_are_written_by_small_tasks(spark, monkeypatch, tmp_path):
+    """As many files as the terms ask for, not as the session has cores."""
+    monkeypatch.setattr(scratch, "SMALL_TASK_BYTES", "8k")
+    rows = spark.range(30_000).selectExpr(
+        "id % 2000 as customer_id", "cast(id % 7 as string) as category", "cast(pmod(xxhash64(id), 50) as string) as product_name",
+        "timestamp_ntz'2024-01-01' + make_dt_interval(0, 0, 0, id) as timestamp",
+    )
+    rows.write.parquet(str(tmp_path / "rows"))
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        space = clustering.basket_space(spark.read.parquet(str(tmp_path / "rows")))
+        assert len(space.entries.inputFiles()) > spark.sparkContext.defaultParallelism
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+        assert space.scores.count() == 2000
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
