@@ -166,6 +166,7 @@ def basket_files(spark, tmp_path_factory):
 
 @pytest.mark.parametrize("step", [
     lambda space: components.PackedBaskets.of(space.entries, np.arange(30)),
+    lambda space: clustering.component_checks(space).count(),
 ])
 def test_tasks_that_deal_out_entries_read_little(spark, basket_files, monkeypatch, step):
     """What such a task holds in memory is all that it reads, and must not grow with the entries."""
