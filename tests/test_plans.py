@@ -175,6 +175,18 @@ def test_tasks_that_deal_out_entries_read_little(spark, basket_files, monkeypatc
     assert files >= 30 and _most_tasks(spark, lambda: step(basket_files)) >= files
 
 
+def test_products_of_a_large_vocabulary_read_little(spark, basket_files, monkeypatch):
+    """With the block in tables, too, a task's share of the entries must not grow with them. Ten features take one round."""
+    monkeypatch.setattr(components, "TABLE_TASK_BYTES", "64k", raising=False)
+    monkeypatch.setattr(components, "BROADCAST_BYTES", 0)
+    entries = basket_files.entries.where("feature_id < 10")
+    vocabulary = materialise(entries.groupBy("feature_id").agg(F.count(F.lit(1)).alias("customers")), "test-vocabulary")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    tasks = _most_tasks(spark, lambda: components.principal_components(entries, vocabulary, 3))
+    assert tasks >= len(basket_files.entries.inputFiles())
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+
+
 def test_entries_are_written_by_small_tasks(spark, monkeypatch, tmp_path):
     """As many files as the terms ask for, not as the session has cores."""
     monkeypatch.setattr(scratch, "SMALL_TASK_BYTES", "8k")
