@@ -12,8 +12,9 @@ of these stretches. Both keys are put out for each signature, so that no pair is
 letters and half of their spelling.
 
 The vocabulary is counted in tasks text by text, and put out when a task holds ``MOST_WORDS`` different words; a word in every
-document reaches its reducer as one row a task. A word's chain of forms grows fivefold in occurrences at each step, so that
-rounds of pointer doubling follow from the greatest count.
+document reaches its reducer as one row a task. Keys, and chains of forms, meet by sort-merge join, as the file of words says
+too little about their size. A word's chain of forms grows fivefold in occurrences at each step, so that rounds of pointer
+doubling follow from the greatest count.
 
 Contract: a null text has no words; in texts of a null id nothing is deleted; texts are read whole, whatever their length; a
 word in several rows of one id is counted in each; words of fewer than six code points or five occurrences are left out;
@@ -153,10 +154,11 @@ def keyed(words: DataFrame) -> DataFrame:
 
 def near_pairs(words: DataFrame) -> DataFrame:
     """(word, n, near, near_n): all pairs of words one edit apart, in both directions."""
-    # Both sides are the same frame, so that it is worked out and shuffled once.
+    # Both sides are the same frame, so that it is worked out and shuffled once. Without the hint Spark would take the keys
+    # to be as small as the file of words, of which each has some 16 rows here, and send them all through the driver.
     keys = keyed(words)
     a, b = keys.alias("a"), keys.alias("b")
-    met = a.join(b, F.col("a.key") == F.col("b.key")).where(
+    met = a.join(b.hint("merge"), F.col("a.key") == F.col("b.key")).where(
         (F.col("a.word") < F.col("b.word")) & (F.levenshtein("a.word", "b.word", 1) == 1)
     )
     met = met.select("a.word", "a.n", F.col("b.word").alias("near"), F.col("b.n").alias("near_n"))
@@ -194,7 +196,8 @@ def roots(forms: DataFrame, most: int, times: int = FORM_TIMES) -> DataFrame:
     for _ in range(math.ceil(math.log2(steps + 1))):
         found = materialise(found, "roots")
         ahead = found.select(F.col("word").alias("root"), F.col("root").alias("further"))
-        found = found.join(ahead, "root", "left").select("word", F.coalesce("further", "root").alias("root"))
+        # Spark knows only the bytes of the file, of which the rows in memory take several times as many.
+        found = found.join(ahead.hint("merge"), "root", "left").select("word", F.coalesce("further", "root").alias("root"))
     return found
 
 

@@ -192,6 +192,16 @@ def test_chains_of_forms(spark):
     assert by_word["zzzzzz"] == (0, None) and by_word[chain[0]] == (1, chain[1]) and by_word[chain[3]] == (2, chain[4])
 
 
+def test_keys_and_chains_do_not_go_through_the_driver(spark, tmp_path):
+    """A small file of words has many more keys than Spark takes it to have."""
+    spark.range(2000).selectExpr("substr(sha2(cast(id as string), 256), 1, 9) as word", "id + 5 as n").write.parquet(str(tmp_path / "w"))
+    words = spark.read.parquet(str(tmp_path / "w"))
+    chains = spelling.roots(words.select("word", F.col("word").alias("form")), 5)
+    for frame in (spelling.near_pairs(words), chains):
+        text = frame._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in text and "BroadcastHashJoin" not in text
+
+
 def test_ties_of_forms_go_to_the_smallest(spark):
     frame = spark.createDataFrame([("abcdef", 5), ("abcdeé", 25), ("abcdez", 25), ("abcdeÿ", 24)], "word string, n long")
     got = {r.word: (r.form, r.form_n, r.n_near) for r in spelling.with_forms(frame).collect()}
