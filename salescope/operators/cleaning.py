@@ -10,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
 from salescope.functions import category_part
+from salescope.sources.scratch import file_bytes, materialise
+
+#: Bytes of input files for which ``clean_in_parts`` takes one more part, and its most parts, as each reads the input anew.
+PART_BYTES, MOST_PARTS = 64 << 20, 8
 
 
 def drop_incomplete(df: DataFrame) -> DataFrame:
@@ -30,6 +34,22 @@ def clean(df: DataFrame) -> DataFrame:
     return drop_duplicates(drop_incomplete(df))
 
 
+def clean_in_parts(df: DataFrame, by: tuple[str, ...] = (), parts: int | None = None) -> DataFrame:
+    """The rows of ``clean``; of a large input they are worked out and written for one part at a time.
+
+    Copies are found by a shuffle of whole rows, which takes many times the disk that the input does. Rows are dealt by a hash
+    of the columns ``by`` (all of them, unless given), so that copies share a part, and what was shuffled for a part is
+    deleted before the next one. With columns that lie in one input table the choice of a part reaches the scan, so that
+    joins below shuffle that part only. The number of parts follows from the bytes of the files below ``df``.
+    """
+    if parts is None:
+        parts = min(MOST_PARTS, 1 + file_bytes(df) // PART_BYTES)
+    if parts == 1:
+        return clean(df)
+    part = F.pmod(F.xxhash64(*(by or df.columns)), F.lit(parts))
+    return reduce(DataFrame.unionAll, [materialise(clean(df.where(part == i)), "clean") for i in range(parts)])
+
+
 def split_category(df: DataFrame) -> DataFrame:
     return df.withColumns(
         {"main_category": category_part("category", 0), "sub_category": category_part("category", 1)}

@@ -39,6 +39,18 @@ def test_clean_drops_nulls_and_copies(spark):
     assert cleaning.drop_incomplete(odd).collect() == odd.na.drop("any").collect()
 
 
+@pytest.mark.parametrize("by", [(), ("transaction_id",), ("price", "quantity")])
+def test_clean_in_parts_has_the_rows_of_clean(spark, by):
+    """Copies share a part, also those of which one has a zero with a sign."""
+    rows = [row(transaction_id=f"T{i % 40}", price=float(i % 4), quantity=i % 3) for i in range(200)]
+    rows += [row(price=0.0), row(price=-0.0), row(price=float("nan")), row(quantity=None), row(transaction_id=None)]
+    df = frame(spark, *rows)
+    want = sorted(map(str, cleaning.clean(df).collect()))
+    assert len(want) == len(set(want)) == 121
+    assert all(sorted(map(str, cleaning.clean_in_parts(df, by, parts).collect())) == want for parts in (1, 5))
+    assert cleaning.clean_in_parts(df.limit(0), by, 2).count() == 0
+
+
 def test_category_without_a_second_part(spark):
     df = frame(spark, row(), row(transaction_id="T2", category="Home"), row(transaction_id="T3", category=None))
     got = {r.transaction_id: (r.main_category, r.sub_category) for r in cleaning.enrich(df).collect()}

@@ -101,6 +101,31 @@ def test_facts_are_never_broadcast(spark, sf):
     assert "SortMergeJoin [l_orderkey" in text
 
 
+def test_a_large_table_is_cleaned_in_parts(spark, sf, monkeypatch):
+    """A part is chosen as lines are read, so that each shuffle has the lines of one part; none is left for the result."""
+    plans, sizes, original = [], [], cleaning.materialise
+
+    def watch(df, name):
+        plans.append(plan(df))
+        table = original(df, name)
+        sizes.append(table.count())
+        return table
+
+    whole = QUERIES["clean_enriched"](spark, sf)
+    monkeypatch.setattr(cleaning, "materialise", watch)
+    monkeypatch.setattr(cleaning, "PART_BYTES", 20_000)
+    cleaned = QUERIES["clean_enriched"](spark, sf)
+    assert len(plans) == cleaning.MOST_PARTS and max(sizes) < 2 * min(sizes) and "Exchange" not in plan(cleaned)
+    for text in plans:
+        assert "xxhash64(concat_ws" in text[:text.index("FileScan parquet [l_orderkey")].rsplit("Exchange", 1)[1]
+    assert whole.exceptAll(cleaned).count() == 0 == cleaned.exceptAll(whole).count()
+
+
+def test_ids_are_put_together_after_the_joins(spark, sf):
+    text = plan(tx(spark, sf))
+    assert text.index("concat_ws") < text.index("SortMergeJoin") and text.count("concat_ws") == 1
+
+
 def test_quantity_reports_shuffle_customers_before_they_multiply_rows(written):
     every = plan(spending.quantity_reports(written))
     assert "customer_id" not in every[:every.index("Expand")]
